@@ -30,8 +30,13 @@ def classify_release(title: Column) -> Column:
     )
 
 
+def strip(text: Column) -> Column:
+    """Text without outer white space; NULL gives ''."""
+    return F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\r\x0b\x0c"))
+
+
 def brands_conflict(left: Column, right: Column) -> Column:
-    """True where both brands are given and differ, ignoring case and outer blanks."""
-    a = F.lower(F.trim(F.coalesce(left, F.lit(""))))
-    b = F.lower(F.trim(F.coalesce(right, F.lit(""))))
+    """True where both brands are given and differ, ignoring case and outer white space."""
+    a = F.lower(strip(left))
+    b = F.lower(strip(right))
     return (a != "") & (b != "") & (a != b)
