@@ -37,74 +37,90 @@ def bin_of(value: Column, edges: Sequence[float]) -> Column:
     return reduce(add, inner, F.lit(0))
 
 
-def _binned(rows: DataFrame, side: str, edges: Mapping[str, Sequence[float]]) -> DataFrame:
-    """(feature, side, bin, n) of one side; every row is read once for all features."""
+def bin_counts_of(rows: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    """(feature, bin, n) of one sample; every row is read once for all features.
+
+    A feature with fewer than two edges has no bins.
+    """
     tagged = []
     for feature, feature_edges in edges.items():
-        value = nan_to_null(F.col(feature).cast("double"))
-        bin_no = F.when(value.isNotNull(), bin_of(value, feature_edges))
-        tagged.append(F.struct(F.lit(feature).alias("feature"), bin_no.alias("bin")))
+        if len(feature_edges) >= 2:
+            value = nan_to_null(F.col(feature).cast("double"))
+            bin_no = F.when(value.isNotNull(), bin_of(value, feature_edges))
+            tagged.append(F.struct(F.lit(feature).alias("feature"), bin_no.alias("bin")))
+    if not tagged:
+        return rows.sparkSession.createDataFrame([], "feature STRING, bin INT, n LONG")
     return (
         rows.select(F.inline(F.array(*tagged)))
         .where("bin IS NOT NULL")
         .groupBy("feature", "bin")
         .agg(F.count("*").alias("n"))
-        .withColumn("side", F.lit(side))
     )
 
 
-def bin_counts(
+def compare_counts(
     reference: DataFrame, current: DataFrame, edges: Mapping[str, Sequence[float]]
 ) -> DataFrame:
-    """(feature, bin, n_reference, n_current), empty bins included as 0.
-
-    A feature with fewer than two edges has no bins.
-    """
-    usable = {f: list(e) for f, e in edges.items() if len(e) >= 2}
-    spark = reference.sparkSession
-    grid = spark.createDataFrame(
-        [(f, b) for f, e in usable.items() for b in range(len(e) - 1)], "feature STRING, bin INT"
-    )
-    if not usable:
-        return grid.selectExpr("feature", "bin", "0L AS n_reference", "0L AS n_current")
-    counted = _binned(reference, "reference", usable).unionByName(_binned(current, "current", usable))
-    sides = counted.groupBy("feature", "bin").agg(
-        F.sum(F.when(F.col("side") == "reference", F.col("n"))).alias("n_reference"),
-        F.sum(F.when(F.col("side") == "current", F.col("n"))).alias("n_current"),
+    """(feature, bin, n_reference, n_current) from two count frames, empty bins included as 0."""
+    grid = [(f, b) for f, e in edges.items() for b in range(len(e) - 1)]
+    return (
+        reference.sparkSession.createDataFrame(grid, "feature STRING, bin INT")
+        .join(reference.withColumnRenamed("n", "n_reference"), ["feature", "bin"], "left")
+        .join(current.withColumnRenamed("n", "n_current"), ["feature", "bin"], "left")
+        .na.fill(0, ["n_reference", "n_current"])
     )
-    return grid.join(sides, ["feature", "bin"], "left").na.fill(0, ["n_reference", "n_current"])
 
 
-def psi(
+def bin_counts(
+    reference: DataFrame, current: DataFrame, edges: Mapping[str, Sequence[float]]
+) -> DataFrame:
+    """(feature, bin, n_reference, n_current) of two samples."""
+    return compare_counts(bin_counts_of(reference, edges), bin_counts_of(current, edges), edges)
+
+
+def psi_from_counts(
     reference: DataFrame,
     current: DataFrame,
+    edges: Mapping[str, Sequence[float]],
     features: Sequence[str],
-    bins: int = PSI_BINS,
-    direct_limit: int = DIRECT_LIMIT,
 ) -> DataFrame:
-    """(feature, psi). 0.0 for a constant reference and where a side has no values."""
-    edges = quantile_edges(reference, features, bins, direct_limit)
-    counts = bin_counts(reference, current, edges)
+    """(feature, psi) from the bin counts of both sides.
+
+    0.0 for a feature without bins and where a side has no values.
+    """
+    counts = compare_counts(reference, current, edges)
     totals = counts.groupBy("feature").agg(
         F.sum("n_reference").alias("_all_reference"), F.sum("n_current").alias("_all_current")
     )
 
     def share(n: str, total: str) -> Column:
-        return F.greatest(F.try_divide(n, total), F.lit(PSI_FLOOR))
+        return F.greatest(F.col(n) / F.col(total), F.lit(PSI_FLOOR))
 
-    scored = counts.join(totals, "feature").select(
+    shares = counts.join(totals.where("_all_reference > 0 AND _all_current > 0"), "feature").select(
         "feature",
-        "bin",
         share("n_reference", "_all_reference").alias("_ref"),
         share("n_current", "_all_current").alias("_cur"),
-        ((F.col("_all_reference") > 0) & (F.col("_all_current") > 0)).alias("_both"),
     )
     term = (F.col("_cur") - F.col("_ref")) * F.log(F.col("_cur") / F.col("_ref"))
-    measured = scored.where("_both").groupBy("feature").agg(F.sum(term).alias("psi"))
+    measured = shares.groupBy("feature").agg(F.sum(term).alias("psi"))
     asked = reference.sparkSession.createDataFrame([(f,) for f in features], "feature STRING")
     return asked.join(measured, "feature", "left").na.fill(0.0, ["psi"])
 
 
+def psi(
+    reference: DataFrame,
+    current: DataFrame,
+    features: Sequence[str],
+    bins: int = PSI_BINS,
+    direct_limit: int = DIRECT_LIMIT,
+) -> DataFrame:
+    """(feature, psi) of two samples."""
+    edges = quantile_edges(reference, features, bins, direct_limit)
+    return psi_from_counts(
+        bin_counts_of(reference, edges), bin_counts_of(current, edges), edges, features
+    )
+
+
 def drift_report(
     reference: DataFrame,
     current: DataFrame,

@@ -69,19 +69,13 @@ def attach_contrast(
     totals = rows.groupBy(*coarse, *fine).agg(
         F.sum(value).alias("_total"), F.count(value).alias("_n")
     )
-    return attach(rows, contrast_from_totals(totals, coarse, fine, name), [*coarse, *fine], null_safe=True)
-
-
-def contrast_from_totals(
-    totals: DataFrame, coarse: Sequence[str], fine: Sequence[str], name: str
-) -> DataFrame:
-    """Per (coarse, fine) group: its mean minus the coarse mean, from ``_total`` and ``_n``."""
-    groups = totals.groupBy(*coarse, *fine).agg(
-        F.sum("_total").alias("_total"), F.sum("_n").alias("_n")
-    )
-    base = totals.groupBy(*coarse).agg(
-        F.try_divide(F.sum("_total"), F.sum("_n")).alias("_base")
-    )
-    return attach(groups, base, coarse, null_safe=True).select(
+    base = totals.groupBy(*coarse).agg(mean_of_totals("_total", "_n").alias("_base"))
+    contrast = attach(totals, base, coarse, null_safe=True).select(
         *coarse, *fine, (F.try_divide("_total", "_n") - F.col("_base")).alias(name)
     )
+    return attach(rows, contrast, [*coarse, *fine], null_safe=True)
+
+
+def mean_of_totals(total: str, n: str) -> Column:
+    """The mean of the rows behind partial totals, as an aggregate."""
+    return F.try_divide(F.sum(total), F.sum(n))

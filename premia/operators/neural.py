@@ -47,7 +47,6 @@ def parameter_shapes(inputs: int, hidden: int) -> dict[str, tuple[int, ...]]:
     }
 
 
-_MOMENTS = ("rm1", "rv1", "rm2", "rv2")
 Params = dict[str, np.ndarray]
 
 
@@ -61,7 +60,7 @@ def initial_parameters(inputs: int, hidden: int, seed: int = TRAINING_SEED) -> P
             limit = 1.0 / np.sqrt(fan_in[name])
             params[name] = rng.uniform(-limit, limit, shape)
         else:
-            params[name] = np.ones(shape) if name[0] in "g" or name[:2] == "rv" else np.zeros(shape)
+            params[name] = np.ones(shape) if name.startswith(("g", "rv")) else np.zeros(shape)
     return params
 
 

@@ -21,8 +21,7 @@ from premia.functions.dates import whole_second
 from premia.operators.groups import attach
 
 
-def _shifted(instant: str, days: int) -> Column:
-    return F.col(instant) + F.make_dt_interval(F.lit(days))
+GRAINS = ("second", "day")
 
 
 def trailing_totals(
@@ -30,85 +29,109 @@ def trailing_totals(
     keys: Sequence[str],
     days: int,
     probes: DataFrame | None = None,
-    whole_days: bool = False,
+    from_midnight: bool = False,
+    grain: str = "second",
 ) -> DataFrame:
     """Totals over ``[at - days, at]``, both ends included, at every probe instant.
 
     ``instants`` has one row per (keys, ``at``) with ``total`` and ``n``. ``probes`` has (keys, ``at``)
-    without repeats; by default the instants themselves. ``whole_days`` starts the range at midnight
-    of its first day. Returns keys, ``at``, ``total``, ``n``; a probe with nothing in range has n = 0.
+    without repeats; by default the instants themselves. ``from_midnight`` starts the range at midnight
+    of its first day. ``grain="day"`` declares that all instants are midnights, which needs no head and
+    tail; an instant that is none fails the job. Returns keys, ``at``, ``total``, ``n``; a probe with
+    nothing in range has n = 0.
     """
     if days < 1:
         raise ValueError("a trailing range spans at least one day")
+    if grain not in GRAINS:
+        raise ValueError(f"grain must be one of {GRAINS}, not {grain!r}")
     keys = list(keys)
-    empty_total, empty_n = F.lit(None).cast("double"), F.lit(None).cast("long")
+    if grain == "day":
+        return _over_days(instants, keys, days, probes)
+    return _over_instants(instants, keys, days, probes, from_midnight)
+
+
+def _over_days(
+    instants: DataFrame, keys: list[str], days: int, probes: DataFrame | None
+) -> DataFrame:
+    """All instants are midnights: a frame of at most ``days`` + 1 rows over the product's days."""
+    day = F.to_date("at")
+    off_grid = F.raise_error(F.concat(F.lit("not a midnight: "), F.col("at").cast("string")))
+    checked = F.when(F.col("at") == day, F.unix_date(day)).otherwise(off_grid.cast("int"))
+    frame = Window.partitionBy(*keys).orderBy("_day").rangeBetween(-days, 0)
+    timeline = instants.select(*keys, "at", "total", "n", checked.alias("_day"))
+    if probes is not None:
+        asked = probes.select(*keys, "at", checked.alias("_day"), F.lit(True).alias("_probe"))
+        timeline = timeline.withColumn("_probe", F.lit(False)).unionByName(
+            asked, allowMissingColumns=True
+        )
+    summed = timeline.withColumns(
+        {"total": F.sum("total").over(frame), "n": F.coalesce(F.sum("n").over(frame), F.lit(0))}
+    )
+    if probes is not None:
+        summed = summed.where("_probe")
+    return summed.select(*keys, "at", "total", "n")
+
+
+def _over_instants(
+    instants: DataFrame, keys: list[str], days: int, probes: DataFrame | None, from_midnight: bool
+) -> DataFrame:
+    """Tail of the first day + whole days between + head of the last day."""
+    no_total, no_n = F.lit(None).cast("double"), F.lit(None).cast("long")
+    total, n = F.col("total"), F.col("n")
     by_day = instants.withColumn("_day", F.to_date("at"))
 
-    def layer(frame: DataFrame, day: Column, at: Column, head: bool, tail: bool, probe: bool) -> DataFrame:
-        return frame.select(
+    def layer(rows: DataFrame, at: Column, head: tuple, tail: tuple, probe: bool) -> DataFrame:
+        return rows.select(
             *keys,
-            day.alias("_day"),
+            F.to_date(at).alias("_day"),
             at.alias("at"),
-            (F.col("total") if head else empty_total).alias("_head"),
-            (F.col("n") if head else empty_n).alias("_head_n"),
-            (F.col("total") if tail else empty_total).alias("_tail"),
-            (F.col("n") if tail else empty_n).alias("_tail_n"),
+            head[0].alias("_head"),
+            head[1].alias("_head_n"),
+            tail[0].alias("_tail"),
+            tail[1].alias("_tail_n"),
             F.lit(probe).alias("_probe"),
         )
 
-    timeline = layer(by_day, F.col("_day"), F.col("at"), True, False, probes is None)
+    at = F.col("at")
+    timeline = layer(instants, at, (total, n), (no_total, no_n), probes is None)
     if probes is not None:
-        timeline = timeline.unionByName(
-            layer(probes, F.to_date("at"), F.col("at"), False, False, True)
-        )
-    if not whole_days:
-        aged = layer(by_day, F.date_add("_day", days), _shifted("at", days), False, True, False)
-        timeline = timeline.unionByName(aged)
+        timeline = timeline.unionByName(layer(probes, at, (no_total, no_n), (no_total, no_n), True))
+    if not from_midnight:
+        aged = at + F.make_dt_interval(F.lit(days))
+        timeline = timeline.unionByName(layer(instants, aged, (no_total, no_n), (total, n), False))
 
-    day_window = Window.partitionBy(*keys, "_day")
+    one_day = Window.partitionBy(*keys, "_day")
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    head_frame = day_window.orderBy("at").rangeBetween(*so_far)
-    summed = timeline.withColumns(
-        {"_head": F.sum("_head").over(head_frame), "_head_n": F.sum("_head_n").over(head_frame)}
-    )
-    if not whole_days:
-        tail_frame = day_window.orderBy(F.col("at").desc()).rangeBetween(*so_far)
-        summed = summed.withColumns(
-            {"_tail": F.sum("_tail").over(tail_frame), "_tail_n": F.sum("_tail_n").over(tail_frame)}
-        )
-
-    # Whole days in between: one row per (keys, day), so the frame below is a few rows wide.
-    day_totals = by_day.groupBy(*keys, "_day").agg(
+    upward = one_day.orderBy("at").rangeBetween(*so_far)
+    downward = one_day.orderBy(F.col("at").desc()).rangeBetween(*so_far)
+    summed = timeline.withColumns({c: F.sum(c).over(upward) for c in ("_head", "_head_n")})
+    if not from_midnight:
+        summed = summed.withColumns({c: F.sum(c).over(downward) for c in ("_tail", "_tail_n")})
+
+    # Whole days between: one row per (keys, day), so a frame is a few rows wide.
+    day_totals = by_day.select(*keys, "_day", "total", "n")
+    if probes is not None:
+        asked = probes.select(*keys, F.to_date("at").alias("_day"))
+        day_totals = day_totals.unionByName(asked, allowMissingColumns=True)
+    day_totals = day_totals.groupBy(*keys, "_day").agg(
         F.sum("total").alias("_mid"), F.sum("n").alias("_mid_n")
     )
-    if probes is not None:
-        probe_days = probes.select(
-            *keys, F.to_date("at").alias("_day"), empty_total.alias("_mid"), empty_n.alias("_mid_n")
-        )
-        day_totals = (
-            day_totals.unionByName(probe_days)
-            .groupBy(*keys, "_day")
-            .agg(F.sum("_mid").alias("_mid"), F.sum("_mid_n").alias("_mid_n"))
-        )
-    first = -days if whole_days else -(days - 1)
-    if first < 0:
-        between = Window.partitionBy(*keys).orderBy(F.unix_date("_day")).rangeBetween(first, -1)
-        day_totals = day_totals.withColumns(
-            {"_mid": F.sum("_mid").over(between), "_mid_n": F.sum("_mid_n").over(between)}
-        )
-    else:
-        day_totals = day_totals.withColumns({"_mid": empty_total, "_mid_n": empty_n})
+    first = -days if from_midnight else 1 - days
+    between = Window.partitionBy(*keys).orderBy(F.unix_date("_day")).rangeBetween(first, -1)
+    inner = {c: F.sum(c).over(between) if first < 0 else F.lit(None) for c in ("_mid", "_mid_n")}
+    day_totals = day_totals.withColumns(inner)
 
     pieces = attach(summed.where("_probe"), day_totals, [*keys, "_day"], null_safe=True)
-
-    def joined(*parts: str) -> Column:
-        return sum((F.coalesce(F.col(p), F.lit(0)) for p in parts[1:]), F.coalesce(F.col(parts[0]), F.lit(0)))
-
+    none = F.lit(0)
     return pieces.select(
         *keys,
         "at",
-        joined("_tail", "_mid", "_head").alias("total"),
-        joined("_tail_n", "_mid_n", "_head_n").alias("n"),
+        (
+            F.coalesce("_tail", none) + F.coalesce("_mid", none) + F.coalesce("_head", none)
+        ).alias("total"),
+        (
+            F.coalesce("_tail_n", none) + F.coalesce("_mid_n", none) + F.coalesce("_head_n", none)
+        ).alias("n"),
     )
 
 
@@ -123,19 +146,31 @@ def instant_totals(rows: DataFrame, keys: Sequence[str], at: Column, value: str)
 
 
 def trailing_mean(
-    rows: DataFrame, keys: Sequence[str], instant: str, value: str, days: int, name: str
+    rows: DataFrame,
+    keys: Sequence[str],
+    instant: str,
+    value: str,
+    days: int,
+    name: str,
+    grain: str = "second",
 ) -> DataFrame:
     """Per (keys, ``at``): the mean over the last ``days`` days, in whole seconds, peers included."""
     instants = instant_totals(rows, keys, whole_second(F.col(instant)), value)
-    totals = trailing_totals(instants, keys, days)
+    totals = trailing_totals(instants, keys, days, grain=grain)
     return totals.select(*keys, "at", F.try_divide("total", "n").alias(name))
 
 
 def attach_trailing_mean(
-    rows: DataFrame, keys: Sequence[str], instant: str, value: str, days: int, name: str
+    rows: DataFrame,
+    keys: Sequence[str],
+    instant: str,
+    value: str,
+    days: int,
+    name: str,
+    grain: str = "second",
 ) -> DataFrame:
     """Every row plus its trailing mean."""
-    means = trailing_mean(rows, keys, instant, value, days, name)
+    means = trailing_mean(rows, keys, instant, value, days, name, grain)
     stamped = rows.withColumn("at", whole_second(F.col(instant)))
     return attach(stamped, means, [*keys, "at"]).drop("at")
 
@@ -181,6 +216,7 @@ def signal_totals_before_events(
     event_at: str,
     value: str,
     days: int,
+    grain: str = "second",
 ) -> DataFrame:
     """Per (key, event instant): ``copies`` of the event and ``total`` and ``n`` of its signals.
 
@@ -192,7 +228,9 @@ def signal_totals_before_events(
         .groupBy(key, F.col(event_at).alias("at"))
         .agg(F.count("*").alias("copies"))
     )
-    totals = trailing_totals(instants, [key], days, probes=copies.select(key, "at"), whole_days=True)
+    totals = trailing_totals(
+        instants, [key], days, probes=copies.select(key, "at"), from_midnight=True, grain=grain
+    )
     return copies.join(totals, [key, "at"]).where("n > 0")
 
 
@@ -205,8 +243,11 @@ def mean_signal_before_events(
     value: str,
     days: int,
     name: str,
+    grain: str = "second",
 ) -> DataFrame:
     """Per key: the mean signal before its events. A signal counts once per event that covers it."""
-    totals = signal_totals_before_events(signals, events, key, signal_at, event_at, value, days)
+    totals = signal_totals_before_events(
+        signals, events, key, signal_at, event_at, value, days, grain
+    )
     mean = F.try_divide(F.sum(F.col("total") * F.col("copies")), F.sum(F.col("n") * F.col("copies")))
     return totals.groupBy(key).agg(mean.alias(name))
