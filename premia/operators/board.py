@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +42,7 @@ def median_trend(board: DataFrame) -> DataFrame:
 
 
 def capped_history(
-    history: DataFrame, points: DataFrame, order: str = "ts", cap: int = HISTORY_CAP
+    history: DataFrame, points: DataFrame, order: Sequence[str] = ("ts",), cap: int = HISTORY_CAP
 ) -> DataFrame:
-    """History plus new points, cut to the most recent ``cap``."""
-    return history.unionByName(points).orderBy(F.desc(order)).limit(cap)
+    """History plus new points, cut to the most recent ``cap``; ``order`` must be a total order."""
+    return history.unionByName(points).orderBy(*(F.desc(c) for c in order)).limit(cap)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from premia.sources.readers import scan_json
@@ -25,8 +25,11 @@ REFERENCE_RECORD = (
 
 
 def _ordered(rows: DataFrame) -> DataFrame:
-    """One comparable ``ordinal`` from file name and position."""
-    return rows.withColumn("ordinal", F.struct("_file", "position")).drop("_file", "position")
+    """One integer ``ordinal``: files by name, records by position. Only file names are ranked."""
+    files = rows.select("_file").distinct()
+    ranked = files.select("_file", F.row_number().over(Window.orderBy("_file")).alias("_rank"))
+    ordinal = F.col("_rank").cast("long") * F.lit(2**32) + F.col("position")
+    return rows.join(ranked, "_file").withColumn("ordinal", ordinal).drop("_file", "_rank", "position")
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
