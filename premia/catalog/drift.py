@@ -74,11 +74,13 @@ report AS (
 
 
 @query("quantile_edges", _PSI_SQL + """
-SELECT feature, CAST(edge_no AS BIGINT) AS edge_no, edge FROM edges""")
+SELECT feature, CAST(edge_no AS BIGINT) AS edge_no, round(edge, 6) AS edge FROM edges""")
 def quantile_edges_query(spark, folder):
     reference, _ = _sides(spark, folder)
     edges = edges_frame(spark, quantile_edges(reference, _FEATURES))
-    return edges.withColumn("edge_no", F.col("edge_no").cast("long"))
+    return edges.withColumns(
+        {"edge_no": F.col("edge_no").cast("long"), "edge": F.round("edge", 6)}
+    )
 
 
 @query("bin_counts", _PSI_SQL + """

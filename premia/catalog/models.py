@@ -10,7 +10,7 @@ from premia.catalog import feeds
 from premia.catalog import tables as T
 from premia.catalog.features import item_features, item_priced
 from premia.catalog.landing import SNAPSHOT_DATE, _landing
-from premia.catalog.registry import query, rounded
+from premia.catalog.registry import query, round_sql, rounded
 from premia.operators.board import capped_history, median_trend, ranked_board
 from premia.operators.models import (
     fit_linear,
@@ -253,10 +253,10 @@ def mlp_score_query(spark, folder):
 
 # --- Registry -----------------------------------------------------------------------------------
 
-# Orders are training runs, the price is the metric, the priority the model, the month the run date.
+# Orders are training runs, the price is the metric, the priority the model, the year the run date.
 _RUNS_SQL = """
 runs AS (
-  SELECT o_orderkey AS run_id, o_orderpriority AS model, date_trunc('month', o_orderdate)::DATE AS run_date,
+  SELECT o_orderkey AS run_id, o_orderpriority AS model, date_trunc('year', o_orderdate)::DATE AS run_date,
          CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS val_rmse
   FROM orders)"""
 
@@ -264,7 +264,7 @@ runs AS (
 def _runs(spark, folder):
     return T.table(spark, folder, "orders").selectExpr(
         "o_orderkey AS run_id", "o_orderpriority AS model",
-        "to_date(date_trunc('month', o_orderdate)) AS run_date",
+        "to_date(date_trunc('year', o_orderdate)) AS run_date",
         "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS val_rmse",
     )
 
@@ -289,7 +289,7 @@ SELECT model, run_id, val_rmse, beat_metric, last_version + 1 AS version,
        beat_metric IS NULL OR val_rmse < beat_metric AS promoted
 FROM candidates LEFT JOIN incumbents USING (model)""")
 def promotion_gate_query(spark, folder):
-    """The best run of the last month against the best run of all months before."""
+    """The best run of the last year against the best run of all years before."""
     runs = _runs(spark, folder)
     last = runs.agg(F.max("run_date").alias("last_date"))
     dated = runs.join(F.broadcast(last), F.col("run_date") <= F.col("last_date"))
@@ -352,10 +352,11 @@ def score_snapshot_query(spark, folder):
 
 
 # Line items as scored products: the discount is the predicted premium.
-_BOARD_SQL = """WITH board AS (
+_BOARD_SQL = f"""WITH board AS (
   SELECT l_orderkey * 1000000 + l_partkey * 10 + l_linenumber AS shoe_id, p_brand || ' ' || p_name AS name,
-         l_returnflag AS note, round(p_retailprice, 2) AS retail, round(l_extendedprice, 2) AS market,
-         round(l_discount, 4) AS premium, round(p_retailprice * (1 + l_discount), 2) AS implied_resale
+         l_returnflag AS note, {round_sql('p_retailprice', 2)} AS retail, {round_sql('l_extendedprice', 2)} AS market,
+         {round_sql('l_discount', 4)} AS premium,
+         {round_sql('p_retailprice * (1 + l_discount)', 2)} AS implied_resale
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 

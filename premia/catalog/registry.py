@@ -35,3 +35,14 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 def rounded(rows: DataFrame, *columns: str, places: int = 6) -> DataFrame:
     """Computed doubles rounded, as the oracle does: sums in another order differ in the last bits."""
     return rows.withColumns({c: F.round(c, places) for c in columns})
+
+
+def round_sql(value: str, places: int) -> str:
+    """SQL that rounds by the exact binary value, ties to even."""
+    return (
+        f"(SELECT CASE WHEN rest > 0.5 OR (rest = 0.5 AND err > 0) OR (rest = 0.5 AND err = 0 AND "
+        f"below % 2 = 1) THEN below + 1 ELSE below END / 1e{places} FROM (SELECT floor(p) AS below, "
+        f"p - floor(p) AS rest, (h * 1e{places} - p) + (x - h) * 1e{places} AS err FROM (SELECT x, "
+        f"x * 1e{places} AS p, x * 134217729.0::DOUBLE - (x * 134217729.0::DOUBLE - x) AS h "
+        f"FROM (SELECT CAST({value} AS DOUBLE) AS x))))"
+    )

@@ -45,3 +45,24 @@ def first_non_empty(*candidates: Column) -> Column:
 def nan_to_null(value: Column) -> Column:
     """NaN means missing."""
     return F.nanvl(value, F.lit(None).cast("double"))
+
+
+def round_exact(value: Column, places: int) -> Column:
+    """Round to decimal places by the exact binary value, ties to even, as Python's ``round`` does.
+
+    Spark's ``round`` goes by the shortest decimal form instead: it takes 2.675, which is a little less
+    than that, for a tie. Here ``scaled + error`` is the product ``value * 10**places`` without loss
+    (the value is split into two halves whose products are exact), so a near tie is told from a tie.
+    """
+    factor = F.lit(float(10**places))
+    scaled = value * factor
+    high = value * F.lit(134217729.0) - (value * F.lit(134217729.0) - value)
+    error = (high * factor - scaled) + (value - high) * factor
+    below = F.floor(scaled).cast("double")
+    rest = scaled - below
+    up = (
+        (rest > 0.5)
+        | ((rest == 0.5) & (error > 0))
+        | ((rest == 0.5) & (error == 0) & (F.pmod(below, F.lit(2.0)) == 1))
+    )
+    return F.when(up, below + 1).otherwise(below) / factor

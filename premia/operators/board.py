@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from premia.functions.prices import price_premium
+from premia.functions.prices import price_premium, round_exact
 from premia.functions.text import strip
 from premia.operators.quantiles import exact_quantiles
 from premia.spec import HISTORY_CAP
@@ -18,10 +18,10 @@ def ranked_board(scored: DataFrame, tiebreak: str = "shoe_id") -> DataFrame:
     board = scored.select(
         F.trim(F.concat_ws(" ", "brand", "model")).alias("name"),
         strip(F.col("colorway")).alias("note"),
-        F.round("retail_price", 2).alias("retail"),
-        F.round("sale_price", 2).alias("market"),
-        F.round("predicted_premium", 4).alias("premium"),
-        F.round("implied_resale", 2).alias("implied_resale"),
+        round_exact(F.col("retail_price"), 2).alias("retail"),
+        round_exact(F.col("sale_price"), 2).alias("market"),
+        round_exact(F.col("predicted_premium"), 4).alias("premium"),
+        round_exact(F.col("implied_resale"), 2).alias("implied_resale"),
         F.col(tiebreak),
     )
     return board.orderBy(F.desc("premium"), F.asc(tiebreak))
@@ -37,7 +37,7 @@ def median_trend(board: DataFrame) -> DataFrame:
         price_premium(F.col("market"), F.col("retail")).alias("market_premium"),
     )
     medians = exact_quantiles(premiums, ["model_premium", "market_premium"], [0.5])
-    points = {c: F.round(F.lit(v[0] if v else None).cast("double"), 4) for c, v in medians.items()}
+    points = {c: round_exact(F.lit(v[0] if v else None).cast("double"), 4) for c, v in medians.items()}
     return premiums.agg(F.count("*").alias("n")).select("n", *(p.alias(c) for c, p in points.items()))
 
 

@@ -12,6 +12,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from premia.functions.prices import round_exact
 from premia.operators.prep import Preprocessing
 
 
@@ -68,7 +69,7 @@ def scoring_report(predictions: DataFrame) -> DataFrame:
     measures = [F.count("*").alias("n_scored")]
     if "actual_premium" in predictions.columns:
         error = rmse(F.col("predicted_premium"), F.col("actual_premium"))
-        measures.append(F.round(error, 5).alias("rmse_vs_actual"))
+        measures.append(round_exact(error, 5).alias("rmse_vs_actual"))
     return predictions.agg(*measures)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premia.operators.prep import Preprocessing
+from premia.session import materialize
 from premia.spec import TRAINING_SEED
 
 # --- Fixed values: batch norm and Adam defaults -------------------------------------------------
@@ -178,7 +179,8 @@ def fit_network(
 ) -> tuple[NeuralModel, list[dict]]:
     """Train the network. Returns it with (epoch, train_loss, val_loss, val_rmse) per epoch.
 
-    ``train`` and ``validation`` are read once per epoch, so they should be stored tables.
+    The prepared training rows are stored once, spread evenly over ``partitions`` files, and read in
+    every epoch. ``validation`` is scored in every epoch, so it should be a stored table.
     """
     inputs, hidden = len(preprocessing.features), spec.hidden_dim
     start = flatten(initial_parameters(inputs, hidden, seed))
@@ -187,8 +189,8 @@ def fit_network(
     ready = train.where(F.col(target).isNotNull()).select(
         preprocessing.vector().alias("x"), F.col(target).cast("double").alias("y")
     )
-    if partitions:
-        ready = ready.repartition(partitions)
+    partitions = partitions or train.sparkSession.sparkContext.defaultParallelism
+    ready = materialize(ready.repartition(partitions), "training-rows")
     history = []
     for epoch in range(spec.num_epochs):
         state, train_loss = _epoch(ready, state, epoch, inputs, spec, seed)

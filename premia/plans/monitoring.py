@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import functions as F
 
+from premia.functions.prices import round_exact
 from premia.operators.drift import drift_coverage, drift_gate, drift_report
 from premia.sources.writers import Store
 from premia.spec import MODEL_FEATURES, PSI_THRESHOLD
@@ -40,7 +41,7 @@ def run_drift_check(
     report = drift_report(reference, current, measured, threshold)
     coverage = drift_coverage(spark, MODEL_FEATURES, measured, reasons)
     full = coverage.join(report, "feature", "left").select(
-        "feature", "measured", "reason", F.round("psi", 5).alias("psi"), "drifted",
+        "feature", "measured", "reason", round_exact(F.col("psi"), 5).alias("psi"), "drifted",
         F.lit(reference_run_date).alias("reference_run_date"),
         F.lit(threshold).alias("psi_threshold"),
     )

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from premia.functions.prices import round_exact
 from premia.operators.contract import (
     FEATURE_TYPES,
     ContractViolation,
@@ -60,7 +61,7 @@ def validation_report(sales: DataFrame, features: DataFrame) -> DataFrame:
     return retention(sales, features).select(
         F.col("input_rows").alias("input_row_count"),
         F.col("output_rows").alias("output_row_count"),
-        F.round("retention_pct", 2).alias("row_retention_pct"),
+        round_exact(F.col("retention_pct"), 2).alias("row_retention_pct"),
         F.lit(MIN_RETENTION_PCT).alias("min_row_retention_pct"),
         F.lit("passed").alias("status"),
         gaps.scalar().alias("rolling_null_rows"),
