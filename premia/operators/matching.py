@@ -14,13 +14,14 @@ def first_candidate_match(
 ) -> DataFrame:
     """``rows`` plus a struct ``name`` from ``lookup``: the match of the first candidate that has one.
 
-    ``row_key`` is unique in ``rows`` and ``lookup_key`` in ``lookup``. Only keys travel through the
-    candidate join; rows without a match get NULL.
+    ``row_key`` is unique in ``rows`` and ``lookup_key`` in ``lookup``; rows without a match get NULL.
+    The rows travel with their candidates, so whatever made them runs once.
     """
     keyed = lookup.select(F.col(lookup_key).alias("_candidate"), F.struct("*").alias(name))
-    tried = rows.select(row_key, F.posexplode(candidates).alias("_place", "_candidate"))
-    matched = first_per_key(tried.join(keyed, "_candidate"), [row_key], [F.col("_place")])
-    return rows.join(matched.select(row_key, name), row_key, "left")
+    tried = rows.select("*", F.posexplode_outer(candidates).alias("_place", "_candidate"))
+    found = tried.join(keyed, "_candidate", "left")
+    best_first = [F.col(name).isNull().asc(), F.col("_place").asc()]
+    return first_per_key(found, [row_key], best_first).drop("_place", "_candidate")
 
 
 def without_match(

@@ -20,6 +20,7 @@ from premia.functions.text import brands_conflict, classify_release
 from premia.operators.contract import coerce, table_types
 from premia.operators.matching import first_candidate_match
 from premia.operators.ordering import keep_first, keep_last, sequential_id
+from premia.session import materialize
 from premia.sources.writers import Store, landing_profile, require_rows
 from premia.spec import CANONICAL_SCHEMAS, SnapshotSpec
 
@@ -140,11 +141,6 @@ class Landing:
             raise ValueError(f"no product has retail, market price and release date: {counts}")
 
 
-def number_in_order(rows: DataFrame, ordinal: str, name: str) -> DataFrame:
-    """Numbers 1..n in source order, for an integer ordinal."""
-    return sequential_id(rows, ordinal, name)
-
-
 def snapshot_tables(
     landed: DataFrame, snapshot_date: str, spec: SnapshotSpec = SnapshotSpec()
 ) -> dict[str, DataFrame]:
@@ -185,10 +181,14 @@ def land_snapshot(
     snapshot_date: str,
     spec: SnapshotSpec = SnapshotSpec(),
 ) -> Landing:
-    """The whole adapter, lazily. ``ordinal`` of the price feed must be a unique integer."""
+    """The whole adapter. ``ordinal`` of the price feed must be a unique integer.
+
+    The judged products are stored once, since six frames are read from them.
+    """
     judged = with_exclusion(match_reference(merge_feeds(prices, releases), reference))
+    judged = materialize(judged, "judged-products")
     landed = landed_products(judged)
-    numbered = number_in_order(landed, "ordinal", "row_id")
+    numbered = sequential_id(landed, "ordinal", "row_id")
     return Landing(
         snapshot_tables(numbered, snapshot_date, spec), exclusion_counts(judged), id_collisions(landed)
     )

@@ -62,7 +62,7 @@ def save_model(store: Store, spark, run: TrainingRun, run_date: str, run_id: str
     """One JSON document: the model with the preprocessing it was trained with."""
     kind = "linear" if isinstance(run.model, LinearModel) else "network"
     bundle = {"kind": kind, "run_date": run_date, "val_rmse": run.val_rmse, "model": run.model.to_dict()}
-    return write_report(spark, bundle, f"{store.path('models', run_id)}/run_date={run_date}")
+    return write_report(spark, bundle, store.run_path("models", run_id, run_date))
 
 
 def load_model(spark, path: str) -> LinearModel | NeuralModel:

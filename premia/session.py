@@ -13,12 +13,14 @@ from pyspark.sql import SparkSession
 #    further down.
 #  - requireAllClusterKeysForDistribution: grouping by (product, size) after a join on product is
 #    shuffled on both columns; otherwise a hot product would stay in one task.
+#  - partitionColumnTypeInference: a brand named 007 stays a text.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.requireAllClusterKeysForDistribution": "true",
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

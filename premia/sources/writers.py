@@ -9,23 +9,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from premia.sources.readers import without_nan
+
 # The zones of a store.
 ZONES = ["raw", "features", "validated", "models", "predictions", "drift", "failures"]
 
 
-def write_partitioned(rows: DataFrame, path: str, partition_columns: Sequence[str]) -> str:
-    """Overwrite the written partitions of a Hive-partitioned Parquet table, leaving the others.
+def write_partitioned(rows: DataFrame, path: str, partition_columns: Sequence[str] = ()) -> str:
+    """Replace a Hive-partitioned Parquet table.
 
     The write asks for a rebalance on the partition columns: small partitions are merged into one
     file, and a value that holds much of the data is split over many tasks and files.
     """
-    balanced = rows.hint("rebalance", *(F.col(c) for c in partition_columns)) if partition_columns else rows
-    (
-        balanced.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_columns)
-        .parquet(path)
-    )
+    if partition_columns:
+        rows = rows.hint("rebalance", *(F.col(c) for c in partition_columns))
+    rows.write.mode("overwrite").partitionBy(*partition_columns).parquet(path)
     return path
 
 
@@ -41,7 +39,11 @@ def write_report(spark: SparkSession, report: DataFrame | Mapping, path: str) ->
 
 @dataclass(frozen=True)
 class Store:
-    """Tables below one root, one per zone, with the run date as a partition column."""
+    """Tables below one root: ``zone/table/run_date=.../[column=.../]``.
+
+    A run is one folder, so a rerun replaces all of it and a read lists only it. Read from the table's
+    folder, the run date is a partition column.
+    """
 
     root: str
 
@@ -50,6 +52,9 @@ class Store:
             raise ValueError(f"unknown zone {zone!r}")
         return f"{self.root.rstrip('/')}/{zone}/{table}"
 
+    def run_path(self, zone: str, table: str, run_date: str) -> str:
+        return f"{self.path(zone, table)}/run_date={run_date}"
+
     def write(
         self,
         rows: DataFrame,
@@ -58,19 +63,17 @@ class Store:
         run_date: str,
         partition_columns: Sequence[str] = (),
     ) -> str:
-        """Replace one run's partition of a table."""
-        dated = rows.withColumn("run_date", F.lit(run_date).cast("date"))
-        return write_partitioned(dated, self.path(zone, table), ["run_date", *partition_columns])
+        """Replace one run of a table."""
+        return write_partitioned(rows, self.run_path(zone, table, run_date), partition_columns)
 
     def read(self, spark: SparkSession, zone: str, table: str, run_date: str) -> DataFrame:
-        """One run's rows; only that run's files are listed and read."""
-        rows = spark.read.parquet(self.path(zone, table))
-        return rows.where(F.col("run_date") == F.lit(run_date).cast("date")).drop("run_date")
+        """One run of a table."""
+        return without_nan(spark.read.parquet(self.run_path(zone, table, run_date)))
 
     def write_report(
         self, spark: SparkSession, report: DataFrame | Mapping, zone: str, name: str, run_date: str
     ) -> str:
-        return write_report(spark, report, f"{self.path(zone, name)}/run_date={run_date}")
+        return write_report(spark, report, self.run_path(zone, name, run_date))
 
 
 def landing_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
