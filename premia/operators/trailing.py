@@ -31,14 +31,15 @@ def trailing_totals(
     probes: DataFrame | None = None,
     from_midnight: bool = False,
     grain: str = "second",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Totals over ``[at - days, at]``, both ends included, at every probe instant.
 
     ``instants`` has one row per (keys, ``at``) with ``total`` and ``n``. ``probes`` has (keys, ``at``)
     without repeats; by default the instants themselves. ``from_midnight`` starts the range at midnight
     of its first day. ``grain="day"`` declares that all instants are midnights, which needs no head and
-    tail; an instant that is none fails the job. Returns keys, ``at``, ``total``, ``n``; a probe with
-    nothing in range has n = 0.
+    tail; an instant that is none fails the job. Returns keys, ``at``, ``total``, ``n`` and the probes'
+    ``carry`` columns; a probe with nothing in range has n = 0.
     """
     if days < 1:
         raise ValueError("a trailing range spans at least one day")
@@ -46,12 +47,16 @@ def trailing_totals(
         raise ValueError(f"grain must be one of {GRAINS}, not {grain!r}")
     keys = list(keys)
     if grain == "day":
-        return _over_days(instants, keys, days, probes)
-    return _over_instants(instants, keys, days, probes, from_midnight)
+        return _over_days(instants, keys, days, probes, carry)
+    return _over_instants(instants, keys, days, probes, from_midnight, carry)
 
 
 def _over_days(
-    instants: DataFrame, keys: list[str], days: int, probes: DataFrame | None
+    instants: DataFrame,
+    keys: list[str],
+    days: int,
+    probes: DataFrame | None,
+    carry: Sequence[str],
 ) -> DataFrame:
     """All instants are midnights: a frame of at most ``days`` + 1 rows over the product's days."""
     day = F.to_date("at")
@@ -60,7 +65,9 @@ def _over_days(
     frame = Window.partitionBy(*keys).orderBy("_day").rangeBetween(-days, 0)
     timeline = instants.select(*keys, "at", "total", "n", checked.alias("_day"))
     if probes is not None:
-        asked = probes.select(*keys, "at", checked.alias("_day"), F.lit(True).alias("_probe"))
+        asked = probes.select(
+            *keys, "at", *carry, checked.alias("_day"), F.lit(True).alias("_probe")
+        )
         timeline = timeline.withColumn("_probe", F.lit(False)).unionByName(
             asked, allowMissingColumns=True
         )
@@ -69,11 +76,16 @@ def _over_days(
     )
     if probes is not None:
         summed = summed.where("_probe")
-    return summed.select(*keys, "at", "total", "n")
+    return summed.select(*keys, "at", "total", "n", *carry)
 
 
 def _over_instants(
-    instants: DataFrame, keys: list[str], days: int, probes: DataFrame | None, from_midnight: bool
+    instants: DataFrame,
+    keys: list[str],
+    days: int,
+    probes: DataFrame | None,
+    from_midnight: bool,
+    carry: Sequence[str],
 ) -> DataFrame:
     """Tail of the first day + whole days between + head of the last day."""
     no_total, no_n = F.lit(None).cast("double"), F.lit(None).cast("long")
@@ -90,15 +102,18 @@ def _over_instants(
             tail[0].alias("_tail"),
             tail[1].alias("_tail_n"),
             F.lit(probe).alias("_probe"),
+            *(carry if probe else ()),
         )
 
     at = F.col("at")
     timeline = layer(instants, at, (total, n), (no_total, no_n), probes is None)
     if probes is not None:
-        timeline = timeline.unionByName(layer(probes, at, (no_total, no_n), (no_total, no_n), True))
+        asked = layer(probes, at, (no_total, no_n), (no_total, no_n), True)
+        timeline = timeline.unionByName(asked, allowMissingColumns=True)
     if not from_midnight:
         aged = at + F.make_dt_interval(F.lit(days))
-        timeline = timeline.unionByName(layer(instants, aged, (no_total, no_n), (total, n), False))
+        older = layer(instants, aged, (no_total, no_n), (total, n), False)
+        timeline = timeline.unionByName(older, allowMissingColumns=True)
 
     one_day = Window.partitionBy(*keys, "_day")
     so_far = (Window.unboundedPreceding, Window.currentRow)
@@ -132,6 +147,7 @@ def _over_instants(
         (
             F.coalesce("_tail_n", none) + F.coalesce("_mid_n", none) + F.coalesce("_head_n", none)
         ).alias("n"),
+        *carry,
     )
 
 
@@ -229,9 +245,9 @@ def signal_totals_before_events(
         .agg(F.count("*").alias("copies"))
     )
     totals = trailing_totals(
-        instants, [key], days, probes=copies.select(key, "at"), from_midnight=True, grain=grain
+        instants, [key], days, copies, from_midnight=True, grain=grain, carry=["copies"]
     )
-    return copies.join(totals, [key, "at"]).where("n > 0")
+    return totals.where("n > 0")
 
 
 def mean_signal_before_events(
