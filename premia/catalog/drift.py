@@ -41,9 +41,13 @@ def _split_columns(text):
 
 
 _LEVELS = ", ".join(f"{q!r}::DOUBLE" for q in evenly_spaced(PSI_BINS))
+# Linear interpolation between the two neighbouring values, from the nearer one, as numpy does it.
 _EDGES = " UNION ALL ".join(
-    f"""SELECT '{f}' AS feature, unnest(quantile_cont({f}, [{_LEVELS}])) AS edge
-  FROM side WHERE is_reference AND {f} IS NOT NULL""" for f in _FEATURES
+    f"""SELECT '{f}' AS feature, CASE WHEN t >= 0.5 THEN b - (b - a) * (1 - t) ELSE a + (b - a) * t END AS edge
+  FROM (SELECT p - floor(p) AS t, vs[CAST(floor(p) AS BIGINT) + 1] AS a, vs[CAST(ceil(p) AS BIGINT) + 1] AS b
+        FROM (SELECT vs, unnest([{_LEVELS}]) * (len(vs) - 1) AS p
+              FROM (SELECT list_sort(list({f})) AS vs FROM side WHERE is_reference AND {f} IS NOT NULL)))"""
+    for f in _FEATURES
 )
 _LONG = " UNION ALL ".join(
     f"SELECT '{f}' AS feature, is_reference, {f} AS value FROM side WHERE {f} IS NOT NULL" for f in _FEATURES

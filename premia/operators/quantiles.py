@@ -1,9 +1,9 @@
 """Exact quantiles of large columns.
 
-``percentile`` gathers the distinct values of a column in one task, which is right for columns of a
-checked size only. Beyond it, the wanted ranks are bracketed with mergeable sketches, the bracket is
-counted exactly, and the search goes on inside the bracket until it is small enough to read off. Only
-bracket limits and counts come to the driver.
+The values at the wanted ranks are read off running counts of the distinct values, in one task per
+column, which is right for columns of a checked size only. Beyond that size the ranks are bracketed with
+mergeable sketches, the brackets are counted exactly, and the search goes on inside them until they are
+small enough. Only bracket limits, counts and the values asked for come to the driver.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from premia.functions.prices import nan_to_null
@@ -27,6 +27,24 @@ def evenly_spaced(bins: int) -> list[float]:
     return [float(q) for q in np.linspace(0, 1, bins + 1)]
 
 
+@dataclass(frozen=True)
+class _Search:
+    """The value of ``column`` at ``rank`` lies in [low, high]; ``below`` values are under ``low``."""
+
+    column: str
+    rank: int
+    low: float | None
+    high: float | None
+    below: int
+    inside: int
+
+    def holds(self) -> Column:
+        """True for the values inside; without limits, all of them."""
+        if self.low is None:
+            return F.col(self.column).isNotNull()
+        return F.col(self.column).between(F.lit(self.low), F.lit(self.high))
+
+
 def exact_quantiles(
     rows: DataFrame,
     columns: Sequence[str],
@@ -34,125 +52,89 @@ def exact_quantiles(
     direct_limit: int = DIRECT_LIMIT,
     accuracy: int = SKETCH_ACCURACY,
 ) -> dict[str, list[float]]:
-    """Interpolated quantiles per column, missing values ignored; an empty column gives []."""
+    """Linearly interpolated quantiles per column, equal to numpy's. Missing values do not count; a
+    column without values gives []."""
     values = rows.select(*(nan_to_null(F.col(c).cast("double")).alias(c) for c in columns))
     sizes = values.agg(*(F.count(c).alias(c) for c in columns)).first().asDict()
-
-    small = [c for c in columns if 0 < sizes[c] <= direct_limit]
-    found: dict[str, list[float]] = {c: [] for c in columns}
-    if small:
-        levels = F.array(*(F.lit(float(q)) for q in probabilities))
-        row = values.agg(*(F.percentile(c, levels).alias(c) for c in small)).first()
-        found.update({c: [float(v) for v in row[c]] for c in small})
-    for column in columns:
-        if sizes[column] > direct_limit:
-            found[column] = _large_column(
-                values, column, sizes[column], probabilities, direct_limit, accuracy
-            )
-    return found
-
-
-@dataclass(frozen=True)
-class _Bracket:
-    """Values in [low, high] hold the wanted rank; ``below`` values are smaller than ``low``."""
-
-    low: float
-    high: float
-    below: int
-    inside: int
-
-
-def _large_column(
-    values: DataFrame,
-    column: str,
-    size: int,
-    probabilities: Sequence[float],
-    direct_limit: int,
-    accuracy: int,
-) -> list[float]:
-    positions = [q * (size - 1) for q in probabilities]
-    ranks = sorted({r for p in positions for r in (math.floor(p), math.ceil(p))})
-    by_rank = _values_at_ranks(
-        values.select(column).where(F.col(column).isNotNull()), column, size, ranks, direct_limit, accuracy
-    )
-    result = []
-    for p in positions:
-        lower, upper = math.floor(p), math.ceil(p)
-        if lower == upper or by_rank[lower] == by_rank[upper]:
-            result.append(by_rank[lower])
-        else:
-            result.append((upper - p) * by_rank[lower] + (p - lower) * by_rank[upper])
-    return result
-
-
-def _values_at_ranks(
-    values: DataFrame, column: str, size: int, ranks: list[int], direct_limit: int, accuracy: int
-) -> dict[int, float]:
-    x = F.col(column)
-    ends = values.agg(F.min(x), F.max(x)).first()
-    open_ranks = {r: _Bracket(ends[0], ends[1], 0, size) for r in ranks}
-    settled: dict[int, float] = {}
-    while open_ranks:
-        narrowed = _narrow(values, column, open_ranks, accuracy)
-        stuck = narrowed == open_ranks
-        ready = {}
-        for rank, b in narrowed.items():
-            if b.low == b.high:
-                settled[rank] = b.low
-            elif b.inside <= direct_limit or stuck:
-                ready[rank] = b
-        settled.update(_read_off(values, column, ready))
-        open_ranks = {r: b for r, b in narrowed.items() if r not in settled}
-    return settled
-
-
-def _narrow(
-    values: DataFrame, column: str, brackets: Mapping[int, _Bracket], accuracy: int
-) -> dict[int, _Bracket]:
+    positions = {c: [q * (sizes[c] - 1) for q in probabilities] for c in columns if sizes[c]}
+
+    ranks = {(c, r) for c, ps in positions.items() for p in ps for r in (math.floor(p), math.ceil(p))}
+    searches = [_Search(c, r, None, None, 0, sizes[c]) for c, r in sorted(ranks)]
+    at_rank = {}
+    while searches:
+        small = [s for s in searches if s.inside <= direct_limit]
+        at_rank.update(_read_off(values, small))
+        large = [s for s in searches if s.inside > direct_limit]
+        narrowed = _narrow(values, large, accuracy)
+        at_rank.update({(s.column, s.rank): s.low for s in narrowed if s.low == s.high})
+        searches = [s for s in narrowed if s.low != s.high]
+        if searches and searches == large:  # the sketch cannot split it further: read it off as it is
+            at_rank.update(_read_off(values, searches))
+            searches = []
+
+    def between(column: str, position: float) -> float:
+        low, high = (at_rank[column, r] for r in (math.floor(position), math.ceil(position)))
+        return float(np.quantile([low, high], position - math.floor(position)))
+
+    return {c: [between(c, p) for p in positions.get(c, ())] for c in columns}
+
+
+def _narrow(values: DataFrame, searches: Sequence[_Search], accuracy: int) -> list[_Search]:
     """One sketch pass and one counting pass that shrink every bracket around its rank."""
-    x = F.col(column)
+    if not searches:
+        return []
     slack = 3.0 / accuracy
-    limits = {}
-    for rank, b in brackets.items():
-        share = (rank - b.below + 0.5) / b.inside
+    limits = []
+    for i, s in enumerate(searches):
+        share = (s.rank - s.below + 0.5) / s.inside
         levels = F.array(F.lit(max(share - slack, 0.0)), F.lit(min(share + slack, 1.0)))
-        inside = F.when(x.between(b.low, b.high), x)
-        limits[rank] = F.percentile_approx(inside, levels, accuracy).alias(str(rank))
-    pivots = values.agg(*limits.values()).first().asDict()
+        inside = F.when(s.holds(), F.col(s.column))
+        limits.append(F.percentile_approx(inside, levels, accuracy).alias(f"limits_{i}"))
+    pivots = values.agg(*limits).first()
 
     counts = []
-    for rank in brackets:
-        low, high = (F.lit(float(v)) for v in pivots[str(rank)])
-        counts += [
-            F.count_if(x < low).alias(f"below_{rank}"),
-            F.count_if(x.between(low, high)).alias(f"inside_{rank}"),
-        ]
-    counted = values.agg(*counts).first().asDict()
-    narrowed = {}
-    for rank, old in brackets.items():
-        low, high = pivots[str(rank)]
-        below, inside = counted[f"below_{rank}"], counted[f"inside_{rank}"]
-        holds_rank = below <= rank < below + inside
-        narrowed[rank] = _Bracket(low, high, below, inside) if holds_rank else old
+    for i, s in enumerate(searches):
+        x, (low, high) = F.col(s.column), (F.lit(float(v)) for v in pivots[i])
+        counts += [F.count_if(x < low), F.count_if(x.between(low, high))]
+    counted = values.agg(*counts).first()
+    narrowed = []
+    for i, s in enumerate(searches):
+        below, inside = counted[2 * i], counted[2 * i + 1]
+        if below <= s.rank < below + inside:
+            s = _Search(s.column, s.rank, *map(float, pivots[i]), below, inside)
+        narrowed.append(s)
     return narrowed
 
 
-def _read_off(values: DataFrame, column: str, brackets: Mapping[int, _Bracket]) -> dict[int, float]:
-    """The value at each rank, from the distinct values of its bracket."""
-    if not brackets:
+def _read_off(values: DataFrame, searches: Sequence[_Search]) -> Mapping[tuple[str, int], float]:
+    """The value at each rank, from running counts of the distinct values of its bracket.
+
+    Searches with one bracket share it: the counts are made per (column, bracket).
+    """
+    if not searches:
         return {}
-    x = F.col(column)
-    member_of = F.filter(
-        F.array(*(F.when(x.between(b.low, b.high), F.lit(r)) for r, b in brackets.items())),
-        lambda rank: rank.isNotNull(),
+    brackets: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        brackets.setdefault((s.column, s.low, s.high), []).append(s)
+    groups = list(brackets.values())
+    members = F.array(
+        *(
+            F.when(group[0].holds(), F.struct(F.lit(i).alias("bracket"), F.col(group[0].column).alias("value")))
+            for i, group in enumerate(groups)
+        )
+    )
+    counted = (
+        values.select(F.inline(F.array_compact(members))).groupBy("bracket", "value").count()
+    )
+    before = F.create_map(*(F.lit(v) for i, g in enumerate(groups) for v in (i, g[0].below)))
+    asked = F.create_map(
+        *(v for i, g in enumerate(groups) for v in (F.lit(i), F.array(*(F.lit(s.rank) for s in g))))
     )
-    distinct = (
-        values.select(x.alias("value"), F.explode(member_of).alias("rank"))
-        .groupBy("rank", "value")
-        .count()
+    so_far = F.sum("count").over(Window.partitionBy("bracket").orderBy("value"))
+    reached = counted.withColumn("upto", so_far + before[F.col("bracket")])
+    hit = F.filter(
+        asked[F.col("bracket")],
+        lambda rank: (rank < F.col("upto")) & (rank >= F.col("upto") - F.col("count")),
     )
-    so_far = F.sum("count").over(Window.partitionBy("rank").orderBy("value"))
-    below = F.create_map(*(F.lit(v) for r, b in brackets.items() for v in (r, b.below)))
-    reached = distinct.withColumn("reached", so_far + below[F.col("rank")])
-    picked = reached.where(F.col("reached") > F.col("rank")).groupBy("rank").agg(F.min("value").alias("value"))
-    return {row["rank"]: float(row["value"]) for row in picked.collect()}
+    found = reached.select("bracket", F.explode(hit).alias("rank"), "value").collect()
+    return {(groups[r["bracket"]][0].column, r["rank"]): float(r["value"]) for r in found}
