@@ -136,7 +136,8 @@ def _over_instants(
     inner = {c: F.sum(c).over(between) if first < 0 else F.lit(None) for c in ("_mid", "_mid_n")}
     day_totals = day_totals.withColumns(inner)
 
-    pieces = attach(summed.where("_probe"), day_totals, [*keys, "_day"], null_safe=True)
+    # Both sides are already shuffled by (keys, day) or small: the join adds no shuffle of the timeline.
+    pieces = summed.where("_probe").join(day_totals, [*keys, "_day"], "left")
     none = F.lit(0)
     return pieces.select(
         *keys,
@@ -152,10 +153,11 @@ def _over_instants(
 
 
 def instant_totals(rows: DataFrame, keys: Sequence[str], at: Column, value: str) -> DataFrame:
-    """Rows totalled per (keys, instant): the input of ``trailing_totals``."""
+    """Rows totalled per (keys, instant): the input of ``trailing_totals``. Rows without a key or an
+    instant belong to no timeline."""
     return (
         rows.withColumn("at", at)
-        .where(F.col("at").isNotNull())
+        .dropna(subset=["at", *keys])
         .groupBy(*keys, "at")
         .agg(F.sum(F.col(value).cast("double")).alias("total"), F.count(value).alias("n"))
     )
