@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from premia.functions.prices import nan_to_null
 
 DIRECT_LIMIT = 2_000_000
-SKETCH_ACCURACY = 100_000
+SKETCH_ACCURACY = 10_000
 
 
 def evenly_spaced(bins: int) -> list[float]:
@@ -68,7 +68,7 @@ def exact_quantiles(
         narrowed = _narrow(values, large, accuracy)
         at_rank.update({(s.column, s.rank): s.low for s in narrowed if s.low == s.high})
         searches = [s for s in narrowed if s.low != s.high]
-        if searches and searches == large:  # the sketch cannot split it further: read it off as it is
+        if searches and set(searches) == set(large):  # no sketch splits them further: read them off
             at_rank.update(_read_off(values, searches))
             searches = []
 
@@ -79,18 +79,36 @@ def exact_quantiles(
     return {c: [between(c, p) for p in positions.get(c, ())] for c in columns}
 
 
+def _by_bracket(searches: Sequence[_Search]) -> list[list[_Search]]:
+    groups: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        groups.setdefault((s.column, s.low, s.high), []).append(s)
+    return list(groups.values())
+
+
 def _narrow(values: DataFrame, searches: Sequence[_Search], accuracy: int) -> list[_Search]:
-    """One sketch pass and one counting pass that shrink every bracket around its rank."""
+    """One sketch pass and one counting pass that shrink every bracket around its rank.
+
+    Ranks searched in the same bracket share its sketch.
+    """
     if not searches:
         return []
     slack = 3.0 / accuracy
-    limits = []
-    for i, s in enumerate(searches):
-        share = (s.rank - s.below + 0.5) / s.inside
-        levels = F.array(F.lit(max(share - slack, 0.0)), F.lit(min(share + slack, 1.0)))
-        inside = F.when(s.holds(), F.col(s.column))
-        limits.append(F.percentile_approx(inside, levels, accuracy).alias(f"limits_{i}"))
-    pivots = values.agg(*limits).first()
+    sketches = []
+    groups = _by_bracket(searches)
+    for i, group in enumerate(groups):
+        shares = [(s.rank - s.below + 0.5) / s.inside for s in group]
+        levels = [max(q - slack, 0.0) for q in shares] + [min(q + slack, 1.0) for q in shares]
+        inside = F.when(group[0].holds(), F.col(group[0].column))
+        sketches.append(
+            F.percentile_approx(inside, F.array(*map(F.lit, levels)), accuracy).alias(f"limits_{i}")
+        )
+    searches = [s for group in groups for s in group]
+    pivots = [
+        pair
+        for limits in values.agg(*sketches).first()
+        for pair in zip(limits[: len(limits) // 2], limits[len(limits) // 2 :])
+    ]
 
     counts = []
     for i, s in enumerate(searches):
@@ -113,10 +131,7 @@ def _read_off(values: DataFrame, searches: Sequence[_Search]) -> Mapping[tuple[s
     """
     if not searches:
         return {}
-    brackets: dict[tuple, list[_Search]] = {}
-    for s in searches:
-        brackets.setdefault((s.column, s.low, s.high), []).append(s)
-    groups = list(brackets.values())
+    groups = _by_bracket(searches)
     members = F.array(
         *(
             F.when(group[0].holds(), F.struct(F.lit(i).alias("bracket"), F.col(group[0].column).alias("value")))
