@@ -15,7 +15,6 @@ from premia.operators.board import capped_history, median_trend, ranked_board
 from premia.operators.models import (
     fit_linear,
     prediction_table,
-
     scoring_report,
     split_records,
 )
