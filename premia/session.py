@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,18 +41,29 @@ def build_session(app_name: str = "premia", master: str | None = None, **conf: s
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh path for intermediate tables, below the folder all executors share.
+    """A fresh path for intermediate tables, below a folder all executors share.
 
-    The folder is the session's ``spark.checkpoint.dir`` (or the context's checkpoint folder). Only a
-    local session may fall back to a temporary folder, because there driver and executors are one
-    machine.
+    The folder is the session's ``spark.checkpoint.dir``, else the context's checkpoint folder, else a
+    folder below the session's warehouse. What is written there is removed when the session's JVM ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="premia-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    at, files = _file_system(spark, path)
+    files.deleteOnExit(at)
+    return path
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that no later step reads."""
+    at, files = _file_system(spark, path)
+    files.delete(at, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def materialize(frame, purpose: str):

@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from check_queries import compare, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from premia.catalog import ORACLES, QUERIES
 
 SLOW = {"mlp_fit", "mlp_score"}
 
@@ -15,14 +16,14 @@ def connection(small):
     return duck(small)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query_equals_oracle(spark, connection, small, name):
     outcome, _, _ = compare(spark, connection, small, name)
     assert outcome == "ok"
 
 
 def test_only_training_lacks_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == SLOW
+    assert set(QUERIES) - set(ORACLES) == SLOW
 
 
 def test_entry_has_the_feature_columns(spark):
