@@ -120,6 +120,14 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mixed(total)
 
 
+def grams_at(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """``gram_hashes`` at some starts only."""
+    total = np.full(len(starts), size, np.uint64)
+    for i in range(size):
+        total = total * np.uint64(0x9FB21C651E98DF25) + words[starts + i]
+    return mixed(total)
+
+
 def window_minima(keys: np.ndarray, width: int) -> np.ndarray:
     """The minimum of each window of ``width`` keys."""
     count = len(keys) - width + 1

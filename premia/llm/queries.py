@@ -6,8 +6,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from premia.llm import simhash
+from premia.llm import decontam, mixing, repeats, simhash
 from premia.llm.arrays import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +41,106 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+DECONTAM_SQL = rf"""
+WITH item AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+doc AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(w[i : i + size - 1], ' ') AS gram
+    FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+          FROM (SELECT *, least(13, len(w)) AS size FROM item WHERE len(w) > 0))),
+grams AS (
+    SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS gram
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+          FROM doc, (SELECT DISTINCT size FROM windows))),
+hits AS (SELECT doc_id, item_id, grams.size, i FROM grams JOIN windows USING (size, gram)),
+words AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY doc_id),
+names AS (
+    SELECT doc_id, count(*) AS n_items, array_to_string(list_sort(list(item)), ',') AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN names USING (doc_id)
+"""
+
+
+@query("op2_decontamination", DECONTAM_SQL)
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark contamination of every document."""
+    marked = decontam.with_contamination(
+        table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark")
+    )
+    found = F.col("contamination")
+    return marked.select(
+        "doc_id",
+        found["n_words"].alias("n_words"),
+        decontam.hit_words(found).alias("n_hit"),
+        F.size(found["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(found["items"], ","), 256).alias("items_sha256"),
+        decontam.is_contaminated(found).alias("contaminated"),
+    )
+
+
+@query("op7_repeats")
+def op7_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document that repeated strings of 200 bytes cover."""
+    marked = repeats.with_repeats(table(spark, folder, "documents").select("doc_id", "text"), 200, "none")
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return marked.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        repeats.digest(F.col("kept")).alias("kept_sha256"),
+    )
+
+
+MIXING_SQL = r"""
+WITH RECURSIVE sizes AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+sources AS (
+    SELECT source, source_size, [5, 2, 1][1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3] AS weight
+    FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source)),
+fill(rest, weights) AS (
+    SELECT CAST(sum(source_size) AS HUGEINT), CAST(sum(weight) AS HUGEINT) FROM sources
+    UNION
+    SELECT (SELECT CAST(sum(source_size) AS HUGEINT) FROM sources)
+               - sum(CASE WHEN weight * rest > 3 * source_size * weights THEN 3 * source_size ELSE 0 END),
+           sum(CASE WHEN weight * rest > 3 * source_size * weights THEN 0 ELSE weight END)
+    FROM sources, fill GROUP BY rest, weights),
+level AS (SELECT rest, weights FROM fill ORDER BY weights LIMIT 1),
+targets AS (
+    SELECT source, source_size,
+           CASE WHEN weight * rest > 3 * source_size * weights THEN CAST(3 * source_size AS DOUBLE)
+                ELSE CAST(rest AS DOUBLE) * weight / CAST(weights AS DOUBLE) END AS target
+    FROM sources, level),
+shares AS (
+    SELECT *, target / source_size - whole AS share, greatest(target - whole * source_size, 0.0) AS budget
+    FROM (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM targets)),
+ranked AS (
+    SELECT doc_id, size, source_size, target, whole, budget, s.source,
+           CASE WHEN share > 0 THEN u / (1 - u) * ((1 - share) / share) ELSE 0.0 END AS pareto
+    FROM (SELECT *, (CAST(CAST('0x' || substr(md5(concat_ws(':', '0', coalesce(CAST(doc_id AS VARCHAR), ''), coalesce(source, ''), size)), 1, 13) AS BIGINT) AS DOUBLE) + 0.5)
+                     / 4503599627370496.0 AS u FROM sizes) AS d
+    JOIN shares AS s ON d.source IS NOT DISTINCT FROM s.source),
+placed AS (
+    SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY pareto, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+    FROM ranked)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (whole + CASE WHEN 2 * ahead + size <= 2 * budget THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM placed
+"""
+
+
+@query("op9_mixing", MIXING_SQL)
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words taken of every document by the mix of sources."""
+    mixed = mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
