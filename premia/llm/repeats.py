@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,9 +14,9 @@ from premia.llm.arrays import flat_texts, mixed, pieces, span_hashes, window_min
 from premia.session import materialize
 
 # Bytes of the k-grams whose minimum anchors a window.
-GRAM = 48
+GRAM = 32
 # Anchors of one bucket on average, and the most that one task orders; more of one anchor are counted by hash.
-BUCKET_ANCHORS, MOST_ANCHORS = 3000, 20_000
+BUCKET_ANCHORS, MOST_ANCHORS = 4000, 20_000
 # Windows of a very long text that are anchored at a time: anchor keys have 20 bits for the place.
 _CHUNK = (1 << 20) - (1 << 12)
 
@@ -25,15 +24,15 @@ SPANS = "array<struct<start:bigint, stop:bigint>>"
 
 
 def _class(text: Column) -> list[Column]:
-    """128 bits that stand for a text."""
-    return [F.xxhash64(text).alias("c1"), F.xxhash64(F.lit("second"), text).alias("c2")]
+    """96 bits that stand for a text."""
+    return [F.xxhash64(text).alias("c1"), F.hash(F.lit("second"), text).alias("c2")]
 
 
 def _anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Anchors of all windows of ``length`` bytes: text, first and last window start, and the anchor's hash.
+    """Anchors of all windows of ``length`` bytes: text, packed place, the anchor's hash, its context's hash.
 
     A window's anchor is the leftmost of its k-grams with the least hash, so equal windows have equal
-    anchors at the same place, wherever they stand.
+    anchors at the same place, wherever they stand. The context of an anchor is all bytes of its windows.
     """
     out = []
     width = length - gram + 1
@@ -51,106 +50,131 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> t
         if not len(window):
             continue
         heads = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (text[1:] != text[:-1])))
-        lasts = np.append(heads[1:], len(window)) - 1
-        base = offsets[text[heads]]
-        out.append((text[heads], window[heads] - base, window[lasts] - base, hashes[at[heads]]))
+        first, last, at, text = window[heads], window[np.append(heads[1:], len(window)) - 1], at[heads], text[heads]
+        context = span_hashes(data, first, last + length)
+        out.append((text, packed(first - offsets[text], last - first, at - last), hashes[at], context))
     if not out:
-        return tuple(np.empty(0, np.int64) for _ in range(3)) + (np.empty(0, np.uint64),)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
     return tuple(np.concatenate(parts) for parts in zip(*out))
 
 
+def packed(first: np.ndarray, more: np.ndarray, ahead: np.ndarray) -> np.ndarray:
+    """First window start, windows after the first, and the anchor's distance from the last window, as one number."""
+    return (first << 20) | (more << 10) | ahead
+
+
+def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return place >> 20, (place >> 10) & 1023, place & 1023
+
+
 def anchor_rows(texts: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
-    """(c1, c2, first, last, anchor) of all windows; ``texts`` has columns c1, c2, text."""
+    """(c1, c2, place, anchor, context) of all windows; ``texts`` has columns c1, c2, text."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
             for row, _, data, offsets in pieces(batch.column(2)):
-                text, first, last, anchor = _anchors(data, offsets, length, gram)
+                text, place, anchor, context = _anchors(data, offsets, length, gram)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k[row + text]) for k in keys] + [pa.array(first.astype(np.int64)), pa.array(last.astype(np.int64)), pa.array(anchor.view(np.int64))],
-                    names=["c1", "c2", "first", "last", "anchor"],
+                    [pa.array(k[row + text]) for k in keys] + [pa.array(place), pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64))],
+                    names=["c1", "c2", "place", "anchor", "context"],
                 )
 
-    return texts.select("c1", "c2", "text").mapInArrow(find, "c1 long, c2 long, first long, last long, anchor long")
+    return texts.select("c1", "c2", "text").mapInArrow(find, "c1 long, c2 int, place long, anchor long, context long")
+
+
+def common_prefixes(texts: list[bytes], depth: int) -> np.ndarray:
+    """Longest common prefix of each text with the one before, up to ``depth``; the first has -1."""
+    sizes = np.minimum([len(t) for t in texts], depth)
+    table = np.zeros((len(texts), depth + 1), np.uint8)
+    flat = np.frombuffer(b"".join(t[:depth] for t in texts), np.uint8)
+    table[:, :depth][np.arange(depth) < sizes[:, None]] = flat
+    differ = np.ones((len(texts), depth + 1), bool)
+    differ[1:, :depth] = table[1:, :depth] != table[:-1, :depth]
+    out = np.argmax(differ, axis=1)
+    out[1:] = np.minimum(out[1:], np.minimum(sizes[1:], sizes[:-1]))
+    out[:1] = -1
+    return out
 
 
-def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
-    """Rank of each suffix among all suffixes of the bytes, by its first ``length`` bytes.
+def suffix_order(groups: np.ndarray, texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix order within groups, and each suffix's common prefix with the one before it (-1: a new group)."""
+    raw = groups.astype(">i8").tobytes()
+    keys = [raw[8 * i : 8 * i + 8] + t for i, t in enumerate(texts)]
+    order = np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)
+    common = common_prefixes([texts[i] for i in order], depth)
+    moved = groups[order]
+    common[1:][moved[1:] != moved[:-1]] = -1
+    return order, common
 
-    Prefix doubling: ranks by 8 bytes first, then by twice as many each round.
+
+def longest_previous(order: np.ndarray, common: np.ndarray, position: np.ndarray) -> np.ndarray:
+    """Longest-previous-factor array: for each suffix, its longest common prefix with a suffix of smaller position.
+
+    ``order`` is a suffix order, ``common`` each suffix's common prefix with the one before in it (at most 0: none). The
+    best earlier match of a suffix is its nearest smaller position on one of the two sides in suffix order; the common
+    prefix with it is the least value on the way.
     """
-    padded = np.zeros(len(data) + length + 8, np.uint64)
-    padded[: len(data)] = data.astype(np.uint64) + np.uint64(0)
-    key = np.zeros(len(data), np.uint64)
-    for i in range(min(8, length)):
-        key = (key << np.uint64(8)) | padded[i : i + len(data)]
-    ranks, depth = _dense(key), min(8, length)
-    while depth < length:
-        step = min(depth, length - depth)
-        second = np.zeros(len(data), np.uint64)
-        second[: len(data) - step] = ranks[step:] + np.uint64(1)
-        ranks = _dense((ranks << np.uint64(32)) | second)
-        depth += step
-    return ranks
-
-
-def _dense(key: np.ndarray) -> np.ndarray:
-    order = np.argsort(key)
-    ordered = key[order]
-    ranks = np.empty(len(key), np.uint64)
-    ranks[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1])[: len(key)]).astype(np.uint64)
-    return ranks
-
-
-def has_factor(ranks: np.ndarray, positions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each suffix has a previous, and any other, factor as long as the ranks are deep.
-
-    In suffix order, suffixes that share that many bytes are neighbours of equal rank. Within such a
-    run, the longest previous factor of a suffix reaches the length if and only if a smaller position stands
-    before it (previous smaller value) or behind it (next smaller value).
+    out = np.zeros(len(order), np.int64)
+    for step in (1, -1):
+        sequence = order if step == 1 else order[::-1]
+        # common[i] joins order[i - 1] and order[i]; read backwards, order[i] meets order[i + 1].
+        joins = common if step == 1 else np.append(-1, common[::-1][:-1])
+        stack: list[tuple[int, int]] = []
+        for suffix, join in zip(sequence.tolist(), joins.tolist()):
+            reach = join
+            while stack and stack[-1][0] > position[suffix]:
+                reach = min(reach, stack.pop()[1])
+            if stack:
+                out[suffix] = max(out[suffix], reach)
+            stack.append((int(position[suffix]), reach))
+    return out
+
+
+def longest_match(order: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Each suffix's longest common prefix with any other: its longest previous or longest next factor."""
+    position = np.arange(len(order))
+    return np.maximum(longest_previous(order, common, position), longest_previous(order, common, -position))
+
+
+def _repeats_of_bucket(frame: pd.DataFrame, length: int, first_only: bool) -> pd.DataFrame:
+    """Spans of one bucket of anchors: rows c1, c2, doc (the text's place among all), place, anchor, context.
+
+    The suffixes at the anchors are put in suffix order, and so are the reversed bytes ahead of them. A window that
+    starts ``o`` bytes ahead of its anchor equals the windows of those anchors that share ``o`` bytes ahead and
+    ``length - o`` bytes from the anchor on: neighbours in both orders without a shorter common prefix between. In
+    such a set the longest previous factor of a window reaches ``length`` if any smaller position is in it.
     """
-    order = np.lexsort((np.arange(len(ranks)), ranks))
-    run, place = ranks[order].astype(np.int64), positions[order]
-    span = int(place.max(initial=0)) + 1
-    ahead = np.minimum.accumulate(place - run * span) + run * span  # starts anew with each run
-    behind = (np.minimum.accumulate((place + run * span)[::-1]) )[::-1] - run * span
-    previous_smaller = ahead < place
-    next_smaller = behind < place
-    sizes = np.bincount(run)
-    earlier, other = np.empty(len(ranks), bool), np.empty(len(ranks), bool)
-    earlier[order] = previous_smaller | next_smaller
-    other[order] = sizes[run] > 1
-    return earlier, other
-
-
-def _runs(flags: np.ndarray, firsts: np.ndarray, owner: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Flagged windows, ordered by owner and place, as (owner, start, stop) byte spans."""
-    at = np.flatnonzero(flags)
-    if not len(at):
-        return (np.empty(0, np.int64),) * 3
-    new = np.append(True, (owner[at][1:] != owner[at][:-1]) | (firsts[at][1:] != firsts[at][:-1] + 1))
-    heads = np.flatnonzero(new)
-    tails = np.append(heads[1:], len(at)) - 1
-    return owner[at][heads], firsts[at][heads], firsts[at][tails] + length
-
-
-def _ordered_bucket(frame: pd.DataFrame, length: int, first_only: bool) -> pd.DataFrame:
-    """Spans of one bucket of anchors: rows c1, c2, first, context and doc (the text's place among all)."""
-    frame = frame.drop_duplicates(["c1", "c2", "first"]).sort_values(["doc", "c1", "c2", "first"], kind="stable")
-    texts = frame["context"].tolist()
-    sizes = np.array([len(t) for t in texts], np.int64)
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    begin = np.cumsum(sizes) - sizes
-    windows = sizes - length + 1
-    owner = np.repeat(np.arange(len(texts)), windows)
-    offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    starts = begin[owner] + offset
-    ranks = suffix_ranks(data, length)[starts]
-    earlier, other = has_factor(_dense(ranks), np.arange(len(starts)))
-    flags = earlier if first_only else other
-    firsts = frame["first"].to_numpy()[owner] + offset
-    row, start, stop = _runs(flags, firsts, owner, length)
+    frame = frame.drop_duplicates(["c1", "c2", "place"]).sort_values(["doc", "c1", "c2", "place"], kind="stable")
+    first, more, ahead = unpacked(frame["place"].to_numpy())
+    most = more + ahead  # bytes ahead of the anchor, from the first window on
+    texts, groups = frame["context"].tolist(), frame["anchor"].to_numpy()
+    right_order, right_common = suffix_order(groups, [t[m:] for t, m in zip(texts, most.tolist())], length)
+    left_order, left_common = suffix_order(groups, [t[:m][::-1] for t, m in zip(texts, most.tolist())], int(most.max(initial=0)) + 1)
+    n = len(texts)
+    # The longest match on either side bounds every window's match: most anchors without a repeat end here.
+    reach = longest_match(right_order, right_common) + longest_match(left_order, left_common)
+    able = reach >= length
+    right, left = np.empty(n, np.int64), np.empty(n, np.int64)
+    rows, starts = [], []
+    for o in range(int(ahead.min(initial=0)), int(most.max(initial=-1)) + 1):
+        own = np.flatnonzero(able & (ahead <= o) & (o <= most))
+        if not len(own):
+            continue
+        right[right_order] = np.cumsum(right_common < length - o)
+        left[left_order] = np.cumsum(left_common < o)
+        key = right[own] * (n + 1) + left[own]
+        by = np.argsort(key, kind="stable")  # equal windows stay in order of position
+        same = np.append(False, key[by][1:] == key[by][:-1])
+        hit = same if first_only else same | np.append(same[1:], False)
+        rows.append(own[by[hit]])
+        starts.append(first[own[by[hit]]] + most[own[by[hit]]] - o)
+    row, start = np.concatenate(rows) if rows else np.empty(0, np.int64), np.concatenate(starts) if starts else np.empty(0, np.int64)
+    by = np.lexsort((start, row))
+    row, start = row[by], start[by]
+    heads = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1))[: len(row)])
+    tails = np.append(heads[1:], len(row))[: len(heads)] - 1
+    row, start, stop = row[heads], start[heads], start[tails] + length
     return pd.DataFrame({"c1": frame["c1"].to_numpy()[row], "c2": frame["c2"].to_numpy()[row], "start": start, "stop": stop})
 
 
@@ -161,51 +185,62 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, length: int, first_only
     (its place in order) too. A string counts as repeated if it starts anywhere else too, or with
     ``first_only`` if it starts anywhere earlier.
 
-    Windows are anchored by winnowing, so only anchors that occur more than once need their bytes; each
-    anchor carries the bytes of the windows it stands for. Anchors are dealt to buckets by hash; a bucket
-    ranks its suffixes and reads repeats off the longest-previous-factor conditions. An anchor that occurs
-    more than ``most`` times is left out of the buckets: its windows are grouped by 128-bit hash instead, with
-    partial aggregation, which any number of tasks can share.
+    Windows are anchored by winnowing, so anchors that occur once are done with. Where all occurrences of an anchor have
+    equal contexts, all their windows are repeats. Of the others the contexts are dealt to buckets by the anchor's hash;
+    a bucket puts its suffixes in order and reads repeats off the longest-previous-factor condition. An anchor that occurs more than
+    ``most`` times is left out of the buckets: its windows are grouped by 128-bit hash instead, with partial aggregation,
+    which any number of tasks can share.
     """
-    anchors = materialize(anchor_rows(texts, length, gram), "anchors")
-    total = anchors.count()
-    place = F.xxhash64("c1", "c2", "first")
+    anchors = anchor_rows(texts, length, gram)
+    spot = F.xxhash64("c1", "c2", "place")
     repeated = materialize(
-        anchors.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count("*").alias("n"))
-        .where("a != b").select("anchor", "n"),
+        anchors.groupBy("anchor").agg(
+            F.min(spot).alias("a"), F.max(spot).alias("b"), F.count("*").alias("n"), (F.min("context") == F.max("context")).alias("alike")
+        ).where("a != b").select("anchor", F.when(F.col("alike") & F.lit(not first_only), 0).otherwise(F.col("n")).alias("n")),
         "repeated",
     )
+    total, hot = repeated.agg(F.sum("n"), F.max("n")).first()
     wanted = anchors.join(repeated, "anchor").groupBy("c1", "c2").agg(
-        F.collect_set(F.struct("first", "last", "anchor", "n")).alias("wanted")
+        F.collect_set(F.struct("place", "anchor", "n")).alias("wanted")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = flat_texts(batch.column(3))
-            wanted = batch.column(4)
-            lists = np.frombuffer(wanted.buffers()[1], np.int32)[wanted.offset : wanted.offset + len(wanted) + 1].astype(np.int64)
-            fields = [wanted.values.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            for a in range(0, len(wanted)):
-                first, last, anchor, n = (f[lists[a] : lists[a + 1]] for f in fields)
-                for k in range(0, len(first), 20_000):
-                    f, e = first[k : k + 20_000], last[k : k + 20_000]
-                    context = [data[offsets[a] + i : offsets[a] + j + length].tobytes() for i, j in zip(f.tolist(), e.tolist())]
-                    same = [pa.array(np.full(len(f), batch.column(c)[a].as_py())) for c in (0, 1)]
-                    doc = pa.array([batch.column(2)[a].as_py()] * len(f), pa.int64())
+            lists = batch.column(4)
+            bounds = np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1].astype(np.int64)
+            fields = [lists.values.field(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            for row in range(len(lists)):
+                place, anchor, n = (f[bounds[row] : bounds[row + 1]] for f in fields)
+                first, more, _ = unpacked(place)
+                begin, end = offsets[row] + first, offsets[row] + first + more + length
+                for k in range(0, len(place), 20_000):
+                    part = slice(k, k + 20_000)
+                    # Contexts that are all alike need no bytes: n is 0.
+                    context = [data[i:j].tobytes() if m else b"" for i, j, m in zip(begin[part].tolist(), end[part].tolist(), n[part].tolist())]
+                    same = [batch.column(c)[row].as_py() for c in range(3)]
+                    size = len(context)
                     yield pa.RecordBatch.from_arrays(
-                        [*same, doc, pa.array(f), pa.array(anchor[k : k + 20_000]), pa.array(n[k : k + 20_000]), pa.array(context, pa.binary())],
-                        names=["c1", "c2", "doc", "first", "anchor", "n", "context"],
+                        [pa.array(np.full(size, same[0])), pa.array(np.full(size, same[1], np.int32)), pa.array(np.full(size, same[2])),
+                         pa.array(place[part]), pa.array(anchor[part]), pa.array(n[part]), pa.array(context, pa.binary())],
+                        names=["c1", "c2", "doc", "place", "anchor", "n", "context"],
                     )
 
     contexts = classes.join(wanted, ["c1", "c2"]).select("c1", "c2", "doc", "text", "wanted").mapInArrow(
-        cut, "c1 long, c2 long, doc long, first long, anchor long, n long, context binary"
+        cut, "c1 long, c2 int, doc long, place long, anchor long, n long, context binary"
     )
-    buckets = max(1, total // BUCKET_ANCHORS)
+    buckets = max(1, int(total or 0) // BUCKET_ANCHORS)
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(buckets))
-    spans = contexts.where(F.col("n") <= most).groupBy(bucket.alias("bucket")).applyInPandas(
-        lambda frame: _ordered_bucket(frame, length, first_only), "c1 long, c2 long, start long, stop long"
+    spans = contexts.where((F.col("n") > 0) & (F.col("n") <= most)).groupBy(bucket.alias("bucket")).applyInPandas(
+        lambda frame: _repeats_of_bucket(frame, length, first_only), "c1 long, c2 int, start long, stop long"
     )
-    if repeated.where(F.col("n") > most).limit(1).count():
+    if not first_only:
+        first = F.shiftright("place", 20)
+        alike = wanted.select("c1", "c2", F.explode("wanted").alias("w")).select("c1", "c2", "w.place", "w.n").where("n = 0")
+        spans = spans.union(alike.select(
+            "c1", "c2", first.alias("start"), (first + F.shiftright("place", 10).bitwiseAND(1023) + length).alias("stop")
+        ))
+    if (hot or 0) > most:
         spans = spans.union(_counted_spans(contexts.where(F.col("n") > most), length, first_only))
     return spans
 
@@ -215,29 +250,29 @@ def _counted_spans(contexts: DataFrame, length: int, first_only: bool) -> DataFr
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(4)]
             for row, _, data, offsets in pieces(batch.column(4)):
-                starts = np.arange(len(data) - length + 1)
+                starts = np.arange(max(len(data) - length + 1, 0))
                 owner = np.searchsorted(offsets, starts, side="right") - 1
                 inside = starts + length <= offsets[owner + 1]
                 starts, owner = starts[inside], owner[inside]
                 first = span_hashes(data, starts, starts + length)
                 second = span_hashes(data[::-1], len(data) - starts - length, len(data) - starts)
-                keys = [batch.column(c).to_numpy(zero_copy_only=False)[row + owner] for c in range(4)]
-                doc = batch.column(2).take(pa.array(row + owner))
+                own = [k[row + owner] for k in keys]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[0]), pa.array(keys[1]), doc, pa.array(keys[3].astype(np.int64) + starts - offsets[owner]),
+                    [pa.array(own[0]), pa.array(own[1].astype(np.int32)), pa.array(own[2]), pa.array(unpacked(own[3])[0] + starts - offsets[owner]),
                      pa.array(first.view(np.int64)), pa.array(mixed(second).view(np.int64))],
                     names=["c1", "c2", "doc", "start", "w1", "w2"],
                 )
 
-    rows = contexts.select("c1", "c2", "doc", "first", "context").mapInArrow(
-        windows, "c1 long, c2 long, doc long, start long, w1 long, w2 long"
+    rows = contexts.select("c1", "c2", "doc", "place", "context").mapInArrow(
+        windows, "c1 long, c2 int, doc long, start long, w1 long, w2 long"
     )
-    place = F.struct(F.col("doc"), F.col("c1"), F.col("c2"), F.col("start"))
-    groups = rows.groupBy("w1", "w2").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high")
+    where = F.struct(F.col("doc"), F.col("c1"), F.col("c2"), F.col("start"))
+    groups = rows.groupBy("w1", "w2").agg(F.min(where).alias("low"), F.max(where).alias("high")).where("low != high")
     hits = rows.join(groups, ["w1", "w2"])
     if first_only:
-        hits = hits.where(place != F.col("low"))
+        hits = hits.where(where != F.col("low"))
     return hits.select("c1", "c2", "start", (F.col("start") + length).alias("stop"))
 
 
@@ -357,7 +392,3 @@ def without_repeats(docs: DataFrame, length: int = 200, text: str = "text", doc_
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.size("spans") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
-def spans_digest(raw: bytes, spans: list[tuple[int, int]]) -> str:
-    return hashlib.sha256(without(raw, spans)).hexdigest()

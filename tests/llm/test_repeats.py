@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from premia.llm.queries import op7_repeats
-from premia.llm.repeats import has_factor, suffix_ranks, with_repeats, without, without_repeats
+from premia.llm.repeats import longest_previous, suffix_order, with_repeats, without, without_repeats
 
 
 def brute(docs, length, first_only):
@@ -95,16 +95,14 @@ def test_cuts_keep_first_copy_and_whole_characters(docs_of):
     assert rows[2] == ("xé", 2) and 3 not in rows
 
 
-def test_ranks_and_factors():
-    data = np.frombuffer(b"abcabcabxabcab", np.uint8)
-    ranks = suffix_ranks(data, 5)
-    keys = [bytes(data[i : i + 5]) for i in range(len(data))]
-    assert [int(r) for r in ranks] == [sorted(set(keys)).index(k) for k in keys]
-    shuffled = np.random.default_rng(0).permutation(len(data))
-    earlier, other = has_factor(ranks, shuffled)
-    for i, k in enumerate(keys):
-        same = [shuffled[j] for j in range(len(keys)) if keys[j] == k]
-        assert earlier[i] == (min(same) < shuffled[i]) and other[i] == (len(same) > 1)
+def test_longest_previous_factors():
+    text = b"abcabcabxabcabaaaaab"
+    order, common = suffix_order(np.zeros(len(text), np.int64), [text[i:] for i in range(len(text))], len(text))
+    assert [text[i:] for i in order] == sorted(text[i:] for i in range(len(text)))
+    shared = lambda a, b: next((n for n in range(min(len(a), len(b))) if a[n] != b[n]), min(len(a), len(b)))
+    assert common[1:].tolist() == [shared(text[a:], text[b:]) for a, b in zip(order[1:], order)]
+    expected = [max((shared(text[i:], text[j:]) for j in range(i)), default=0) for i in range(len(text))]
+    assert longest_previous(order, common, np.arange(len(text))).tolist() == expected
 
 
 def test_without():
