@@ -11,7 +11,7 @@ from premia.session import materialize
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 # Slices of the ranking per source whose sizes are summed; the exact order is needed inside one only.
-SLICES = 1 << 16
+SLICE_BITS = 16
 
 
 def word_count(text: str | Column) -> Column:
@@ -99,14 +99,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
         joined = frame.join(targets, source.eqNullSafe(F.col("__source")))
         rank = F.when(F.col("__share") > 0, pareto_rank(uniform(key, source.cast("string"), F.col("size"), seed=seed), F.col("__share"))).otherwise(0.0)
         joined = joined.withColumn("__rank", rank)
-        return joined.withColumn("__slice", F.floor(F.col("__rank") / (1 + F.col("__rank")) * SLICES).cast("int"))
+        return joined.withColumn("__slice", F.floor(F.col("__rank") / (1 + F.col("__rank")) * (1 << SLICE_BITS)).cast("int"))
 
     sums = ranked(stored, F.col("source"), F.col("id")).groupBy("__source", "__slice").agg(
         F.sum("size").alias("__words"), F.first("__budget").alias("__budget")
     )
-    upto = F.sum("__words").over(Window.partitionBy("__source").orderBy("__slice"))
+    # Running sums in two levels, so no task orders all slices of a source.
+    sums = materialize(sums.withColumn("__coarse", F.shiftright("__slice", SLICE_BITS // 2)), "slices")
+    coarse = sums.groupBy("__source", "__coarse").agg(F.sum("__words").alias("__all"))
+    start = F.sum("__all").over(Window.partitionBy("__source").orderBy("__coarse")) - F.col("__all")
+    coarse = coarse.select(F.col("__source").alias("__s"), F.col("__coarse").alias("__k"), start.alias("__start"))
+    upto = F.sum("__words").over(Window.partitionBy("__source", "__coarse").orderBy("__slice")) - F.col("__words")
+    sums = sums.withColumn("__upto", upto).join(coarse, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__coarse") == F.col("__k")))
     sums = materialize(
-        sums.select(F.col("__source").alias("__s"), F.col("__slice").alias("__c"), (upto - F.col("__words")).alias("__before"), "__words", F.col("__budget").alias("__b")), "slices"
+        sums.select(F.col("__source").alias("__s"), F.col("__slice").alias("__c"), (F.col("__start") + F.col("__upto")).alias("__before"), "__words", F.col("__budget").alias("__b")), "cuts"
     )
     placed = ranked(rows, F.col(source), F.col(doc_id).cast("string")).join(
         sums, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__slice") == F.col("__c"))
