@@ -20,6 +20,9 @@ BUCKET_ANCHORS, MOST_ANCHORS = 4000, 20_000
 # Windows of a very long text that are anchored at a time: anchor keys have 20 bits for the place.
 _CHUNK = (1 << 20) - (1 << 12)
 
+# Column names of the results and of the joins.
+_TAKEN = ("n_bytes", "spans", "kept", "c1", "c2", "least", "members")
+
 SPANS = "array<struct<start:bigint, stop:bigint>>"
 
 
@@ -297,32 +300,28 @@ def with_repeats(docs: DataFrame, length: int = 200, keep: str = "first", text:
     Equal texts are one class: its row with the smallest id is compared with other classes; the others are
     repeats as a whole, if they have ``length`` bytes. NULL and empty texts have no bytes and stay empty. Rows with NULL id
     come before all others; rows that repeat id and text are copies of each other, and with ``keep="first"`` they all
-    count as the first. Columns named like the results are replaced, others are kept. Empty table: no rows.
+    count as the first. Columns named like the results are replaced, columns named
+    c1, c2, least and members are left out, others are kept. Empty table: no rows.
     """
     if keep not in ("first", "none"):
         raise ValueError("keep is 'first' or 'none'")
     first_only = keep == "first"
     filled = F.coalesce(F.col(text), F.lit(""))
     base = docs.withColumns({"__text": filled}).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in ("n_bytes", "spans", "kept")], "__text", *_class(F.col("__text"))
+        *[F.col(f"`{c}`") for c in docs.columns if c not in _TAKEN], "__text", *_class(F.col("__text"))
     )
-    slim = docs.select(F.col(doc_id).cast("long").alias("doc"), filled.alias("text"))
+    number = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
     groups = materialize(
-        slim.select("doc", *_class(F.col("text"))).groupBy("c1", "c2").agg(
-            F.min(F.coalesce("doc", F.lit(-(1 << 63)))).alias("least"), F.count("*").alias("members")
-        ),
+        base.select(number.alias("doc"), "c1", "c2").groupBy("c1", "c2").agg(F.min("doc").alias("least"), F.count("*").alias("members")),
         "classes",
     )
-    texts = slim.select("doc", "text", *_class(F.col("text")))
-    # The join that follows deals the texts out by class, as the last one does: Spark shuffles them once.
-    classes = (
-        texts.join(groups, ["c1", "c2"]).where(F.coalesce("doc", F.lit(-(1 << 63))) == F.col("least"))
-        .select("c1", "c2", F.col("least").alias("doc"), "text")
-    )
+    texts = base.select(F.col("__text").alias("text"), "c1", "c2")
+    # As an inequality the test stays out of the join's keys; so the texts are dealt out by class once, for this
+    # join and for the last one.
+    classes = base.join(groups, ["c1", "c2"]).where(number <= F.col("least")).select("c1", "c2", F.col("least").alias("doc"), F.col("__text").alias("text"))
     listed = repeated_spans(texts, classes, length, first_only, gram, most).groupBy("c1", "c2").agg(F.collect_list(F.struct("start", "stop")).alias("__spans"))
     joined = base.join(groups, ["c1", "c2"]).join(listed, ["c1", "c2"], "left")
-    least = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))) == F.col("least")
-    whole = (F.col("members") > 1) if not first_only else ~least
+    whole = (F.col("members") > 1) if not first_only else number > F.col("least")
     size = F.octet_length("__text").cast("long")
     joined = joined.withColumn("__spans", F.when(whole & (size >= length), F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("stop")))).otherwise(
         F.coalesce("__spans", F.array().cast(SPANS))
@@ -341,7 +340,7 @@ def with_repeats(docs: DataFrame, length: int = 200, keep: str = "first", text:
 
     done = joined.withColumn("__done", remove(F.col("__text"), F.col("__spans")))
     return done.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in ("n_bytes", "spans", "kept")],
+        *[F.col(f"`{c}`") for c in docs.columns if c not in _TAKEN],
         size.alias("n_bytes"), F.col("__done.spans").alias("spans"), F.col("__done.kept").alias("kept"),
     )
 
@@ -366,7 +365,8 @@ def without_repeats(docs: DataFrame, length: int = 200, text: str = "text", doc_
     A cut never splits a character: spans shrink to whole characters. A row whose whole text is cut
     goes; rows that were empty before stay. ``n_chars``, where present, follows the new text.
     """
-    marked = with_repeats(docs.withColumn("__before", F.col(text)), length, "first", text, doc_id)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    marked = with_repeats(docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__before"), whole), length, "first", "__before", "__id")
 
     @F.arrow_udf("string")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -387,8 +387,9 @@ def without_repeats(docs: DataFrame, length: int = 200, text: str = "text", doc_
                 out.append(without(raw, inner))
             yield pa.array(out, pa.binary()).cast(pa.string())
 
-    rows = marked.withColumn(text, cut(F.col("__before"), F.col("spans")))
-    rows = rows.where((F.size("spans") == 0) | (F.length(text) > 0))
+    rows = marked.withColumn("__after", cut(F.col("__before"), F.col("spans")))
+    rows = rows.where((F.size("spans") == 0) | (F.length("__after") > 0))
+    new = {text: F.col("__after")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.size("spans") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+        new["n_chars"] = F.when(F.size("spans") > 0, F.length("__after").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("__row.n_chars"))
+    return rows.select(*[new.get(c, F.col(f"__row.`{c}`")).alias(c) for c in docs.columns])
