@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import decontam, mixing, repeats, simhash
+from premia.llm import decontam, mixing, quality, repeats, simhash, toxicity
 from premia.llm.arrays import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,3 +144,22 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words taken of every document by the mix of sources."""
     mixed = mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op1_quality")
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, by its text and the rates of its source and its source's language section."""
+    scored = quality.with_quality(
+        table(spark, folder, "documents").select("doc_id", "text", "source", "lang"), table(spark, folder, "labels")
+    )
+    return scored.select(
+        "doc_id", "source", "lang",
+        *[F.round(c, 6).alias(c) for c in ("evidence", "site_prior", "section_posterior", "quality")],
+        (F.col("quality") >= 0.5).alias("kept"),
+    )
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
