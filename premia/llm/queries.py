@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import decontam, mixing, quality, repeats, simhash, toxicity
+from premia.llm import decontam, mixing, projections, quality, repeats, simhash, toxicity
 from premia.llm.arrays import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,3 +163,25 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document."""
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+VECTORS_SQL = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors AS a JOIN vectors AS b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, least(a, min(b)) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, vec_id = coalesce(component_id, vec_id) AS kept
+FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN least ON least.a = vec_id
+"""
+
+
+@query("op4_projections", VECTORS_SQL)
+def op4_projections(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups of all vectors, label by label."""
+    return projections.near_vectors(table(spark, folder, "embeddings"))
