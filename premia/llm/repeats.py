@@ -272,7 +272,8 @@ def _counted_spans(contexts: DataFrame, length: int, first_only: bool) -> DataFr
         windows, "c1 long, c2 int, doc long, start long, w1 long, w2 long"
     )
     where = F.struct(F.col("doc"), F.col("c1"), F.col("c2"), F.col("start"))
-    groups = rows.groupBy("w1", "w2").agg(F.min(where).alias("low"), F.max(where).alias("high")).where("low != high")
+    # Stored, so that a window found in very many texts can be split over tasks in the join.
+    groups = materialize(rows.groupBy("w1", "w2").agg(F.min(where).alias("low"), F.max(where).alias("high")).where("low != high"), "frequent")
     hits = rows.join(groups, ["w1", "w2"])
     if first_only:
         hits = hits.where(where != F.col("low"))
