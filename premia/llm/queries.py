@@ -8,8 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import decontam, mixing, projections, quality, repeats, simhash, toxicity
+from premia.llm import archive, decontam, mixing, projections, quality, repeats, simhash, toxicity
 from premia.llm.arrays import prepare
+from premia.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -185,3 +186,24 @@ FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN least ON least.a
 def op4_projections(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all vectors, label by label."""
     return projections.near_vectors(table(spark, folder, "embeddings"))
+
+
+ARCHIVE_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+sized AS (SELECT *, octet_length(encode(html)) AS size FROM payloads),
+stored AS (SELECT html, max(page_id) AS largest FROM sized WHERE size >= 1000 GROUP BY html)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(sized.html) AS payload_digest,
+       CASE WHEN largest IS NOT NULL AND page_id <> largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN largest IS NOT NULL AND page_id <> largest THEN largest END AS refers_to
+FROM sized LEFT JOIN stored ON sized.html = stored.html
+"""
+
+
+@query("op3_warc", ARCHIVE_SQL)
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages through WARC archives and back."""
+    path = scratch_path(spark, "warc")
+    archive.write_archive(table(spark, folder, "pages"), path)
+    return archive.read_archive(spark, path, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
