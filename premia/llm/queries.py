@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premia.llm import archive, decontam, mixing, projections, quality, repeats, simhash, toxicity
+from premia.llm import archive, decontam, mixing, ngrams, projections, quality, repeats, simhash, tokens, toxicity
 from premia.llm.arrays import prepare
 from premia.session import scratch_path
 
@@ -207,3 +208,36 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return archive.read_archive(spark, path, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+SCORES_SQL = rf"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+tokens AS (
+    SELECT doc_id, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS v
+    FROM (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM docs)),
+words AS (SELECT w, count(*) AS n FROM tokens GROUP BY w),
+pairs AS (SELECT v, w, count(*) AS n FROM tokens WHERE v IS NOT NULL GROUP BY v, w),
+total AS (SELECT count(*) AS n FROM tokens),
+scores AS (
+    SELECT doc_id, count(*) AS n_tokens,
+           sum(CASE WHEN t.v IS NULL THEN ln(own.n / total.n) WHEN pairs.n >= 2 THEN ln(pairs.n / context.n) ELSE ln(own.n / total.n) + ln(0.4) END) AS log_score
+    FROM tokens AS t CROSS JOIN total JOIN words AS own ON own.w = t.w
+    LEFT JOIN words AS context ON context.w = t.v LEFT JOIN pairs ON pairs.v = t.v AND pairs.w = t.w GROUP BY doc_id)
+SELECT doc_id, coalesce(n_tokens, 0) AS n_tokens, round(coalesce(log_score, 0), 4) AS log_score, round(log_score / n_tokens, 6) AS mean_log_score
+FROM docs LEFT JOIN scores USING (doc_id)
+"""
+
+
+@query("op5_language_model", SCORES_SQL)
+def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Stupid-backoff scores of all documents by bigram counts of all documents."""
+    scored = ngrams.score_documents(table(spark, folder, "documents"))
+    return scored.select("doc_id", "n_tokens", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files."""
+    vocabulary = tokens.read_vocabulary(os.environ.get("PREMIA_VOCABULARY", tokens.VOCABULARY))
+    return tokens.token_counts(table(spark, folder, "documents"), scratch_path(spark, "tokens"), vocabulary)
