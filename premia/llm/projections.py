@@ -21,7 +21,7 @@ CELL_PROJECTIONS, COUNTED_PROJECTIONS = 2, 16
 # Half-width of a counted window, in standard deviations of a threshold pair's difference.
 WINDOW_SIGMA = 2.0
 # Vectors of a tile on either side.
-TILE = 2000
+TILE = 400
 
 
 @dataclass(frozen=True)

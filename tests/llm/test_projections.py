@@ -54,7 +54,7 @@ def cases(seed=0, clusters=12, dim=64):
     return rows
 
 
-@pytest.mark.parametrize("tile", [2000, 7])
+@pytest.mark.parametrize("tile", [400, 7])
 def test_equals_brute_force(llm_spark, tile):
     rows = cases()
     got = sorted(map(tuple, near_vectors(frame_of(llm_spark, rows), tile=tile).collect()), key=str)
