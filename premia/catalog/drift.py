@@ -21,7 +21,7 @@ from premia.spec import (
     PSI_BINS,
     PSI_THRESHOLD,
 )
-from premia.streaming.drift import stream_drift_counts, stream_drift_report
+from premia.streaming.drift import store_baseline, stream_drift_counts, stream_drift_report
 
 # Price shifts with the date, l_linenumber has few distinct values, "flat" is constant.
 _FEATURES = ["price", "quantity", "line", "flat", "gappy"]
@@ -134,7 +134,8 @@ def stream_drift_query(spark, folder):
     items = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(folder)
     current = items.selectExpr(*_split_columns(_VALUES)).where("year(l_shipdate) >= 1998")
     counts, checkpoint = scratch_path(spark, "drift-counts"), scratch_path(spark, "drift-checkpoint")
-    edges = quantile_edges(reference, _FEATURES)
+    baseline = scratch_path(spark, "drift-baseline")
+    edges = store_baseline(reference, _FEATURES, baseline)
     stream_drift_counts(current, edges, counts, checkpoint).awaitTermination()
-    report = stream_drift_report(reference, _FEATURES, counts)
+    report = stream_drift_report(spark, _FEATURES, counts, baseline)
     return report.withColumn("psi", F.round("psi", 5))

@@ -23,7 +23,7 @@ from premia.operators.trailing import (
     only_with_history,
     trailing_mean,
 )
-from premia.plans.features import feature_table, priced_sales
+from premia.plans.features import feature_table, priced_sales, project_contract
 from premia.spec import FEATURE_TABLE_COLUMNS, FeatureSpec
 
 # Ship and order dates are midnights.
@@ -87,14 +87,15 @@ def feature_table_events_query(spark, folder):
     return _comparable(event_features(spark, folder))
 
 
-@query("project_contract", T.ITEM_PRICED_SQL + """
-SELECT sale_id, shoe_id, brand, size_us, sale_date, release_date, retail_price,
-       sale_price, release_type, price_premium
-FROM priced""")
+@query("project_contract", T.EVENT_FEATURES_SQL + _FEATURES_SELECT)
 def project_contract_query(spark, folder):
-    priced = item_priced(spark, folder)
-    columns = FEATURE_TABLE_COLUMNS[:10]
-    return priced.select(*columns)
+    """Features in another order, among other columns, brought into the contract's form."""
+    features = event_features(spark, folder)
+    shuffled = features.select(F.lit(1).alias("extra"), *reversed(features.columns))
+    projected = project_contract(shuffled)
+    if projected.columns != FEATURE_TABLE_COLUMNS:
+        raise AssertionError(f"the contract's columns are {FEATURE_TABLE_COLUMNS}")
+    return _comparable(projected)
 
 
 @query("price_premium", T.ITEM_PRICED_SQL + """

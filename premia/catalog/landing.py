@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from premia.catalog import feeds
@@ -23,14 +24,20 @@ from premia.plans.landing import (
     with_exclusion,
 )
 from premia.session import scratch_path
-from premia.sources.readers import explode_envelope, scan_parquet, trim_fields
+from premia.sources.readers import explode_envelope, scan_json, scan_parquet, trim_fields
 from premia.sources.warehouse import (
     DROPS_MAPPING,
     SALES_MAPPING,
     canonical_drop,
     canonical_project,
 )
-from premia.sources.writers import Store, landing_profile, write_partitioned, write_report
+from premia.sources.writers import (
+    Store,
+    landing_profile,
+    require_rows,
+    write_partitioned,
+    write_report,
+)
 
 SNAPSHOT_DATE = "2026-07-04"
 
@@ -57,15 +64,28 @@ def scan_json_envelope_query(spark, folder):
 
 
 @query("scan_json_files", """
-SELECT p_partkey, p_brand, p_retailprice FROM part""")
+SELECT p_partkey, p_brand, p_retailprice, p_size, row_number() OVER (ORDER BY p_partkey) - 1 AS place FROM part""")
 def scan_json_files_query(spark, folder):
-    """Parts written as text files of JSON documents, and read back."""
+    """Parts in eight feed files, lists and envelopes by turns, read back; their place across the files."""
     path = scratch_path(spark, "part-feed")
-    record = F.struct("p_partkey", "p_brand", "p_retailprice")
-    document = F.to_json(F.struct(F.array(record).alias("data"))).alias("value")
-    T.table(spark, folder, "part").select(document).write.text(path)
-    parts = "p_partkey LONG, p_brand STRING, p_retailprice DOUBLE"
-    return explode_envelope(spark.read.text(path), "value", parts, []).drop("position")
+    parts = T.table(spark, folder, "part").select("p_partkey", "p_brand", "p_retailprice", "p_size")
+    # Sorted by key over the files, so that file and place give the order of the keys; sizes as 12.0.
+    record = F.struct("p_partkey", "p_brand", "p_retailprice", F.col("p_size").cast("double").alias("p_size"))
+    keys = parts.agg(F.max("p_partkey")).first()[0]
+    files = parts.withColumn("file", (F.col("p_partkey") * 8 / F.lit(keys + 1)).cast("int")).groupBy("file").agg(
+        F.to_json(F.array_sort(F.collect_list(record))).alias("list")
+    )
+    document = F.when(F.col("file") % 2 == 0, F.col("list")).otherwise(F.concat(F.lit('{"data": '), "list", F.lit("}")))
+    named = files.select(F.col("file"), document.alias("value"))
+    named.write.partitionBy("file").text(path)
+    rows = scan_json(spark, path, "p_partkey LONG, p_brand STRING, p_retailprice DOUBLE, p_size LONG")
+    # Each file's records come before the next file's: their sizes give the start.
+    sizes = rows.groupBy("_file").agg(F.count("*").alias("n"), F.min("p_partkey").alias("first"))
+    before = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    starts = sizes.select("_file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return rows.join(starts, "_file").select(
+        "p_partkey", "p_brand", "p_retailprice", "p_size", (F.col("start") + F.col("position")).alias("place")
+    )
 
 
 @query("trim_fields", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
@@ -136,10 +156,22 @@ def landing_profile_query(spark, folder):
 
 
 @query("non_empty_guard", _TABLE_COUNTS + """
-SELECT "table", n > 0 AS may_land FROM counts""")
+SELECT "table", n > 0 AS may_land, false AS may_land_emptied FROM counts""")
 def non_empty_guard_query(spark, folder):
-    profile = landing_profile(_canonical_tables(spark, folder))
-    return profile.select("table", (F.col("rows") > 0).alias("may_land"))
+    """The guard's outcome for every table, as it is and without its rows."""
+
+    def may_land(name, rows):
+        try:
+            require_rows({name: rows})
+        except ValueError:
+            return False
+        return True
+
+    outcomes = [
+        (name, may_land(name, rows), may_land(name, rows.where("false")))
+        for name, rows in _canonical_tables(spark, folder).items()
+    ]
+    return spark.createDataFrame(outcomes, "table STRING, may_land BOOLEAN, may_land_emptied BOOLEAN")
 
 
 @query("write_parquet_partitioned", """

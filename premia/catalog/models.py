@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import functions as F
 
 from premia.catalog import feeds
@@ -56,7 +54,9 @@ scored AS (
 
 
 def _linear(priced):
+    """The model of the rows before the split; what it needs of them is stored once for all its passes."""
     train, _ = temporal_split(priced, "sale_date", SPLIT_YEAR)
+    train = materialize(train.select(*_TWO_FEATURES, TARGET), "training")
     return fit_linear(train, fit_preprocessing(train, _TWO_FEATURES), TARGET)
 
 
@@ -156,14 +156,15 @@ _RECORDS = {
     "order_key": "l_orderkey", "line": "l_linenumber", "part_key": "l_partkey",
     "price": "l_extendedprice",
     "days_since_release": "l_quantity", "size_us": "CAST(l_linenumber - 1 AS DOUBLE)",
-    "retail_price": "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN NULL ELSE l_extendedprice END",
+    "retail_price": "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN NULL "
+                    "WHEN l_suppkey % 7 = 3 THEN CAST('NaN' AS DOUBLE) ELSE l_extendedprice END",
     "size_premium": "l_discount", "release_type_encoded": "CAST(l_linenumber AS DOUBLE)",
     "brand_avg_premium": "l_tax",
     "rolling_7d_avg_premium": "CASE WHEN l_linestatus = 'O' THEN l_discount END",
     "search_index_7d_pre_drop": "CAST(NULL AS DOUBLE)",
 }
 _RECORDS_SQL = "SELECT " + ", ".join(f"{e} AS {c}" for c, e in _RECORDS.items()) + " FROM lineitem"
-_VALID_SQL = "size_us > 0 AND retail_price > 0 AND retail_price IS NOT NULL"
+_VALID_SQL = "size_us > 0 AND retail_price > 0 AND retail_price IS NOT NULL AND NOT isnan(retail_price)"
 _RECORD_MODEL_SQL = f"""WITH records AS ({_RECORDS_SQL}),
 fit AS (SELECT regr_slope(l_quantity, l_extendedprice) AS slope, avg(l_quantity) AS my,
                avg(l_extendedprice) AS mx FROM lineitem),
@@ -178,7 +179,6 @@ def _records(spark, folder):
     return T.table(spark, folder, "lineitem").selectExpr(*(f"{e} AS {c}" for c, e in _RECORDS.items()))
 
 
-@lru_cache(maxsize=4)
 def _record_model(spark, folder):
     """Quantity from price: a model that records can be scored with."""
     train = T.table(spark, folder, "lineitem").selectExpr(
@@ -232,7 +232,7 @@ def stream_refused_query(spark, folder):
 
 def _network_run(spark, folder, epochs):
     features = materialize(item_features(spark, folder), "features")
-    run = train_network(features, SPLIT_YEAR, NetworkSpec(num_epochs=epochs), partitions=4)
+    run = train_network(features, SPLIT_YEAR, NetworkSpec(num_epochs=epochs))
     return features, run
 
 

@@ -127,14 +127,40 @@ def _count_each(rows, checks):
     return counted.unpivot([], [f"`{c.label}`" for c in checks], "check", "n")
 
 
-@query("check_not_null", T.EVENT_FEATURES_SQL + """
-SELECT 'brand_avg_premium:not_null' AS "check", count(*) FILTER (brand_avg_premium IS NULL) AS n FROM features
-UNION ALL SELECT 'rolling_7d_avg_premium:not_null', count(*) FILTER (rolling_7d_avg_premium IS NULL) FROM features
-UNION ALL SELECT 'search_index_7d_pre_drop:not_null', count(*) FILTER (search_index_7d_pre_drop IS NULL)
-FROM features""")
+_MAYBE = "CASE WHEN l_suppkey % 7 = 3 THEN CAST('NaN' AS DOUBLE) WHEN l_suppkey % 7 = 4 THEN NULL ELSE {} END"
+_BROKEN_ITEMS = {
+    "size_us": _MAYBE.format("l_linenumber - 2.0"), "retail_price": _MAYBE.format("l_extendedprice - 1000"),
+    "sale_price": _MAYBE.format("l_extendedprice"), "brand": "CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_returnflag END",
+    "price_premium": _MAYBE.format("l_extendedprice / 1000 - 2"),
+    "days_since_release": _MAYBE.format("l_quantity * 10 - 300"),
+    "release_type": "CASE l_returnflag WHEN 'A' THEN 'limited' WHEN 'N' THEN 'restock' ELSE 'general' END",
+    "release_type_encoded": "l_linenumber",
+}
+_BROKEN_SQL = "WITH items AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in _BROKEN_ITEMS.items()) + " FROM lineitem) "
+
+
+def _broken_items(spark, folder):
+    """Line items with values that break the contract, NaN among them."""
+    items = spark.read.parquet(f"{folder}/lineitem.parquet")
+    return items.selectExpr(*(f"{e} AS {c}" for c, e in _BROKEN_ITEMS.items()))
+
+
+def _counts_sql(broken: dict[str, str]) -> str:
+    return _BROKEN_SQL + " UNION ALL ".join(
+        f"""SELECT '{label}' AS "check", count(*) FILTER ({rule}) AS n FROM items""" for label, rule in broken.items()
+    )
+
+
+_NAN = "({c} IS NOT NULL AND isnan({c}))"
+
+
+@query("check_not_null", _counts_sql({
+    f"{c}:not_null": f"{c} IS NULL" if c in ("brand", "release_type_encoded") else f"{c} IS NULL OR isnan({c})"
+    for c in ("size_us", "sale_price", "brand", "release_type_encoded")
+}))
 def check_not_null_query(spark, folder):
-    columns = ["brand_avg_premium", "rolling_7d_avg_premium", "search_index_7d_pre_drop"]
-    return _count_each(event_features(spark, folder), [not_null(c) for c in columns])
+    columns = ["size_us", "sale_price", "brand", "release_type_encoded"]
+    return _count_each(_broken_items(spark, folder), [not_null(c) for c in columns])
 
 
 @query("rolling_null_rows", T.EVENT_FEATURES_SQL + """
@@ -144,20 +170,23 @@ def rolling_null_rows_query(spark, folder):
     return event_features(spark, folder).agg(missing.alias("rolling_null_rows"))
 
 
-@query("check_range", T.ITEM_PRICED_SQL + """
-SELECT 'sale_price:> 0' AS "check", count(*) FILTER (NOT sale_price > 0) AS n FROM priced UNION ALL
-SELECT 'days_since_release:>= -90', count(*) FILTER (NOT days_since_release >= -90) FROM priced UNION ALL
-SELECT 'price_premium:in [-1, 50]', count(*) FILTER (NOT price_premium BETWEEN -1 AND 50) FROM priced""")
+@query("check_range", _counts_sql(
+    {f"{c}:> 0": f"NOT {c} > 0 OR " + _NAN.format(c=c) for c in ("size_us", "retail_price", "sale_price")}
+    | {"days_since_release:>= -90": "NOT days_since_release >= -90 OR " + _NAN.format(c="days_since_release"),
+       "price_premium:in [-1, 50]": "NOT price_premium BETWEEN -1 AND 50"}
+))
 def check_range_query(spark, folder):
-    checks = [above("sale_price", 0), at_least("days_since_release", -90), in_range("price_premium", -1, 50)]
-    return _count_each(_priced(spark, folder), checks)
+    checks = [c for c in feature_checks(_SPEC) if c.name[0] in ">i" and "in {" not in c.name]
+    return _count_each(_broken_items(spark, folder), checks)
 
 
-@query("check_isin", """
-SELECT 'l_returnflag:in {A, N}' AS "check", count(*) FILTER (l_returnflag NOT IN ('A', 'N')) AS n
-FROM lineitem""")
+@query("check_isin", _counts_sql({
+    f"release_type:in {{{', '.join(_SPEC.release_type_ranks)}}}": "release_type NOT IN ('general', 'collab', 'limited')",
+    f"release_type_encoded:in {{{', '.join(map(str, _SPEC.release_type_ranks.values()))}}}": f"release_type_encoded NOT IN ({', '.join(map(str, _SPEC.release_type_ranks.values()))})",
+}))
 def check_isin_query(spark, folder):
-    return _count_each(T.table(spark, folder, "lineitem"), [is_in("l_returnflag", ["A", "N"])])
+    checks = [c for c in feature_checks(_SPEC) if "in {" in c.name]
+    return _count_each(_broken_items(spark, folder), checks)
 
 
 @query("check_unique", f"WITH {T.ITEM_SALES_SQL}" + """

@@ -12,20 +12,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from premia.sources.readers import without_nan
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A given table. Its schema is read once; without one, every scan starts a job to infer it."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return without_nan(spark.read.schema(_SCHEMAS[path]).parquet(path))
+    """A given table."""
+    return without_nan(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def release_type(kind: str = "p_type"):

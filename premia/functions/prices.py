@@ -53,6 +53,7 @@ def round_exact(value: Column, places: int) -> Column:
     Spark's ``round`` goes by the shortest decimal form instead: it takes 2.675, which is a little less
     than that, for a tie. Here ``scaled + error`` is the product ``value * 10**places`` without loss
     (the value is split into two halves whose products are exact), so a near tie is told from a tie.
+    NaN, infinities and values so large that they have no such places come back as they are.
     """
     factor = F.lit(float(10**places))
     scaled = value * factor
@@ -65,4 +66,5 @@ def round_exact(value: Column, places: int) -> Column:
         | ((rest == 0.5) & (error > 0))
         | ((rest == 0.5) & (error == 0) & (F.pmod(below, F.lit(2.0)) == 1))
     )
-    return F.when(up, below + 1).otherwise(below) / factor
+    rounded = F.when(up, below + 1).otherwise(below) / factor
+    return F.when(F.isnan(value) | (F.abs(value) >= F.lit(2.0**53 / 10**places)), value).otherwise(rounded)

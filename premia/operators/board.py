@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from premia.functions.prices import price_premium, round_exact
 from premia.functions.text import strip
 from premia.operators.quantiles import exact_quantiles
+from premia.session import materialize
 from premia.spec import HISTORY_CAP
 
 
@@ -36,6 +37,8 @@ def median_trend(board: DataFrame) -> DataFrame:
         F.col("premium").alias("model_premium"),
         price_premium(F.col("market"), F.col("retail")).alias("market_premium"),
     )
+    # Stored without order: the search for the medians reads it several times.
+    premiums = materialize(premiums, "board-premiums")
     medians = exact_quantiles(premiums, ["model_premium", "market_premium"], [0.5])
     points = {c: round_exact(F.lit(v[0] if v else None).cast("double"), 4) for c, v in medians.items()}
     return premiums.agg(F.count("*").alias("n")).select("n", *(p.alias(c) for c, p in points.items()))

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from premia.functions.prices import nan_to_null
 from premia.operators.groups import attach, attach_group_min
 from premia.spec import CANONICAL_SCHEMAS, FEATURE_TABLE_COLUMNS, FeatureSpec
 
@@ -33,16 +34,28 @@ class Check:
         return f"{self.column or '<row>'}:{self.name}"
 
 
+def missing(column: str) -> Column:
+    """NULL, or NaN in a floating-point column."""
+    floating = F.typeof(column).isin("double", "float")
+    return F.col(column).isNull() | (floating & (F.col(column).cast("string") == "NaN"))
+
+
 def not_null(column: str) -> Check:
-    return Check(column, "not_null", F.col(column).isNull())
+    return Check(column, "not_null", missing(column))
 
 
 def above(column: str, bound: float) -> Check:
-    return Check(column, f"> {bound:g}", ~(F.col(column) > F.lit(bound)))
+    """NaN breaks the check: Spark orders it above all numbers."""
+    return Check(column, f"> {bound:g}", ~(F.col(column) > F.lit(bound)) | missing_number(column))
 
 
 def at_least(column: str, bound: float) -> Check:
-    return Check(column, f">= {bound:g}", ~(F.col(column) >= F.lit(bound)))
+    return Check(column, f">= {bound:g}", ~(F.col(column) >= F.lit(bound)) | missing_number(column))
+
+
+def missing_number(column: str) -> Column:
+    """True for NaN; NULL for NULL, which breaks no comparison."""
+    return F.col(column) > F.lit(float("inf"))
 
 
 def in_range(column: str, low: float, high: float) -> Check:
@@ -62,7 +75,7 @@ def unique(column: str) -> Check:
 def null_iff_short_history(value: str, instant: str, days: int) -> Check:
     """Needs ``with_first(rows, key, instant)``: the value is NULL exactly below ``days`` of history."""
     short = F.datediff(F.col(instant), F.col(f"_first_{instant}")) < days
-    return Check(None, f"{value} is null iff history < {days} days", F.col(value).isNull() != short)
+    return Check(None, f"{value} is null iff history < {days} days", missing(value) != short)
 
 
 def with_copies(rows: DataFrame, column: str) -> DataFrame:
@@ -137,8 +150,9 @@ def schema_issues(rows: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def coerce(rows: DataFrame, types: dict[str, str]) -> DataFrame:
-    """The declared columns in their declared types."""
-    return rows.select(*(F.col(c).try_cast(t).alias(c) for c, t in types.items()))
+    """The declared columns in their declared types, NaN as NULL."""
+    cast = {c: F.col(c).try_cast(t) for c, t in types.items()}
+    return rows.select(*((nan_to_null(x) if types[c] == "double" else x).alias(c) for c, x in cast.items()))
 
 
 def failure_counts(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:

@@ -10,18 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premia.functions.prices import nan_to_null
-from premia.operators.quantiles import DIRECT_LIMIT, evenly_spaced, exact_quantiles
+from premia.operators.quantiles import evenly_spaced, exact_quantiles
 from premia.spec import DEFAULT_EXCLUSION_REASON, PSI_BINS, PSI_FLOOR, PSI_THRESHOLD
 
 
 def quantile_edges(
-    reference: DataFrame,
-    features: Sequence[str],
-    bins: int = PSI_BINS,
-    direct_limit: int = DIRECT_LIMIT,
+    reference: DataFrame, features: Sequence[str], bins: int = PSI_BINS
 ) -> dict[str, list[float]]:
     """Distinct, ascending reference quantiles per feature. Fewer than ``bins`` + 1 if values repeat."""
-    quantiles = exact_quantiles(reference, features, evenly_spaced(bins), direct_limit)
+    quantiles = exact_quantiles(reference, features, evenly_spaced(bins))
     return {feature: sorted(set(edges)) for feature, edges in quantiles.items()}
 
 
@@ -112,10 +109,9 @@ def psi(
     current: DataFrame,
     features: Sequence[str],
     bins: int = PSI_BINS,
-    direct_limit: int = DIRECT_LIMIT,
 ) -> DataFrame:
     """(feature, psi) of two samples."""
-    edges = quantile_edges(reference, features, bins, direct_limit)
+    edges = quantile_edges(reference, features, bins)
     return psi_from_counts(
         bin_counts_of(reference, edges), bin_counts_of(current, edges), edges, features
     )
@@ -127,10 +123,9 @@ def drift_report(
     features: Sequence[str],
     threshold: float = PSI_THRESHOLD,
     bins: int = PSI_BINS,
-    direct_limit: int = DIRECT_LIMIT,
 ) -> DataFrame:
     """(feature, psi, drifted): a feature drifted if its unrounded PSI is above the threshold."""
-    measured = psi(reference, current, features, bins, direct_limit)
+    measured = psi(reference, current, features, bins)
     return measured.withColumn("drifted", F.col("psi") > F.lit(threshold))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premia.functions.skus import normalize_sku, sku_candidates
-from premia.operators.ordering import first_per_key, keep_first
+from premia.operators.ordering import keep_first
 
 
 def first_candidate_match(
@@ -15,13 +15,13 @@ def first_candidate_match(
     """``rows`` plus a struct ``name`` from ``lookup``: the match of the first candidate that has one.
 
     ``row_key`` is unique in ``rows`` and ``lookup_key`` in ``lookup``; rows without a match get NULL.
-    The rows travel with their candidates, so whatever made them runs once.
     """
-    keyed = lookup.select(F.col(lookup_key).alias("_candidate"), F.struct("*").alias(name))
-    tried = rows.select("*", F.posexplode_outer(candidates).alias("_place", "_candidate"))
-    found = tried.join(keyed, "_candidate", "left")
-    best_first = [F.col(name).isNull().asc(), F.col("_place").asc()]
-    return first_per_key(found, [row_key], best_first).drop("_place", "_candidate")
+    # Only keys travel through the search; what was found is joined to the rows once.
+    tried = rows.select(F.col(row_key).alias("_row"), F.posexplode(candidates).alias("_place", "_candidate"))
+    codes = lookup.select(F.col(lookup_key).alias("_candidate"))
+    found = tried.join(codes, "_candidate").groupBy("_row").agg(F.min_by("_candidate", "_place").alias("_match"))
+    keyed = found.join(lookup.select(F.col(lookup_key).alias("_match"), F.struct("*").alias(name)), "_match").drop("_match")
+    return rows.join(keyed, F.col(row_key) == F.col("_row"), "left").drop("_row")
 
 
 def without_match(

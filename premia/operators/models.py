@@ -12,7 +12,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from premia.functions.prices import round_exact
+from premia.functions.prices import nan_to_null, round_exact
 from premia.operators.prep import Preprocessing
 
 
@@ -86,9 +86,9 @@ RECORD_POSITIVE = ["size_us", "retail_price"]
 
 
 def record_is_valid() -> Column:
-    """True for a record whose required inputs are present and whose size and retail are above 0."""
-    present = [F.col(c).isNotNull() for c in RECORD_REQUIRED]
-    positive = [F.col(c) > 0 for c in RECORD_POSITIVE]
+    """True for a record whose required inputs are present and whose size and retail are above 0. NaN is missing."""
+    present = [nan_to_null(F.col(c).cast("double")).isNotNull() for c in RECORD_REQUIRED]
+    positive = [nan_to_null(F.col(c).cast("double")) > 0 for c in RECORD_POSITIVE]
     return F.coalesce(reduce(Column.__and__, present + positive), F.lit(False))
 
 

@@ -27,6 +27,10 @@ ADAM_BETAS = (0.9, 0.999)
 ADAM_EPS = 1e-8
 
 
+# Training rows of one partition, unless the caller sets the number of partitions.
+PARTITION_ROWS = 50_000
+
+
 @dataclass(frozen=True)
 class NetworkSpec:
     """Hyperparameters. The defaults are fixed values."""
@@ -156,13 +160,14 @@ class NeuralModel:
         shared = rows.sparkSession.sparkContext.broadcast(np.asarray(self.weights))
 
         @F.pandas_udf("double")
-        def forward(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def forward(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
             params = unflatten(shared.value, inputs, hidden)
             for batch in batches:
-                x = np.stack(batch.to_numpy()) if len(batch) else np.empty((0, inputs))
-                yield pd.Series(predict(params, x))
+                yield pd.Series(predict(params, batch.to_numpy(dtype=np.float64)))
 
-        return rows.withColumn(name, forward(self.preprocessing.vector()))
+        # A column per feature travels as plain doubles; an array column would be an object per row.
+        features = F.struct(*(self.preprocessing.scaled(f).alias(f"f{i}") for i, f in enumerate(self.preprocessing.features)))
+        return rows.withColumn(name, forward(features))
 
     def to_dict(self) -> dict:
         return asdict(self)
@@ -179,8 +184,9 @@ def fit_network(
 ) -> tuple[NeuralModel, list[dict]]:
     """Train the network. Returns it with (epoch, train_loss, val_loss, val_rmse) per epoch.
 
-    The prepared training rows are stored once, spread evenly over ``partitions`` files, and read in
-    every epoch. ``validation`` is scored in every epoch, so it should be a stored table.
+    The prepared training rows are stored once, spread evenly over ``partitions`` files (by default one per
+    ``PARTITION_ROWS`` rows, so the work of a task does not grow with the data), and read in every epoch. Every
+    epoch checks that it has seen all rows. ``validation`` is scored in every epoch, so it should be a stored table.
     """
     inputs, hidden = len(preprocessing.features), spec.hidden_dim
     start = flatten(initial_parameters(inputs, hidden, seed))
@@ -189,11 +195,13 @@ def fit_network(
     ready = train.where(F.col(target).isNotNull()).select(
         preprocessing.vector().alias("x"), F.col(target).cast("double").alias("y")
     )
-    partitions = partitions or train.sparkSession.sparkContext.defaultParallelism
+    if partitions is None:
+        partitions = max(1, -(-ready.count() // PARTITION_ROWS))
     ready = materialize(ready.repartition(partitions), "training-rows")
+    rows = ready.count()
     history = []
     for epoch in range(spec.num_epochs):
-        state, train_loss = _epoch(ready, state, epoch, inputs, spec, seed)
+        state, train_loss = _epoch(ready, rows, state, epoch, inputs, spec, seed)
         model = NeuralModel(preprocessing, spec, state.params.tolist())
         val_loss = mean_squared_error(model.score(validation), target)
         history.append(
@@ -212,7 +220,7 @@ def mean_squared_error(scored: DataFrame, target: str) -> float | None:
 
 
 def _epoch(
-    ready: DataFrame, state: TrainingState, epoch: int, inputs: int, spec: NetworkSpec, seed: int
+    ready: DataFrame, rows: int, state: TrainingState, epoch: int, inputs: int, spec: NetworkSpec, seed: int
 ) -> tuple[TrainingState, float]:
     """One pass over the training rows."""
     shared = ready.sparkSession.sparkContext.broadcast(state)
@@ -228,10 +236,13 @@ def _epoch(
         steps, seen, loss_sum = start.steps, 0, 0.0
         for x, y in mini_batches(batches, spec.batch_size, rng):
             steps += 1
+            rows_of_batch = len(x)
+            if rows_of_batch == 1:  # batch statistics need two rows
+                x, y = np.repeat(x, 2, axis=0), np.repeat(y, 2)
             loss, grads = training_step(params, x, y, spec.dropout_rate, rng)
             adam_step(params, grads, m, v, steps, spec.learning_rate)
-            seen += len(x)
-            loss_sum += loss * len(x)
+            seen += rows_of_batch
+            loss_sum += loss * rows_of_batch
         if seen:
             values = np.concatenate([flatten(params), flatten(m), flatten(v), [steps, loss_sum / seen]])
             yield pd.DataFrame({"rows": [seen], "values": [values]})
@@ -239,12 +250,15 @@ def _epoch(
     parts = ready.mapInPandas(run_partition, "rows LONG, values ARRAY<DOUBLE>")
     weighted = parts.select("rows", F.posexplode("values").alias("at", "value"))
     averaged = weighted.groupBy("at").agg(
-        (F.sum(F.col("value") * F.col("rows")) / F.sum("rows")).alias("value")
+        (F.sum(F.col("value") * F.col("rows")) / F.sum("rows")).alias("value"), F.sum("rows").alias("seen")
     )
-    flat = averaged.toPandas().sort_values("at")["value"].to_numpy()
+    collected = averaged.toPandas().sort_values("at")
+    flat = collected["value"].to_numpy()
     shared.unpersist()
     if not len(flat):
-        raise ValueError("no training partition holds two rows to train on")
+        raise ValueError("there are no rows to train on")
+    if (collected["seen"] != rows).any():
+        raise RuntimeError(f"an epoch has seen {collected['seen'].iloc[0]} of {rows} training rows")
     size = len(state.params)
     params, m, v = (flat[i * size : (i + 1) * size] for i in range(3))
     return TrainingState(params, m, v, int(round(flat[-2]))), float(flat[-1])
@@ -253,7 +267,10 @@ def _epoch(
 def mini_batches(
     frames: Iterator[pd.DataFrame], size: int, rng: np.random.Generator
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Shuffled mini-batches from a stream of frames; a last batch of one row joins the one before."""
+    """Shuffled mini-batches from a stream of frames; a last batch of one row joins the one before.
+
+    A stream of a single row gives that row.
+    """
     held_x, held_y = None, None
     for frame in frames:
         if not len(frame):
@@ -266,5 +283,5 @@ def mini_batches(
         for i in range(full):
             yield x[i * size : (i + 1) * size], y[i * size : (i + 1) * size]
         held_x, held_y = x[full * size :], y[full * size :]
-    if held_x is not None and len(held_x) >= 2:
+    if held_x is not None:
         yield held_x, held_y

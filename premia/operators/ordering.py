@@ -28,25 +28,14 @@ def keep_last(rows: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     return first_per_key(rows, keys, [F.col(ordinal).desc()])
 
 
-def sequential_id(
-    rows: DataFrame, ordinal: str, name: str, chunk_rows: int = 1_000_000
-) -> DataFrame:
-    """Number the rows 1..n by a unique integer ``ordinal``.
-
-    The ordinal is cut into chunks of ``chunk_rows`` values. A row's number is its place in its chunk
-    plus the rows in all chunks before it. No chunk holds more than ``chunk_rows`` rows, and only the
-    chunk counts are summed in order.
+def sequential_id(rows: DataFrame, ordinal: str, name: str) -> DataFrame:
+    """Number the rows 1..n by a unique ``ordinal``, whatever its values and gaps.
+
+    The ordinals are sorted by range over all tasks and numbered there: a task's rows follow those of the tasks
+    before it, whose counts alone are added up. The numbers are then joined to the rows.
     """
-    chunked = rows.withColumn("_chunk", F.expr(f"`{ordinal}` div {int(chunk_rows)}"))
-    counts = chunked.groupBy("_chunk").agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    )
-    place = F.row_number().over(Window.partitionBy("_chunk").orderBy(ordinal))
-    return (
-        chunked.withColumn("_place", place)
-        .join(offsets, "_chunk")
-        .withColumn(name, F.col("_offset") + F.col("_place"))
-        .drop("_chunk", "_place", "_offset")
-    )
+    spark = rows.sparkSession
+    kind = rows.schema[ordinal].dataType.simpleString()
+    places = rows.select(F.col(ordinal).alias("_ordinal")).orderBy("_ordinal").rdd.zipWithIndex()
+    numbered = spark.createDataFrame(places.map(lambda x: (x[0][0], x[1] + 1)), f"_ordinal {kind}, _place LONG")
+    return rows.join(numbered, F.col(ordinal) == F.col("_ordinal")).withColumn(name, F.col("_place")).drop("_ordinal", "_place")

@@ -1,9 +1,9 @@
-"""Exact quantiles of large columns.
+"""Exact quantiles of columns of any size, by counting.
 
-The values at the wanted ranks are read off running counts of the distinct values, in one task per
-column, which is right for columns of a checked size only. Beyond that size the ranks are bracketed with
-mergeable sketches, the brackets are counted exactly, and the search goes on inside them until they are
-small enough. Only bracket limits, counts and the values asked for come to the driver.
+The value at a wanted rank is known to lie in a bracket, at first the column's extremes. A round cuts every
+bracket into slices, counts the values of each slice with their extremes, and goes on inside the slice that the rank
+falls into, until a bracket holds one value only. A round reads the rows once for all columns; what is
+shuffled and ordered are slices, never rows. Bracket limits and counts are all that comes to the driver.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from premia.functions.prices import nan_to_null
 
-DIRECT_LIMIT = 2_000_000
-SKETCH_ACCURACY = 10_000
+# Slices of all brackets of a round together, and the fewest of one bracket.
+ROUND_SLICES, LEAST_SLICES = 32_768, 64
+# A bracket of one sign whose ends are further apart than this factor is cut by magnitude.
+WIDE = 4096.0
 
 
 def evenly_spaced(bins: int) -> list[float]:
@@ -28,128 +30,90 @@ def evenly_spaced(bins: int) -> list[float]:
 
 
 @dataclass(frozen=True)
-class _Search:
-    """The value of ``column`` at ``rank`` lies in [low, high]; ``below`` values are under ``low``."""
+class _Bracket:
+    """Values of ``column`` from ``low`` to ``high``; ``below`` values of the column are under ``low``."""
 
     column: str
-    rank: int
-    low: float | None
-    high: float | None
+    low: float
+    high: float
     below: int
-    inside: int
 
-    def holds(self) -> Column:
-        """True for the values inside; without limits, all of them."""
-        if self.low is None:
-            return F.col(self.column).isNotNull()
-        return F.col(self.column).between(F.lit(self.low), F.lit(self.high))
+    def slice_of(self, slices: int) -> Column:
+        """The number of a value's slice: it never falls with the value, and differs at the two ends."""
+        x = F.col(self.column)
+        low, high = self.low, self.high
+        if low < 0 < high or (low == 0 or high == 0) and max(-low, high) > WIDE:
+            # Zero apart, the signs apart: within one sign magnitudes can be compared.
+            return F.signum(x).cast("int") + 1
+        near, far = min(abs(low), abs(high)), max(abs(low), abs(high))
+        if near > 0 and far / WIDE > near:
+            span = math.log(far) - math.log(near)
+            share = (F.log(F.abs(x)) - math.log(near)) / span
+            share = share if low > 0 else 1 - share
+        else:
+            # Halves, so that the width of the widest bracket is finite.
+            share = (x / 2 - low / 2) / (high / 2 - low / 2)
+        inner = F.floor(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * (slices - 2)).cast("int")
+        return F.when(x == F.lit(low), 0).when(x == F.lit(high), slices).otherwise(inner + 1)
 
 
 def exact_quantiles(
-    rows: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    direct_limit: int = DIRECT_LIMIT,
-    accuracy: int = SKETCH_ACCURACY,
+    rows: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float]]:
     """Linearly interpolated quantiles per column, equal to numpy's. Missing values do not count; a
     column without values gives []."""
     values = rows.select(*(nan_to_null(F.col(c).cast("double")).alias(c) for c in columns))
-    sizes = values.agg(*(F.count(c).alias(c) for c in columns)).first().asDict()
+    ends = values.agg(
+        *(f(c).alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in (("n", F.count), ("low", F.min), ("high", F.max)))
+    ).first()
+    sizes = {c: ends[f"n_{i}"] for i, c in enumerate(columns)}
     positions = {c: [q * (sizes[c] - 1) for q in probabilities] for c in columns if sizes[c]}
+    whole = {c: _Bracket(c, ends[f"low_{i}"], ends[f"high_{i}"], 0) for i, c in enumerate(columns) if sizes[c]}
 
-    ranks = {(c, r) for c, ps in positions.items() for p in ps for r in (math.floor(p), math.ceil(p))}
-    searches = [_Search(c, r, None, None, 0, sizes[c]) for c, r in sorted(ranks)]
-    at_rank = {}
-    while searches:
-        small = [s for s in searches if s.inside <= direct_limit]
-        at_rank.update(_read_off(values, small))
-        large = [s for s in searches if s.inside > direct_limit]
-        narrowed = _narrow(values, large, accuracy)
-        at_rank.update({(s.column, s.rank): s.low for s in narrowed if s.low == s.high})
-        searches = [s for s in narrowed if s.low != s.high]
-        if searches and set(searches) == set(large):  # no sketch splits them further: read them off
-            at_rank.update(_read_off(values, searches))
-            searches = []
+    searches = {(c, r): whole[c] for c, ps in positions.items() for p in ps for r in (math.floor(p), math.ceil(p))}
+    for (column, rank), bracket in searches.items():
+        # The extremes are known; nothing is searched for them.
+        if rank in (0, sizes[column] - 1):
+            value = bracket.low if rank == 0 else bracket.high
+            searches[column, rank] = _Bracket(column, value, value, 0)
+    while open_searches := {k: b for k, b in searches.items() if b.low < b.high}:
+        searches.update(_narrowed(values, open_searches))
 
     def between(column: str, position: float) -> float:
-        low, high = (at_rank[column, r] for r in (math.floor(position), math.ceil(position)))
+        low, high = (searches[column, r].low for r in (math.floor(position), math.ceil(position)))
         return float(np.quantile([low, high], position - math.floor(position)))
 
     return {c: [between(c, p) for p in positions.get(c, ())] for c in columns}
 
 
-def _by_bracket(searches: Sequence[_Search]) -> list[list[_Search]]:
-    groups: dict[tuple, list[_Search]] = {}
-    for s in searches:
-        groups.setdefault((s.column, s.low, s.high), []).append(s)
-    return list(groups.values())
-
-
-def _narrow(values: DataFrame, searches: Sequence[_Search], accuracy: int) -> list[_Search]:
-    """One sketch pass and one counting pass that shrink every bracket around its rank.
-
-    Ranks searched in the same bracket share its sketch.
-    """
-    if not searches:
-        return []
-    slack = 3.0 / accuracy
-    sketches = []
-    groups = _by_bracket(searches)
-    for i, group in enumerate(groups):
-        shares = [(s.rank - s.below + 0.5) / s.inside for s in group]
-        levels = [max(q - slack, 0.0) for q in shares] + [min(q + slack, 1.0) for q in shares]
-        inside = F.when(group[0].holds(), F.col(group[0].column))
-        sketches.append(
-            F.percentile_approx(inside, F.array(*map(F.lit, levels)), accuracy).alias(f"limits_{i}")
+def _narrowed(
+    values: DataFrame, searches: Mapping[tuple[str, int], _Bracket]
+) -> dict[tuple[str, int], _Bracket]:
+    """One round: the slice of its bracket that each rank falls into. Ranks of one bracket share its slices."""
+    brackets = list(dict.fromkeys(searches.values()))
+    slices = max(LEAST_SLICES, ROUND_SLICES // len(brackets))
+    members = F.array_compact(F.array(*(
+        F.when(
+            F.col(b.column).between(F.lit(b.low), F.lit(b.high)),
+            F.struct(F.lit(i).alias("bracket"), b.slice_of(slices).alias("slice"), F.col(b.column).alias("value")),
         )
-    searches = [s for group in groups for s in group]
-    pivots = [
-        pair
-        for limits in values.agg(*sketches).first()
-        for pair in zip(limits[: len(limits) // 2], limits[len(limits) // 2 :])
-    ]
-
-    counts = []
-    for i, s in enumerate(searches):
-        x, (low, high) = F.col(s.column), (F.lit(float(v)) for v in pivots[i])
-        counts += [F.count_if(x < low), F.count_if(x.between(low, high))]
-    counted = values.agg(*counts).first()
-    narrowed = []
-    for i, s in enumerate(searches):
-        below, inside = counted[2 * i], counted[2 * i + 1]
-        if below <= s.rank < below + inside:
-            s = _Search(s.column, s.rank, *map(float, pivots[i]), below, inside)
-        narrowed.append(s)
-    return narrowed
-
-
-def _read_off(values: DataFrame, searches: Sequence[_Search]) -> Mapping[tuple[str, int], float]:
-    """The value at each rank, from running counts of the distinct values of its bracket.
-
-    Searches with one bracket share it: the counts are made per (column, bracket).
-    """
-    if not searches:
-        return {}
-    groups = _by_bracket(searches)
-    members = F.array(
-        *(
-            F.when(group[0].holds(), F.struct(F.lit(i).alias("bracket"), F.col(group[0].column).alias("value")))
-            for i, group in enumerate(groups)
-        )
-    )
+        for i, b in enumerate(brackets)
+    )))
     counted = (
-        values.select(F.inline(F.array_compact(members))).groupBy("bracket", "value").count()
-    )
-    before = F.create_map(*(F.lit(v) for i, g in enumerate(groups) for v in (i, g[0].below)))
-    asked = F.create_map(
-        *(v for i, g in enumerate(groups) for v in (F.lit(i), F.array(*(F.lit(s.rank) for s in g))))
+        values.select(F.inline(members)).groupBy("bracket", "slice")
+        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     )
-    so_far = F.sum("count").over(Window.partitionBy("bracket").orderBy("value"))
-    reached = counted.withColumn("upto", so_far + before[F.col("bracket")])
+    so_far = F.sum("n").over(Window.partitionBy("bracket").orderBy("slice"))
+    before = F.array(*(F.lit(b.below).cast("long") for b in brackets))
+    placed = counted.withColumn("upto", so_far + F.get(before, F.col("bracket")))
+    asked = F.array(*(
+        F.array(*(F.lit(rank).cast("long") for (_, rank), own in searches.items() if own == b)) for b in brackets
+    ))
     hit = F.filter(
-        asked[F.col("bracket")],
-        lambda rank: (rank < F.col("upto")) & (rank >= F.col("upto") - F.col("count")),
+        F.get(asked, F.col("bracket")), lambda rank: (rank < F.col("upto")) & (rank >= F.col("upto") - F.col("n"))
     )
-    found = reached.select("bracket", F.explode(hit).alias("rank"), "value").collect()
-    return {(groups[r["bracket"]][0].column, r["rank"]): float(r["value"]) for r in found}
+    found = placed.select("bracket", F.explode(hit).alias("rank"), "low", "high", (F.col("upto") - F.col("n")).alias("below"))
+    return {
+        (brackets[r["bracket"]].column, r["rank"]): _Bracket(brackets[r["bracket"]].column, r["low"], r["high"], r["below"])
+        for r in found.collect()
+    }

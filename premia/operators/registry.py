@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from premia.functions.prices import nan_to_null
+
 
 def best_runs(runs: DataFrame, keys: Sequence[str], metric: str, run_id: str = "run_id") -> DataFrame:
     """Per key: the run with the lowest metric (the lowest run id among equals).
@@ -42,9 +44,13 @@ def promotion_decisions(
     """One decision per candidate: a new version, promoted only if strictly better.
 
     ``incumbents`` holds the promoted run's metric per model, ``last_versions`` the highest version so
-    far. ``beat_metric`` is the incumbent's metric, NULL if there is none.
+    far. ``beat_metric`` is the incumbent's metric, NULL if there is none. A candidate without a metric (NULL or
+    NaN) fails the job; an incumbent without one is beaten.
     """
-    held = incumbents.select(key, F.col(metric).alias("beat_metric"))
+    missing = F.raise_error(F.concat(F.lit(f"a candidate has no {metric}: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL"))))
+    measured = F.coalesce(nan_to_null(F.col(metric).cast("double")), missing.cast("double"))
+    candidates = candidates.withColumn(metric, measured)
+    held = incumbents.select(key, nan_to_null(F.col(metric).cast("double")).alias("beat_metric"))
     versions = last_versions.select(key, "last_version")
     beaten = F.col("beat_metric").isNull() | (F.col(metric) < F.col("beat_metric"))
     return (

@@ -50,7 +50,8 @@ def feature_table(
     )
     totals = materialize(totals, "premium-totals")
     mean = mean_of_totals("_total", "_n")
-    instants = totals.groupBy("shoe_id", "at").agg(
+    # A sale without a date is on no timeline.
+    instants = totals.where("at IS NOT NULL").groupBy("shoe_id", "at").agg(
         F.sum("_total").alias("total"), F.sum("_n").alias("n")
     )
     rolling = trailing_totals(
@@ -71,13 +72,26 @@ def feature_table(
     )
     by_brand = totals.groupBy("brand").agg(mean.alias("_brand_mean"))
 
-    joined = attach(rows, by_size, ["shoe_id", "size_us"], null_safe=True)
-    joined = attach(joined, rolling, ["shoe_id", "at"])
-    joined = attach(joined, by_brand, ["brand"], null_safe=True)
+    # All statistics meet on the totals, which are as few as there are different keys; the sales, as wide as
+    # they are, are joined once.
+    keys = ["shoe_id", "brand", "size_us", "at"]
+    stats = attach(totals.select(*keys), by_size, ["shoe_id", "size_us"], null_safe=True)
+    stats = attach(stats, rolling, ["shoe_id", "at"])
+    stats = attach(stats, by_brand, ["brand"])
+    renamed = stats.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = F.col("shoe_id") == F.col("_shoe_id")
+    for key in keys[1:]:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    joined = rows.join(renamed, same)
     history = history_days(F.col("sale_date"), F.col("_first_sale"))
     return joined.withColumns(
         {
             "rolling_7d_avg_premium": only_with_history(F.col("_rolling"), history, spec.rolling_days),
-            "brand_avg_premium": F.when(F.col("brand").isNotNull(), F.col("_brand_mean")),
+            "brand_avg_premium": F.col("_brand_mean"),
         }
-    ).select(*FEATURE_TABLE_COLUMNS)
+    ).transform(project_contract)
+
+
+def project_contract(rows: DataFrame) -> DataFrame:
+    """The columns of the feature table, in their fixed order, and no others."""
+    return rows.select(*FEATURE_TABLE_COLUMNS)

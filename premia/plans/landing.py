@@ -77,7 +77,8 @@ def with_exclusion(matched: DataFrame) -> DataFrame:
     """Adds ``release_text``, the release date to use, and ``excluded``, the reason or NULL."""
     release = F.coalesce(F.col("release_date"), F.nullif(F.col("ref.release_date"), F.lit("")))
     conditions = [
-        F.col("ref").isNull(),
+        # An entry without a price is no reference.
+        ~F.coalesce((F.col("ref.retail_price") > 0) & ~F.isnan("ref.retail_price"), F.lit(False)),
         brands_conflict(F.col("ref.brand"), F.col("brand")),
         F.col("market_avg").isNull() | ~(F.col("market_avg") > 0),
         F.col("release_text").isNull(),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from premia.sources.readers import scan_json
@@ -24,21 +24,30 @@ REFERENCE_RECORD = (
 )
 
 
-def _ordered(rows: DataFrame) -> DataFrame:
-    """One integer ``ordinal``: files by name, records by position. Only file names are ranked."""
-    files = rows.select("_file").distinct()
-    ranked = files.select("_file", F.row_number().over(Window.orderBy("_file")).alias("_rank"))
-    ordinal = F.col("_rank").cast("long") * F.lit(2**32) + F.col("position")
+def _feed(spark: SparkSession, path: str, record: str) -> DataFrame:
+    """Records with one integer ``ordinal``: files by name, records by position.
+
+    The files are listed without reading them, and numbered by a distributed sort.
+    """
+    listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("_file"))
+    numbered = listed.orderBy("_file").rdd.zipWithIndex().map(lambda x: (x[0][0], x[1]))
+    ranked = spark.createDataFrame(numbered, "_file STRING, _rank LONG")
+    ordinal = F.col("_rank") * F.lit(2**32) + F.col("position")
+    rows = scan_json(spark, path, record)
     return rows.join(ranked, "_file").withColumn("ordinal", ordinal).drop("_file", "_rank", "position")
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    return _ordered(scan_json(spark, path, PRICE_RECORD))
+    return _feed(spark, path, PRICE_RECORD)
 
 
 def read_releases(spark: SparkSession, path: str) -> DataFrame:
-    return _ordered(scan_json(spark, path, RELEASE_RECORD))
+    return _feed(spark, path, RELEASE_RECORD)
 
 
 def read_reference(spark: SparkSession, path: str) -> DataFrame:
-    return _ordered(scan_json(spark, path, REFERENCE_RECORD))
+    """The reference; an entry without a positive retail price fails the job."""
+    price = F.col("retail_price")
+    good = F.coalesce((price > 0) & ~F.isnan(price), F.lit(False))
+    wrong = F.raise_error(F.concat(F.lit("no retail price in the reference entry "), F.coalesce("sku", F.lit("NULL")))).cast("double")
+    return _feed(spark, path, REFERENCE_RECORD).withColumn("retail_price", F.when(good, price).otherwise(wrong))

@@ -1,6 +1,7 @@
 """Drift of a stream against a fixed reference.
 
-The reference is cut into bins once. Every micro-batch adds its bin counts to a table, keyed by batch id,
+The reference is cut into bins once; its edges and counts are stored beside the stream's, so reports stay
+comparable when the reference table changes. Every micro-batch adds its bin counts to a table, keyed by batch id,
 so a repeated batch overwrites itself. The PSI of everything seen so far follows from the summed counts;
 no past row is read again.
 """
@@ -9,14 +10,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from premia.operators.drift import bin_counts_of, psi_from_counts, quantile_edges
+from premia.operators.drift import bin_counts_of, edges_frame, psi_from_counts, quantile_edges
 from premia.spec import PSI_BINS, PSI_THRESHOLD
 
 
+def store_baseline(
+    reference: DataFrame, features: Sequence[str], path: str, bins: int = PSI_BINS
+) -> dict[str, list[float]]:
+    """Cut the reference into bins, store edges and counts below ``path``, and return the edges."""
+    edges = quantile_edges(reference, features, bins)
+    edges_frame(reference.sparkSession, edges).coalesce(1).write.mode("overwrite").parquet(f"{path}/edges")
+    bin_counts_of(reference, edges).coalesce(1).write.mode("overwrite").parquet(f"{path}/counts")
+    return edges
+
+
 def stream_drift_counts(
     stream: DataFrame,
     edges: dict[str, list[float]],
@@ -43,15 +54,17 @@ def stream_drift_counts(
 
 
 def stream_drift_report(
-    reference: DataFrame,
+    spark: SparkSession,
     features: Sequence[str],
     counts_path: str,
+    baseline_path: str,
     threshold: float = PSI_THRESHOLD,
-    bins: int = PSI_BINS,
 ) -> DataFrame:
-    """(feature, psi, drifted) of all batches counted so far."""
-    edges = quantile_edges(reference, features, bins)
-    seen = reference.sparkSession.read.parquet(counts_path)
+    """(feature, psi, drifted) of all batches counted so far, against the stored baseline."""
+    edges: dict[str, list[float]] = {}
+    for row in spark.read.parquet(f"{baseline_path}/edges").orderBy("feature", "edge_no").collect():
+        edges.setdefault(row["feature"], []).append(row["edge"])
+    seen = spark.read.parquet(counts_path)
     current = seen.groupBy("feature", "bin").agg(F.sum("n").alias("n"))
-    measured = psi_from_counts(bin_counts_of(reference, edges), current, edges, features)
+    measured = psi_from_counts(spark.read.parquet(f"{baseline_path}/counts"), current, edges, features)
     return measured.withColumn("drifted", F.col("psi") > F.lit(threshold))

@@ -125,7 +125,7 @@ def test_first_last_and_numbering(spark):
     assert {(r["k"], r["o"]) for r in keep_last(rows, ["k"], "o").collect()} == {("a", 7), ("b", 5)}
     ordinals = random.Random(3).sample(range(-500, 10_000), 300)
     frame = spark.createDataFrame([(o,) for o in ordinals], "o LONG")
-    numbered = sequential_id(frame, "o", "id", chunk_rows=64).orderBy("o").collect()
+    numbered = sequential_id(frame, "o", "id").orderBy("o").collect()
     assert [r["id"] for r in numbered] == list(range(1, 301))
 
 
@@ -166,20 +166,30 @@ def numpy_psi(reference, current, bins=10):
     return float(((c - r) * np.log(c / r)).sum())
 
 
-@pytest.mark.parametrize("limit", [10**6, 50])
-def test_quantiles_are_exact_on_both_paths(spark, limit):
+def test_quantiles_are_exact(spark):
     rng = np.random.default_rng(5)
     normal = rng.normal(size=3000)
-    heavy = np.where(rng.random(3000) < 0.4, 7.0, np.round(rng.normal(7, 3, 3000), 1))
-    frame = spark.createDataFrame(
-        [(float(a), float(b), None if i % 3 else float(a), None) for i, (a, b) in enumerate(zip(normal, heavy))],
-        "n DOUBLE, h DOUBLE, gap DOUBLE, none DOUBLE",
-    )
+    columns = {
+        "normal": normal,
+        "ties": np.where(rng.random(3000) < 0.4, 7.0, np.round(rng.normal(7, 3, 3000), 1)),
+        "two": rng.integers(0, 2, 3000) * 5.0,
+        "spread": rng.choice([-1.0, 1.0], 3000) * 10.0 ** rng.uniform(-300, 300, 3000),
+        "positive": 10.0 ** rng.uniform(-300, 300, 3000),
+        "near": 1.0 + rng.integers(0, 50, 3000) * 2.0**-52,
+        "ends": np.where(rng.random(3000) < 0.1, np.finfo(float).max, np.where(rng.random(3000) < 0.1, -np.finfo(float).max, normal)),
+        "gap": np.where(np.arange(3000) % 3, np.nan, normal),
+        "constant": np.full(3000, -2.5),
+        "none": np.full(3000, np.nan),
+    }
+    names = list(columns)
+    rows = [tuple(float(v) for v in row) for row in zip(*columns.values())]
+    frame = spark.createDataFrame(rows, ", ".join(f"{n} DOUBLE" for n in names))
     levels = evenly_spaced(10)
-    got = exact_quantiles(frame, ["n", "h", "gap", "none"], levels, direct_limit=limit, accuracy=200)
-    for name, values in (("n", normal), ("h", heavy), ("gap", normal[::3])):
-        assert got[name] == [float(v) for v in np.quantile(values, levels)]
-    assert got["none"] == []
+    got = exact_quantiles(frame, names, levels)
+    for name, values in columns.items():
+        present = values[~np.isnan(values)]
+        with np.errstate(over="ignore"):
+            assert got[name] == [float(v) for v in np.quantile(present, levels)] if len(present) else got[name] == [], name
 
 
 def sample_frame(spark, columns):

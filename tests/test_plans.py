@@ -42,7 +42,7 @@ from premia.sources.readers import scan_parquet, trim_fields
 from premia.sources.warehouse import canonical_drop, canonical_tables
 from premia.sources.writers import Store, landing_profile, require_rows, write_partitioned
 from premia.spec import CANONICAL_SCHEMAS, FEATURE_TABLE_COLUMNS, MODEL_FEATURES, FeatureSpec
-from premia.streaming.drift import stream_drift_counts, stream_drift_report
+from premia.streaming.drift import store_baseline, stream_drift_counts, stream_drift_report
 from premia.streaming.scoring import stream_refusals, stream_scores
 
 D = dt.datetime
@@ -421,16 +421,17 @@ def test_stream_drift_adds_up_over_batches(spark, tmp_path):
     reference.write.parquet(str(tmp_path / "ref"))
     reference = spark.read.parquet(str(tmp_path / "ref"))
     source = str(tmp_path / "in")
-    from premia.operators.drift import drift_report, quantile_edges
+    from premia.operators.drift import drift_report
 
-    edges = quantile_edges(reference, ["a", "b"])
+    baseline = str(tmp_path / "baseline")
+    edges = store_baseline(reference, ["a", "b"], baseline)
     counts, checkpoint = str(tmp_path / "counts"), str(tmp_path / "c")
     for batch in range(3):
         spark.range(500).selectExpr(f"CAST((id % 50) + {batch * 20} AS DOUBLE) AS a", f"rand({batch}) AS b") \
             .write.mode("append").parquet(source)
         stream = spark.readStream.schema("a DOUBLE, b DOUBLE").parquet(source)
         stream_drift_counts(stream, edges, counts, checkpoint).awaitTermination()
-    got = {r["feature"]: (r["psi"], r["drifted"]) for r in stream_drift_report(reference, ["a", "b"], counts).collect()}
+    got = {r["feature"]: (r["psi"], r["drifted"]) for r in stream_drift_report(spark, ["a", "b"], counts, baseline).collect()}
     whole = {r["feature"]: (r["psi"], r["drifted"]) for r in drift_report(reference, spark.read.parquet(source), ["a", "b"]).collect()}
     assert got == {f: (pytest.approx(p), d) for f, (p, d) in whole.items()}
 
