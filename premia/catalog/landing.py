@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from premia.catalog import feeds
 from premia.catalog import tables as T
-from premia.catalog.registry import query, rounded
+from premia.catalog.registry import query, round_sql, rounded
 from premia.functions.dates import canonical_date
 from premia.functions.prices import first_non_empty, positive_price
 from premia.functions.skus import normalize_sku, sku_candidates, stable_id
@@ -15,6 +15,7 @@ from premia.functions.text import brands_conflict, classify_release
 from premia.operators.matching import new_candidates, requested_only, without_match
 from premia.operators.ordering import first_per_key, keep_first, keep_last, sequential_id
 from premia.plans.landing import (
+    candidate_rows,
     exclusion_counts,
     id_collisions,
     land_snapshot,
@@ -461,3 +462,36 @@ QUALIFY row_number() OVER (PARTITION BY {feeds.normalize_sql('sku')} ORDER BY or
 def new_candidate_anti_query(spark, folder):
     found = feeds.prices(spark, folder).select("ordinal", "sku", "avg_price")
     return new_candidates(found, "sku", "ordinal", feeds.reference(spark, folder), "sku")
+
+
+_SEEDS = {
+    "query": "n_name", "seed_brand": "CASE WHEN n_regionkey = 2 THEN '' ELSE n_name END",
+    "seed_model": "CASE WHEN n_regionkey = 3 THEN NULL ELSE concat('Model ', n_nationkey) END",
+    "seed_retail": "100 + n_nationkey", "seed_type": "CASE WHEN n_nationkey % 2 = 0 THEN 'limited' ELSE 'general' END",
+}
+_FOUND_TITLE = "CASE WHEN ordinal % 3 = 0 THEN title ELSE 'Plain Name' END"
+_SEED_COLUMNS = ", ".join(f"{e} AS {c}" for c, e in _SEEDS.items())
+
+
+@query("candidate_rows", f"""
+WITH {feeds.FEEDS_SQL},
+found AS (
+  SELECT * FROM prices WHERE {feeds.normalize_sql('sku')} <> ''
+    AND {feeds.normalize_sql('sku')} NOT IN (SELECT {feeds.normalize_sql('sku')} FROM reference)
+  QUALIFY row_number() OVER (PARTITION BY {feeds.normalize_sql('sku')} ORDER BY ordinal) = 1),
+titled AS (
+  SELECT ordinal, trim(sku) AS sku, {_FOUND_TITLE} AS title, brand, model, TRY_CAST(avg_price AS DOUBLE) AS price,
+         {_SEED_COLUMNS} FROM found JOIN nation ON n_nationkey = ordinal % 25),
+typed AS (SELECT *, CASE WHEN {feeds.class_sql('title')} = 'collab' THEN 'collab' ELSE seed_type END AS release_type FROM titled)
+SELECT sku, CAST(seed_retail AS DOUBLE) AS retail_price, release_type,
+       coalesce(nullif(seed_brand, ''), nullif(brand, ''), '') AS brand,
+       coalesce(nullif(seed_model, ''), nullif(model, ''), '') AS model, title AS colorway,
+       coalesce(seed_model, '') AS silhouette, coalesce({round_sql('price', 2)}, 0) AS market,
+       release_type IN ('collab', 'limited') AS review, query FROM typed""")
+def candidate_rows_query(spark, folder):
+    """New codes of the price feed as reference entries; a seed per nation."""
+    found = new_candidates(feeds.prices(spark, folder), "sku", "ordinal", feeds.reference(spark, folder), "sku")
+    seeds = T.table(spark, folder, "nation").selectExpr("n_nationkey", *(f"{e} AS {c}" for c, e in _SEEDS.items()))
+    rows = found.join(seeds, F.col("ordinal") % 25 == F.col("n_nationkey"))
+    rows = rows.withColumns({"title": F.expr(_FOUND_TITLE), "secondary_title": F.lit("")})
+    return candidate_rows(rows)

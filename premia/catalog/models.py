@@ -25,7 +25,9 @@ from premia.operators.prep import (
 )
 from premia.operators.registry import best_runs, promotion_decisions
 from premia.plans.scoring import score_snapshot, snapshot_features
+from premia.plans.jobs import append_history, next_versions
 from premia.plans.training import train_network
+from premia.sources.writers import Store
 from premia.session import materialize, scratch_path
 from premia.spec import PREDICTION_KEYS, TARGET, FeatureSpec
 from premia.streaming.scoring import stream_refusals, stream_scores
@@ -301,6 +303,52 @@ def promotion_gate_query(spark, folder):
     return promotion_decisions(candidates, incumbents, "model", "val_rmse", versions)
 
 
+@query("registry_versions", f"WITH {_RUNS_SQL}" + """,
+best AS (
+  SELECT * FROM runs WHERE val_rmse IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY model, run_date ORDER BY val_rmse, run_id) = 1),
+held AS (
+  SELECT *, min(val_rmse) OVER (PARTITION BY model ORDER BY run_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS beat_metric,
+         row_number() OVER (PARTITION BY model ORDER BY run_date) AS version FROM best)
+SELECT model, CAST(run_date AS VARCHAR) AS run_date, run_id, val_rmse, beat_metric, version,
+       beat_metric IS NULL OR val_rmse < beat_metric AS promoted FROM held""")
+def registry_versions_query(spark, folder):
+    """Promotion over all run dates, each against the state that the one before left."""
+    runs = materialize(_runs(spark, folder).where("val_rmse IS NOT NULL"), "runs")
+    dates = [r[0] for r in runs.select("run_date").distinct().orderBy("run_date").collect()]
+    state = spark.createDataFrame(
+        [], "model STRING, run_date STRING, run_id LONG, val_rmse DOUBLE, beat_metric DOUBLE, version LONG, promoted BOOLEAN"
+    )
+    for date in dates:
+        candidates = best_runs(runs.where(F.col("run_date") == F.lit(date)), ["model"], "val_rmse")
+        decided = next_versions(candidates, state, "model", "val_rmse").withColumn("run_date", F.lit(str(date)))
+        state = materialize(state.unionByName(decided.select(*state.columns)), "versions")
+    return state
+
+
+@query("history_append", """
+WITH points AS (
+  SELECT strftime(o_orderdate, '%Y-%m') AS ts, count(*) AS n, round(max(o_totalprice), 4) AS model_premium,
+         round(min(o_totalprice), 4) AS market_premium
+  FROM orders WHERE year(o_orderdate) = 1997 GROUP BY ALL)
+SELECT ts, n, model_premium, market_premium FROM points ORDER BY ts DESC LIMIT 5""")
+def history_append_query(spark, folder):
+    """A point per month appended to the stored history, of which the last five are kept."""
+    store = Store(scratch_path(spark, "history"))
+    orders = T.table(spark, folder, "orders").where("year(o_orderdate) = 1997")
+    points = materialize(
+        orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(
+            F.count("*").alias("n"), F.round(F.max("o_totalprice"), 4).alias("model_premium"),
+            F.round(F.min("o_totalprice"), 4).alias("market_premium"),
+        ),
+        "points",
+    )
+    history = None
+    for month in [r[0] for r in points.select("month").orderBy("month").collect()]:
+        history = append_history(store, spark, month, points.where(F.col("month") == month).drop("month"), cap=5)
+    return history.select("ts", "n", "model_premium", "market_premium")
+
+
 # --- Snapshot scoring and board -----------------------------------------------------------------
 
 _SNAPSHOT_SQL = f"""WITH {feeds.LANDED_SQL},

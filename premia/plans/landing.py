@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premia.functions.dates import canonical_date
-from premia.functions.prices import first_non_empty, positive_price
+from premia.functions.prices import first_non_empty, nan_to_null, positive_price, round_exact
 from premia.functions.skus import normalize_sku, sku_candidates, stable_id
 from premia.functions.text import brands_conflict, classify_release
 from premia.operators.contract import coerce, table_types
@@ -195,6 +195,30 @@ def land_snapshot(
     )
 
 
+def candidate_rows(found: DataFrame) -> DataFrame:
+    """Proposed reference entries of found products, each with the seed it was found by.
+
+    ``found`` has sku, title, brand, model, secondary_title, avg_price (text), and the seed's query, seed_brand, seed_model,
+    seed_retail and seed_type. Retail comes from the seed; the seed's release type is raised to collab if the title names
+    a collaborator. Types whose retail differs by colourway are marked for review. A market price that is
+    no number is 0.
+    """
+    market = F.col("avg_price").try_cast("double")
+    kind = F.when(classify_release(F.col("title")) == "collab", "collab").otherwise(F.col("seed_type"))
+    return found.select(
+        F.btrim(F.coalesce("sku", F.lit(""))).alias("sku"),
+        F.col("seed_retail").cast("double").alias("retail_price"),
+        kind.alias("release_type"),
+        first_non_empty(F.col("seed_brand"), F.col("brand")).alias("brand"),
+        first_non_empty(F.col("seed_model"), F.col("model")).alias("model"),
+        first_non_empty(F.col("secondary_title"), F.col("title")).alias("colorway"),
+        F.coalesce("seed_model", F.lit("")).alias("silhouette"),
+        F.coalesce(round_exact(nan_to_null(market), 2), F.lit(0.0)).alias("market"),
+        kind.isin("collab", "limited").alias("review"),
+        "query",
+    )
+
+
 def land_tables(store: Store, tables: Mapping[str, DataFrame], run_date: str) -> DataFrame:
     """Write canonical tables to the raw zone and return their profile; empty tables are refused."""
     ordered = {name: tables[name] for name in CANONICAL_SCHEMAS}

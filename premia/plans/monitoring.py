@@ -44,6 +44,8 @@ def run_drift_check(
         "feature", "measured", "reason", round_exact(F.col("psi"), 5).alias("psi"), "drifted",
         F.lit(reference_run_date).alias("reference_run_date"),
         F.lit(threshold).alias("psi_threshold"),
+        F.lit(reference.count()).alias("n_reference"),
+        F.lit(current.count()).alias("n_current"),
     )
     store.write(full, "drift", "drift_features", run_date)
     return drift_gate(store.read(spark, "drift", "drift_features", run_date))
