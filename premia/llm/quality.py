@@ -27,6 +27,7 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".,;:'\"-!?|"]] = True
 _NOT_LINE = np.ones(256, bool)
 _NOT_LINE[[10, 13]] = False
+_RESULTS = ("evidence", "site_prior", "section_posterior", "quality")
 # Evidence of one document lies within this many units of log-odds: a text alone is never beyond doubt.
 MOST_EVIDENCE = 12.0
 
@@ -182,12 +183,12 @@ def with_quality(docs: DataFrame, labels: DataFrame, site: str = "source", secti
     weights = fit_evidence(slim.join(known, F.col("__id") == F.col("__known")).select(F.col("__features").alias("features"), "quality"))
     scored = slim.withColumn("__p", _sigmoid(evidence(weights)))
     rates, mean = posteriors(scored)
-    names = ("evidence", "site_prior", "section_posterior", "quality")
+    rates = materialize(rates, "rates")  # a row per section: its size is known when the documents are joined to it
     if measured is None:
         rows = docs.withColumn("__features", features(text))
     else:
         rows = measured
-    rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c not in names], evidence(weights).alias("__e"))
+    rows = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c not in _RESULTS], evidence(weights).alias("__e"))
     joined = rows.join(
         rates, F.col(site).cast("string").eqNullSafe(F.col("__s")) & F.col(section).cast("string").eqNullSafe(F.col("__c"))
     )
@@ -205,6 +206,7 @@ def with_quality(docs: DataFrame, labels: DataFrame, site: str = "source", secti
 
 def without_rejected(docs: DataFrame, labels: DataFrame, least: float = 0.5, **options) -> DataFrame:
     """The rows of ``docs`` whose quality is at least ``least``, all columns as they were."""
-    shadow = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *[F.col(options.get(k, v)).alias(f"__{v}") for k, v in (("doc_id", "doc_id"), ("site", "source"), ("section", "lang"), ("text", "text"))])
-    scored = with_quality(shadow, labels, site="__source", section="__lang", text="__text", doc_id="__doc_id")
-    return scored.where(F.col("quality") >= least).select("__row.*")
+    # Columns named like the results step aside meanwhile.
+    aside = {c: f"__own_{c}" for c in docs.columns if c in _RESULTS}
+    scored = with_quality(docs.withColumnsRenamed(aside), labels, **options)
+    return scored.where(F.col("quality") >= least).select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
