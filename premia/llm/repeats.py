@@ -308,22 +308,20 @@ def with_repeats(docs: DataFrame, length: int = 200, keep: str = "first", text:
         raise ValueError("keep is 'first' or 'none'")
     first_only = keep == "first"
     filled = F.coalesce(F.col(text), F.lit(""))
-    base = docs.withColumns({"__text": filled}).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in _TAKEN], "__text", *_class(F.col("__text"))
-    )
+    base = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in _TAKEN], *_class(filled))
     number = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
     groups = materialize(
         base.select(number.alias("doc"), "c1", "c2").groupBy("c1", "c2").agg(F.min("doc").alias("least"), F.count("*").alias("members")),
         "classes",
     )
-    texts = base.select(F.col("__text").alias("text"), "c1", "c2")
+    texts = base.select(filled.alias("text"), "c1", "c2")
     # As an inequality the test stays out of the join's keys; so the texts are dealt out by class once, for this
     # join and for the last one.
-    classes = base.join(groups, ["c1", "c2"]).where(number <= F.col("least")).select("c1", "c2", F.col("least").alias("doc"), F.col("__text").alias("text"))
+    classes = base.join(groups, ["c1", "c2"]).where(number <= F.col("least")).select("c1", "c2", F.col("least").alias("doc"), filled.alias("text"))
     listed = repeated_spans(texts, classes, length, first_only, gram, most).groupBy("c1", "c2").agg(F.collect_list(F.struct("start", "stop")).alias("__spans"))
     joined = base.join(groups, ["c1", "c2"]).join(listed, ["c1", "c2"], "left")
     whole = (F.col("members") > 1) if not first_only else number > F.col("least")
-    size = F.octet_length("__text").cast("long")
+    size = F.octet_length(filled).cast("long")
     joined = joined.withColumn("__spans", F.when(whole & (size >= length), F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("stop")))).otherwise(
         F.coalesce("__spans", F.array().cast(SPANS))
     ))
@@ -339,7 +337,7 @@ def with_repeats(docs: DataFrame, length: int = 200, keep: str = "first", text:
                 out.append({"spans": [{"start": a, "stop": b} for a, b in union], "kept": without(raw, union)})
             yield pa.array(out, pa.struct([("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), ("kept", pa.binary())]))
 
-    done = joined.withColumn("__done", remove(F.col("__text"), F.col("__spans")))
+    done = joined.withColumn("__done", remove(filled, F.col("__spans")))
     return done.select(
         *[F.col(f"`{c}`") for c in docs.columns if c not in _TAKEN],
         size.alias("n_bytes"), F.col("__done.spans").alias("spans"), F.col("__done.kept").alias("kept"),
@@ -366,8 +364,9 @@ def without_repeats(docs: DataFrame, length: int = 200, text: str = "text", doc_
     A cut never splits a character: spans shrink to whole characters. A row whose whole text is cut
     goes; rows that were empty before stay. ``n_chars``, where present, follows the new text.
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    marked = with_repeats(docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__before"), whole), length, "first", "__before", "__id")
+    # Columns named like the results step aside meanwhile.
+    aside = {c: f"__own_{c}" for c in docs.columns if c in _TAKEN}
+    marked = with_repeats(docs.withColumnsRenamed(aside), length, "first", text, doc_id)
 
     @F.arrow_udf("string")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -388,9 +387,9 @@ def without_repeats(docs: DataFrame, length: int = 200, text: str = "text", doc_
                 out.append(without(raw, inner))
             yield pa.array(out, pa.binary()).cast(pa.string())
 
-    rows = marked.withColumn("__after", cut(F.col("__before"), F.col("spans")))
+    rows = marked.drop("kept").withColumn("__after", cut(F.col(text), F.col("spans")))
     rows = rows.where((F.size("spans") == 0) | (F.length("__after") > 0))
     new = {text: F.col("__after")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.size("spans") > 0, F.length("__after").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("__row.n_chars"))
-    return rows.select(*[new.get(c, F.col(f"__row.`{c}`")).alias(c) for c in docs.columns])
+        new["n_chars"] = F.when(F.size("spans") > 0, F.length("__after").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return rows.select(*[new.get(c, F.col(f"`{aside.get(c, c)}`")).alias(c) for c in docs.columns])
