@@ -95,13 +95,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
         "targets",
     )
 
-    def ranked(frame: DataFrame, source: Column, key: Column) -> DataFrame:
+    def ranked(frame: DataFrame, source: Column, key: Column, targets: DataFrame) -> DataFrame:
         joined = frame.join(targets, source.eqNullSafe(F.col("__source")))
         rank = F.when(F.col("__share") > 0, pareto_rank(uniform(key, source.cast("string"), F.col("size"), seed=seed), F.col("__share"))).otherwise(0.0)
         joined = joined.withColumn("__rank", rank)
         return joined.withColumn("__slice", F.floor(F.col("__rank") / (1 + F.col("__rank")) * (1 << SLICE_BITS)).cast("int"))
 
-    sums = ranked(stored, F.col("source"), F.col("id")).groupBy("__source", "__slice").agg(
+    sums = ranked(stored, F.col("source"), F.col("id"), targets).groupBy("__source", "__slice").agg(
         F.sum("size").alias("__words"), F.first("__budget").alias("__budget")
     )
     # Running sums in two levels, so no task orders all slices of a source.
@@ -109,19 +109,21 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
     coarse = sums.groupBy("__source", "__coarse").agg(F.sum("__words").alias("__all"))
     start = F.sum("__all").over(Window.partitionBy("__source").orderBy("__coarse")) - F.col("__all")
     coarse = coarse.select(F.col("__source").alias("__s"), F.col("__coarse").alias("__k"), start.alias("__start"))
-    upto = F.sum("__words").over(Window.partitionBy("__source", "__coarse").orderBy("__slice")) - F.col("__words")
+    upto = F.sum("__words").over(Window.partitionBy("__source", "__coarse").orderBy("__slice"))
     sums = sums.withColumn("__upto", upto).join(coarse, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__coarse") == F.col("__k")))
-    sums = materialize(
-        sums.select(F.col("__source").alias("__s"), F.col("__slice").alias("__c"), (F.col("__start") + F.col("__upto")).alias("__before"), "__words", F.col("__budget").alias("__b")), "cuts"
+    upto = F.col("__start") + F.col("__upto")
+    # The first slice that goes beyond the target: all before it are taken, none behind it, and it is ordered.
+    cuts = sums.where(upto > F.col("__budget")).groupBy(F.col("__source").alias("__s")).agg(
+        F.min(F.struct(F.col("__slice").alias("slice"), (upto - F.col("__words")).alias("before"))).alias("__cut")
     )
-    placed = ranked(rows, F.col(source), F.col(doc_id).cast("string")).join(
-        sums, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__slice") == F.col("__c"))
-    )
-    cut = (F.col("__before") <= F.col("__b")) & (F.col("__before") + F.col("__words") > F.col("__b"))
+    # A row per source: Spark sends it to all tasks while sources are few.
+    targets = materialize(targets.join(cuts, F.col("__source").eqNullSafe(F.col("__s")), "left").drop("__s"), "cuts")
+    placed = ranked(rows, F.col(source), F.col(doc_id).cast("string"), targets)
+    at_cut = F.coalesce(F.col("__slice") == F.col("__cut.slice"), F.lit(False))
     order = Window.partitionBy("__source").orderBy("__rank", F.col(doc_id)).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = F.col("__before") + F.coalesce(F.sum("size").over(order), F.lit(0))
-    inside = placed.where(cut).withColumn("__chosen", (2 * ahead + F.col("size") <= 2 * F.col("__budget")).cast("long"))
-    outside = placed.where(~cut).withColumn("__chosen", (F.col("__before") + F.col("__words") <= F.col("__b")).cast("long"))
+    ahead = F.col("__cut.before") + F.coalesce(F.sum("size").over(order), F.lit(0))
+    inside = placed.where(at_cut).withColumn("__chosen", (2 * ahead + F.col("size") <= 2 * F.col("__budget")).cast("long"))
+    outside = placed.where(~at_cut).withColumn("__chosen", F.coalesce(F.col("__slice") < F.col("__cut.slice"), F.lit(True)).cast("long"))
     both = inside.unionByName(outside)
     names = ("size", "source_size", "target", "copies", "taken")
     return both.select(
