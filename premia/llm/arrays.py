@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from premia.session import tune
 
 # Bytes of text worked on at a time. A longer text is worked on alone.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
