@@ -6,6 +6,7 @@ hashes are found for thousands of texts in one vectorised pass.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -17,7 +18,12 @@ from pyspark.sql import SparkSession
 from premia.session import tune
 
 # Bytes of text worked on at a time. A longer text is worked on alone.
-PIECE_BYTES = 1 << 19
+PIECE_BYTES = 1 << 18
+
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library, which has no such call
+    _LIBC = None
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -62,9 +68,17 @@ def pieces(column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, in
         end = min(max(end, first + 1), rows)
         yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: Spark keeps idle workers, and they would keep it too."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     forward = np.full(size, _BASE, np.uint64)
     backward = np.full(size, pow(_BASE, -1, 2**64), np.uint64)
@@ -74,7 +88,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse, modulo 2^64."""
-    return _powers(1 << max(20, int(size).bit_length()))
+    return _powers(1 << max(19, int(size).bit_length()))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from premia.llm.arrays import flat_texts, mixed, pieces, span_hashes, window_minima
+from premia.llm.arrays import flat_texts, mixed, pieces, release_memory, span_hashes, window_minima
 from premia.session import materialize
 
 # Bytes of the k-grams whose minimum anchors a window.
@@ -178,6 +178,7 @@ def _repeats_of_bucket(frame: pd.DataFrame, length: int, first_only: bool) -> pd
     heads = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1))[: len(row)])
     tails = np.append(heads[1:], len(row))[: len(heads)] - 1
     row, start, stop = row[heads], start[heads], start[tails] + length
+    release_memory()
     return pd.DataFrame({"c1": frame["c1"].to_numpy()[row], "c2": frame["c2"].to_numpy()[row], "start": start, "stop": stop})
 
 
@@ -228,6 +229,8 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, length: int, first_only
                          pa.array(place[part]), pa.array(anchor[part]), pa.array(n[part]), pa.array(context, pa.binary())],
                         names=["c1", "c2", "doc", "place", "anchor", "n", "context"],
                     )
+            del data, offsets, fields
+            release_memory()
 
     contexts = classes.join(wanted, ["c1", "c2"]).select("c1", "c2", "doc", "text", "wanted").mapInArrow(
         cut, "c1 long, c2 int, doc long, place long, anchor long, n long, context binary"
@@ -335,6 +338,8 @@ def with_repeats(docs: DataFrame, length: int = 200, keep: str = "first", text:
                 union = _union([(s["start"], s["stop"]) for s in own])
                 raw = data[offsets[row] : offsets[row + 1]].tobytes()
                 out.append({"spans": [{"start": a, "stop": b} for a, b in union], "kept": without(raw, union)})
+            del data, offsets
+            release_memory()
             yield pa.array(out, pa.struct([("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), ("kept", pa.binary())]))
 
     done = joined.withColumn("__done", remove(filled, F.col("__spans")))

@@ -6,12 +6,12 @@ from collections.abc import Iterator
 from itertools import product
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from premia.llm.arrays import LOWER
+from premia.llm.arrays import LOWER, release_memory
 from premia.llm.graph import components
 from premia.session import materialize
 
@@ -52,10 +52,11 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 def with_fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint", shingle: int = 3) -> DataFrame:
     """The rows with their SimHash as a long column ``name``, in place of a column of that name."""
 
-    @F.pandas_udf("long")
-    def prints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+            yield pa.array([fingerprint(t.as_py(), shingle) for t in texts], pa.int64())
+            release_memory()
 
     return docs.withColumn(name, prints(F.col(text)))
 
