@@ -182,11 +182,11 @@ def _repeats_of_bucket(frame: pd.DataFrame, length: int, first_only: bool) -> pd
     return pd.DataFrame({"c1": frame["c1"].to_numpy()[row], "c2": frame["c2"].to_numpy()[row], "start": start, "stop": stop})
 
 
-def repeated_spans(texts: DataFrame, classes: DataFrame, length: int, first_only: bool, gram: int = GRAM, most: int = MOST_ANCHORS) -> DataFrame:
+def repeated_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, length: int, first_only: bool, gram: int = GRAM, most: int = MOST_ANCHORS) -> DataFrame:
     """Byte spans covered by repeated strings of ``length`` bytes: (c1, c2, start, stop), overlapping.
 
     ``texts`` has a row per text: c1, c2 (its identity) and text; ``classes`` a row per distinct text, with doc
-    (its place in order) too. A string counts as repeated if it starts anywhere else too, or with
+    (its place in order) too, and ``places`` the same without the text. A string counts as repeated if it starts anywhere else too, or with
     ``first_only`` if it starts anywhere earlier.
 
     Windows are anchored by winnowing, so anchors that occur once are done with. Where all occurrences of an anchor have
@@ -200,7 +200,7 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, length: int, first_only
     repeated = materialize(
         anchors.groupBy("anchor").agg(
             F.min(spot).alias("a"), F.max(spot).alias("b"), F.count("*").alias("n"), (F.min("context") == F.max("context")).alias("alike")
-        ).where("a != b").select("anchor", F.when(F.col("alike") & F.lit(not first_only), 0).otherwise(F.col("n")).alias("n")),
+        ).where("a != b").select("anchor", F.when(F.col("alike"), 0).otherwise(F.col("n")).alias("n")),
         "repeated",
     )
     total, hot = repeated.agg(F.sum("n"), F.max("n")).first()
@@ -216,12 +216,12 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, length: int, first_only
             fields = [lists.values.field(i).to_numpy(zero_copy_only=False) for i in range(3)]
             for row in range(len(lists)):
                 place, anchor, n = (f[bounds[row] : bounds[row + 1]] for f in fields)
+                place, anchor, n = place[n > 0], anchor[n > 0], n[n > 0]  # 0: contexts are alike, no bytes are needed
                 first, more, _ = unpacked(place)
                 begin, end = offsets[row] + first, offsets[row] + first + more + length
                 for k in range(0, len(place), 20_000):
                     part = slice(k, k + 20_000)
-                    # Contexts that are all alike need no bytes: n is 0.
-                    context = [data[i:j].tobytes() if m else b"" for i, j, m in zip(begin[part].tolist(), end[part].tolist(), n[part].tolist())]
+                    context = [data[i:j].tobytes() for i, j in zip(begin[part].tolist(), end[part].tolist())]
                     same = [batch.column(c)[row].as_py() for c in range(3)]
                     size = len(context)
                     yield pa.RecordBatch.from_arrays(
@@ -237,15 +237,20 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, length: int, first_only
     )
     buckets = max(1, int(total or 0) // BUCKET_ANCHORS)
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(buckets))
-    spans = contexts.where((F.col("n") > 0) & (F.col("n") <= most)).groupBy(bucket.alias("bucket")).applyInPandas(
+    spans = contexts.where(F.col("n") <= most).groupBy(bucket.alias("bucket")).applyInPandas(
         lambda frame: _repeats_of_bucket(frame, length, first_only), "c1 long, c2 int, start long, stop long"
     )
-    if not first_only:
-        first = F.shiftright("place", 20)
-        alike = wanted.select("c1", "c2", F.explode("wanted").alias("w")).select("c1", "c2", "w.place", "w.n").where("n = 0")
-        spans = spans.union(alike.select(
-            "c1", "c2", first.alias("start"), (first + F.shiftright("place", 10).bitwiseAND(1023) + length).alias("stop")
-        ))
+    alike = wanted.select("c1", "c2", F.explode("wanted").alias("w")).select("c1", "c2", "w.place", "w.anchor", "w.n").where("n = 0")
+    if first_only:
+        # All windows of such an anchor stay where it stands first, and go everywhere else.
+        where = F.struct("doc", "c1", "c2", "place")
+        alike = alike.join(places, ["c1", "c2"])
+        firsts = materialize(alike.groupBy("anchor").agg(F.min(where).alias("stays")), "firsts")
+        alike = alike.join(firsts, "anchor").where(where != F.col("stays"))
+    first = F.shiftright("place", 20)
+    spans = spans.union(alike.select(
+        "c1", "c2", first.alias("start"), (first + F.shiftright("place", 10).bitwiseAND(1023) + length).alias("stop")
+    ))
     if (hot or 0) > most:
         spans = spans.union(_counted_spans(contexts.where(F.col("n") > most), length, first_only))
     return spans
@@ -321,7 +326,8 @@ def with_repeats(docs: DataFrame, length: int = 200, keep: str = "first", text:
     # As an inequality the test stays out of the join's keys; so the texts are dealt out by class once, for this
     # join and for the last one.
     classes = base.join(groups, ["c1", "c2"]).where(number <= F.col("least")).select("c1", "c2", F.col("least").alias("doc"), filled.alias("text"))
-    listed = repeated_spans(texts, classes, length, first_only, gram, most).groupBy("c1", "c2").agg(F.collect_list(F.struct("start", "stop")).alias("__spans"))
+    places = groups.select("c1", "c2", F.col("least").alias("doc"))
+    listed = repeated_spans(texts, classes, places, length, first_only, gram, most).groupBy("c1", "c2").agg(F.collect_list(F.struct("start", "stop")).alias("__spans"))
     joined = base.join(groups, ["c1", "c2"]).join(listed, ["c1", "c2"], "left")
     whole = (F.col("members") > 1) if not first_only else number > F.col("least")
     size = F.octet_length(filled).cast("long")
