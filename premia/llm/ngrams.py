@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from premia.llm.arrays import LOWER, SPACED, gram_hashes, pieces, span_hashes, word_spans
 
 # Longest n-grams; n-grams of two words and more that occur less often than this count as unseen; the factor per step back.
-ORDER, LEAST_COUNT, BACKOFF = 2, 2, 0.4
+ORDER, LEAST_COUNT, BACKOFF = 3, 2, 0.4
 # Text bytes of a batch of documents, and distinct n-grams of a bucket, on average.
 BATCH_BYTES, BUCKET_GRAMS = 12 << 20, 1_500_000
 

@@ -214,16 +214,22 @@ SCORES_SQL = rf"""
 WITH docs AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 tokens AS (
-    SELECT doc_id, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS v
+    SELECT doc_id, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS v, lag(w, 2) OVER (PARTITION BY doc_id ORDER BY i) AS u
     FROM (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM docs)),
 words AS (SELECT w, count(*) AS n FROM tokens GROUP BY w),
 pairs AS (SELECT v, w, count(*) AS n FROM tokens WHERE v IS NOT NULL GROUP BY v, w),
+triples AS (SELECT u, v, w, count(*) AS n FROM tokens WHERE u IS NOT NULL GROUP BY u, v, w),
 total AS (SELECT count(*) AS n FROM tokens),
 scores AS (
     SELECT doc_id, count(*) AS n_tokens,
-           sum(CASE WHEN t.v IS NULL THEN ln(own.n / total.n) WHEN pairs.n >= 2 THEN ln(pairs.n / context.n) ELSE ln(own.n / total.n) + ln(0.4) END) AS log_score
+           sum(CASE WHEN t.v IS NULL THEN ln(own.n / total.n)
+                    WHEN triples.n >= 2 THEN ln(triples.n / before.n)
+                    WHEN pairs.n >= 2 THEN ln(pairs.n / context.n) + CASE WHEN t.u IS NULL THEN 0 ELSE ln(0.4) END
+                    ELSE ln(own.n / total.n) + CASE WHEN t.u IS NULL THEN 1 ELSE 2 END * ln(0.4) END) AS log_score
     FROM tokens AS t CROSS JOIN total JOIN words AS own ON own.w = t.w
-    LEFT JOIN words AS context ON context.w = t.v LEFT JOIN pairs ON pairs.v = t.v AND pairs.w = t.w GROUP BY doc_id)
+    LEFT JOIN words AS context ON context.w = t.v LEFT JOIN pairs ON pairs.v = t.v AND pairs.w = t.w
+    LEFT JOIN pairs AS before ON before.v = t.u AND before.w = t.v
+    LEFT JOIN triples ON triples.u = t.u AND triples.v = t.v AND triples.w = t.w GROUP BY doc_id)
 SELECT doc_id, coalesce(n_tokens, 0) AS n_tokens, round(coalesce(log_score, 0), 4) AS log_score, round(log_score / n_tokens, 6) AS mean_log_score
 FROM docs LEFT JOIN scores USING (doc_id)
 """
@@ -231,7 +237,7 @@ FROM docs LEFT JOIN scores USING (doc_id)
 
 @query("op5_language_model", SCORES_SQL)
 def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
-    """Stupid-backoff scores of all documents by bigram counts of all documents."""
+    """Stupid-backoff scores of all documents by counts of up to three words of all documents."""
     scored = ngrams.score_documents(table(spark, folder, "documents"))
     return scored.select("doc_id", "n_tokens", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
 

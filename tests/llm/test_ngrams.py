@@ -52,3 +52,18 @@ def test_keys_round_trip():
 
 def test_empty_table(llm_spark):
     assert score_documents(llm_spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_registered_query_scores_with_trigrams(llm_spark, tmp_path):
+    import duckdb
+
+    from premia.llm.queries import ORACLES, QUERIES
+
+    texts = ["a b c", "a b c d", "x b c", "b c e", "a b", "a", "", None, "c a b c a b d"]
+    llm_spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    expected = [(i, n, round(s, 4)) for i, (n, s) in enumerate(brute(texts, 3))]
+    rows = QUERIES["op5_language_model"](llm_spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.log_score) for r in rows) == expected
+    theirs = duckdb.connect()
+    theirs.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(r[:3] for r in theirs.execute(ORACLES["op5_language_model"]).fetchall()) == expected
