@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from test_plans import raw_tables
 
@@ -75,6 +77,26 @@ def test_board_writes_report_and_point(spark, tmp_path):
     assert report["n_scored"] == 2 and report["uncomputable"] == ["X-1"]
 
 
+def test_board_keeps_all_uncomputable_codes(spark, tmp_path):
+    store = Store(str(tmp_path))
+    scored = spark.createDataFrame(
+        [(1, "Nike", "A", "red", 100.0, 120.0, 0.3, 130.0)],
+        "shoe_id LONG, brand STRING, model STRING, colorway STRING, retail_price DOUBLE, sale_price DOUBLE, predicted_premium DOUBLE, implied_resale DOUBLE",
+    )
+
+    def codes():
+        return sorted(r["sku"] for r in store.read(spark, "predictions", "uncomputable", "2025-01-01").collect())
+
+    def report():
+        return json.loads(spark.read.text(store.run_path("predictions", "board_report", "2025-01-01")).first()[0])
+
+    run_board(store, spark, "2025-01-01", scored, spark.range(2500).selectExpr("concat('X-', id) AS sku"))
+    assert codes() == sorted(f"X-{n}" for n in range(2500))
+    assert report()["n_uncomputable"] == 2500 and report()["uncomputable"] is None
+    run_board(store, spark, "2025-01-01", scored)
+    assert codes() == [] and report()["n_uncomputable"] == 0 and report()["uncomputable"] == []
+
+
 def test_snapshot_job_verifies(spark, tmp_path):
     from test_plans import entry, price, snapshot  # noqa: F401
     from premia.sources.market import read_prices, read_reference, read_releases
