@@ -330,12 +330,12 @@ def registry_versions_query(spark, folder):
 WITH points AS (
   SELECT strftime(o_orderdate, '%Y-%m') AS ts, count(*) AS n, round(max(o_totalprice), 4) AS model_premium,
          round(min(o_totalprice), 4) AS market_premium
-  FROM orders WHERE year(o_orderdate) = 1997 GROUP BY ALL)
+  FROM orders GROUP BY ALL)
 SELECT ts, n, model_premium, market_premium FROM points ORDER BY ts DESC LIMIT 5""")
 def history_append_query(spark, folder):
-    """A point per month appended to the stored history, of which the last five are kept."""
+    """A point per month of all orders appended to the stored history, of which the last five are kept."""
     store = Store(scratch_path(spark, "history"))
-    orders = T.table(spark, folder, "orders").where("year(o_orderdate) = 1997")
+    orders = T.table(spark, folder, "orders")
     points = materialize(
         orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(
             F.count("*").alias("n"), F.round(F.max("o_totalprice"), 4).alias("model_premium"),

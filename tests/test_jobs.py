@@ -64,6 +64,16 @@ def test_history_is_capped_and_repeatable(spark, tmp_path):
     assert sorted(r["ts"] for r in rows.collect()) == ["2025-01-02", "2025-01-03"]
 
 
+def test_history_query_appends_every_month(spark, tmp_path):
+    from premia.catalog import QUERIES
+
+    days = ["1996-11-03", "1997-01-05", "1997-01-09", "1997-12-31", "1998-02-01", "1998-03-01", "1998-04-01", "1998-08-02"]
+    orders = spark.createDataFrame([(d, 100.0 + n) for n, d in enumerate(days)], "day STRING, o_totalprice DOUBLE")
+    orders.selectExpr("CAST(day AS TIMESTAMP_NTZ) AS o_orderdate", "o_totalprice").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = QUERIES["history_append"](spark, str(tmp_path)).collect()
+    assert sorted(r["ts"] for r in rows) == ["1997-12", "1998-02", "1998-03", "1998-04", "1998-08"]
+
+
 def test_board_writes_report_and_point(spark, tmp_path):
     store = Store(str(tmp_path))
     scored = spark.createDataFrame(
