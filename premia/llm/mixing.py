@@ -75,11 +75,31 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
     nearer to the target, so a source misses its target by half a document at most.
 
     The order inside a source is never brought to one task: sizes are summed in slices of the ranking, and
-    only the slice that the target falls into is ordered. The random numbers are hashes of id, source and
-    size, so reruns agree; rows that repeat all three are ordered next to each other in any order. NULL text
-    has size 0 and takes 0 words. NULL sources are one source, in the last place. Columns named like the
-    results are replaced; other columns are kept. An empty table gives no rows.
+    only the slice that the target falls into is ordered. A source that takes whole copies only has no cut and
+    nothing of it is ordered. The random numbers are hashes of id, source and size, so reruns agree; rows that
+    repeat all three are ordered next to each other in any order. NULL text has size 0 and takes 0 words. NULL
+    sources are one source, in the last place. Columns named like the results are replaced; other columns are
+    kept. An empty table gives no rows.
     """
+    placed = placed_rows(docs, weights, most, seed, doc_id, text, source)
+    order = Window.partitionBy("__source").orderBy("__rank", F.col(doc_id)).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.col("__cut.before") + F.coalesce(F.sum("size").over(order), F.lit(0))
+    inside = placed.where("__ordered").withColumn("__chosen", (2 * ahead + F.col("size") <= 2 * F.col("__budget")).cast("long"))
+    # Without words in the source all its documents come along once; whole copies of the others are all there is.
+    below = F.when(F.col("__open"), F.coalesce(F.col("__slice") < F.col("__cut.slice"), F.lit(True))).otherwise(F.col("__source_size") == 0)
+    outside = placed.where("NOT __ordered").withColumn("__chosen", below.cast("long"))
+    both = inside.unionByName(outside)
+    names = ("size", "source_size", "target", "copies", "taken")
+    return both.select(
+        *[F.col(f"`{c}`") for c in docs.columns if c not in names],
+        "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
+        (F.col("__whole") + F.col("__chosen")).alias("copies"),
+        (F.col("size") * (F.col("__whole") + F.col("__chosen"))).alias("taken"),
+    )
+
+
+def placed_rows(docs: DataFrame, weights: tuple[int, ...], most: int, seed: int, doc_id: str, text: str, source: str) -> DataFrame:
+    """The rows of ``docs`` with their source's target and cut, their slice of its ranking, and whether they have to be ordered."""
     rows = docs.withColumn("size", word_count(F.col(text)))
     keys = rows.select(F.col(source).cast("string").alias("source"), F.col(doc_id).cast("string").alias("id"), "size")
     stored = materialize(keys, "sizes")
@@ -94,6 +114,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
         ),
         "targets",
     )
+    # Nothing is sampled where whole copies reach the target.
+    targets = targets.withColumn("__open", F.expr("__share > 0 AND __budget > 0"))
 
     def ranked(frame: DataFrame, source: Column, key: Column, targets: DataFrame) -> DataFrame:
         joined = frame.join(targets, source.eqNullSafe(F.col("__source")))
@@ -101,7 +123,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
         joined = joined.withColumn("__rank", rank)
         return joined.withColumn("__slice", F.floor(F.col("__rank") / (1 + F.col("__rank")) * (1 << SLICE_BITS)).cast("int"))
 
-    sums = ranked(stored, F.col("source"), F.col("id"), targets).groupBy("__source", "__slice").agg(
+    sums = ranked(stored, F.col("source"), F.col("id"), targets).where("__open").groupBy("__source", "__slice").agg(
         F.sum("size").alias("__words"), F.first("__budget").alias("__budget")
     )
     # Running sums in two levels, so no task orders all slices of a source.
@@ -119,19 +141,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
     # A row per source: Spark sends it to all tasks while sources are few.
     targets = materialize(targets.join(cuts, F.col("__source").eqNullSafe(F.col("__s")), "left").drop("__s"), "cuts")
     placed = ranked(rows, F.col(source), F.col(doc_id).cast("string"), targets)
-    at_cut = F.coalesce(F.col("__slice") == F.col("__cut.slice"), F.lit(False))
-    order = Window.partitionBy("__source").orderBy("__rank", F.col(doc_id)).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = F.col("__cut.before") + F.coalesce(F.sum("size").over(order), F.lit(0))
-    inside = placed.where(at_cut).withColumn("__chosen", (2 * ahead + F.col("size") <= 2 * F.col("__budget")).cast("long"))
-    outside = placed.where(~at_cut).withColumn("__chosen", F.coalesce(F.col("__slice") < F.col("__cut.slice"), F.lit(True)).cast("long"))
-    both = inside.unionByName(outside)
-    names = ("size", "source_size", "target", "copies", "taken")
-    return both.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in names],
-        "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
-        (F.col("__whole") + F.col("__chosen")).alias("copies"),
-        (F.col("size") * (F.col("__whole") + F.col("__chosen"))).alias("taken"),
-    )
+    return placed.withColumn("__ordered", F.coalesce(F.col("__slice") == F.col("__cut.slice"), F.lit(False)))
 
 
 def mixed_copies(docs: DataFrame, **options) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from premia.llm.mixing import mix, mixed_copies, source_targets
+from premia.llm.mixing import mix, mixed_copies, placed_rows, source_targets
 
 
 def plain_targets(sizes):
@@ -53,3 +53,17 @@ def test_edges(docs_of, llm_spark):
     assert all(r.taken <= 3 * r.size and r.weight == 7 for r in rows)
     copies = mixed_copies(docs)
     assert copies.agg(F.sum("size")).first()[0] == sum(r.taken for r in rows)
+
+
+def test_capped_source_is_neither_ordered_nor_copied_once_more(docs_of):
+    # By weight the first source would get 5/8 of all words, which is above 3 times its 1,000.
+    pairs = [(n, "w" if n % 2 else "") for n in range(2000)] + [(2000 + n, "w " * 40) for n in range(300)] + [(3000, ""), (3001, None)]
+    docs = docs_of(pairs, source=["a"] * 2000 + ["b", "c", "c"] * 100 + ["d", "d"])
+    ordered = {r[0]: r[1] for r in placed_rows(docs, (5, 2, 1), 3, 0, "doc_id", "text", "source").groupBy("source").agg(F.count_if("__ordered")).collect()}
+    assert ordered["a"] == 0 and ordered["d"] == 0
+    rows = mix(docs).collect()
+    assert len(rows) == len(pairs)
+    assert {r.copies for r in rows if r.source == "a"} == {3}
+    assert all(r.copies <= 3 for r in rows)
+    assert {r.copies for r in rows if r.source == "d"} == {1}
+    assert mixed_copies(docs).where("source = 'a'").count() == 6000
