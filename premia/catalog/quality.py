@@ -16,7 +16,6 @@ from premia.operators.contract import (
     feature_checks,
     in_range,
     is_in,
-    not_null,
     null_iff_short_history,
     prepare_feature_checks,
     retention,
@@ -128,13 +127,17 @@ def _count_each(rows, checks):
 
 
 _MAYBE = "CASE WHEN l_suppkey % 7 = 3 THEN CAST('NaN' AS DOUBLE) WHEN l_suppkey % 7 = 4 THEN NULL ELSE {} END"
+_NO = "CASE WHEN l_suppkey % 7 = {} THEN NULL ELSE {} END"
 _BROKEN_ITEMS = {
+    "sale_id": _NO.format(0, "l_orderkey"), "shoe_id": _NO.format(1, "l_partkey"),
+    "sale_date": _NO.format(2, "l_shipdate"), "release_date": _NO.format("5 AND l_linenumber > 1", "l_shipdate"),
+    "size_premium": _MAYBE.format("l_discount"), "brand_avg_premium": _MAYBE.format("l_tax"),
     "size_us": _MAYBE.format("l_linenumber - 2.0"), "retail_price": _MAYBE.format("l_extendedprice - 1000"),
     "sale_price": _MAYBE.format("l_extendedprice"), "brand": "CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_returnflag END",
     "price_premium": _MAYBE.format("l_extendedprice / 1000 - 2"),
     "days_since_release": _MAYBE.format("l_quantity * 10 - 300"),
-    "release_type": "CASE l_returnflag WHEN 'A' THEN 'limited' WHEN 'N' THEN 'restock' ELSE 'general' END",
-    "release_type_encoded": "l_linenumber",
+    "release_type": _NO.format("6 AND l_linenumber > 2", "CASE l_returnflag WHEN 'A' THEN 'limited' WHEN 'N' THEN 'restock' ELSE 'general' END"),
+    "release_type_encoded": _NO.format("6 AND l_linenumber > 3", "l_linenumber"),
 }
 _BROKEN_SQL = "WITH items AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in _BROKEN_ITEMS.items()) + " FROM lineitem) "
 
@@ -154,13 +157,16 @@ def _counts_sql(broken: dict[str, str]) -> str:
 _NAN = "({c} IS NOT NULL AND isnan({c}))"
 
 
+_MEASURED = ("size_us", "retail_price", "sale_price", "price_premium", "days_since_release", "size_premium", "brand_avg_premium")
+
+
 @query("check_not_null", _counts_sql({
-    f"{c}:not_null": f"{c} IS NULL" if c in ("brand", "release_type_encoded") else f"{c} IS NULL OR isnan({c})"
-    for c in ("size_us", "sale_price", "brand", "release_type_encoded")
+    f"{c}:not_null": f"{c} IS NULL OR isnan({c})" if c in _MEASURED else f"{c} IS NULL"
+    for c in ("sale_id", "shoe_id", "brand", "sale_date", "release_date", "release_type", "release_type_encoded", *_MEASURED)
 }))
 def check_not_null_query(spark, folder):
-    columns = ["size_us", "sale_price", "brand", "release_type_encoded"]
-    return _count_each(_broken_items(spark, folder), [not_null(c) for c in columns])
+    checks = [c for c in feature_checks(_SPEC) if c.name == "not_null"]
+    return _count_each(_broken_items(spark, folder), checks)
 
 
 @query("rolling_null_rows", T.EVENT_FEATURES_SQL + """

@@ -28,3 +28,8 @@ def test_only_training_lacks_an_oracle():
 
 def test_entry_has_the_feature_columns(spark):
     assert entry(spark).columns[:3] == ["sale_id", "shoe_id", "brand"]
+
+
+def test_not_null_counts_every_required_column(spark, small):
+    counts = {r["check"]: r["n"] for r in QUERIES["check_not_null"](spark, small).collect()}
+    assert len(counts) == 14 and min(counts.values()) > 0
