@@ -24,7 +24,7 @@ from premia.plans.landing import (
     merge_feeds,
     with_exclusion,
 )
-from premia.session import scratch_path
+from premia.session import materialize, scratch_path
 from premia.sources.readers import explode_envelope, scan_json, scan_parquet, trim_fields
 from premia.sources.warehouse import (
     DROPS_MAPPING,
@@ -41,6 +41,8 @@ from premia.sources.writers import (
 )
 
 SNAPSHOT_DATE = "2026-07-04"
+# Records of a feed file at most: a file is one value of one task.
+FEED_RECORDS = 10_000
 
 # --- Sources and sinks --------------------------------------------------------------------------
 
@@ -67,13 +69,14 @@ def scan_json_envelope_query(spark, folder):
 @query("scan_json_files", """
 SELECT p_partkey, p_brand, p_retailprice, p_size, row_number() OVER (ORDER BY p_partkey) - 1 AS place FROM part""")
 def scan_json_files_query(spark, folder):
-    """Parts in eight feed files, lists and envelopes by turns, read back; their place across the files."""
+    """Parts in eight feed files or more, lists and envelopes by turns, read back; their place across the files."""
     path = scratch_path(spark, "part-feed")
     parts = T.table(spark, folder, "part").select("p_partkey", "p_brand", "p_retailprice", "p_size")
     # Sorted by key over the files, so that file and place give the order of the keys; sizes as 12.0.
     record = F.struct("p_partkey", "p_brand", "p_retailprice", F.col("p_size").cast("double").alias("p_size"))
-    keys = parts.agg(F.max("p_partkey")).first()[0]
-    files = parts.withColumn("file", (F.col("p_partkey") * 8 / F.lit(keys + 1)).cast("int")).groupBy("file").agg(
+    numbered = materialize(sequential_id(parts, "p_partkey", "ordinal"), "numbered-parts")
+    held = max(1, min(FEED_RECORDS, -(-numbered.count() // 8)))
+    files = numbered.withColumn("file", F.expr(f"(ordinal - 1) div {held}")).groupBy("file").agg(
         F.to_json(F.array_sort(F.collect_list(record))).alias("list")
     )
     document = F.when(F.col("file") % 2 == 0, F.col("list")).otherwise(F.concat(F.lit('{"data": '), "list", F.lit("}")))

@@ -33,3 +33,15 @@ def test_entry_has_the_feature_columns(spark):
 def test_not_null_counts_every_required_column(spark, small):
     counts = {r["check"]: r["n"] for r in QUERIES["check_not_null"](spark, small).collect()}
     assert len(counts) == 14 and min(counts.values()) > 0
+
+
+def test_feed_files_have_a_bounded_size(spark, small, monkeypatch):
+    from premia.catalog import landing
+
+    paths, read = [], landing.scan_json
+    monkeypatch.setattr(landing, "FEED_RECORDS", 10)
+    monkeypatch.setattr(landing, "scan_json", lambda s, path, *a: paths.append(path) or read(s, path, *a))
+    rows = sorted((r["p_partkey"], r["place"]) for r in QUERIES["scan_json_files"](spark, small).collect())
+    assert [place for _, place in rows] == list(range(len(rows))) and len(rows) == spark.read.parquet(f"{small}/part.parquet").count() > 80
+    records = [r[0].count("p_partkey") for r in spark.read.text(paths[0]).select("value").collect()]
+    assert sum(records) == len(rows) and max(records) == 10
