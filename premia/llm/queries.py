@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from premia.llm import archive, decontam, mixing, ngrams, projections, quality, repeats, simhash, tokens, toxicity
 from premia.llm.arrays import prepare
+from premia.llm.repair_queries import REPAIR_SQL, op11_repair
 from premia.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,3 +248,6 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document, counted in flat token files."""
     vocabulary = tokens.read_vocabulary(os.environ.get("PREMIA_VOCABULARY", tokens.VOCABULARY))
     return tokens.token_counts(table(spark, folder, "documents"), scratch_path(spark, "tokens"), vocabulary)
+
+
+query("op11_repair", REPAIR_SQL)(op11_repair)
