@@ -2,8 +2,8 @@
 
 Roles of a well-formed conversation follow a small grammar. An LR automaton of that grammar reads the roles of a
 conversation; where several actions are possible (keep a turn, rerole it, delete it, insert a missing one) all are
-followed at once in a graph-structured stack. Equal stack tops meet in one node, and of two ways to the same node over
-the same node below only the smaller (cost, audit) stays.
+followed at once in a graph-structured stack: stacks share their lower nodes, equal tops are one node, and of two ways to
+a top over the same node below only the smaller (cost, audit) stays.
 """
 
 from __future__ import annotations
@@ -53,6 +53,7 @@ class RoleTable:
                     states.append(after)
                 self.moves[at, symbol] = states.index(after)
         self.terminals = sorted({s for _, s in self.moves if not s.isupper()})
+        self.shifts = {at: any((at, t) in self.moves for t in self.terminals) for at in self.ends}
         self.stacks = self._stacks()
 
     def _closed(self, items: set[tuple[int, int]]) -> frozenset[tuple[int, int]]:
@@ -81,96 +82,77 @@ class RoleTable:
         return found
 
 
-class _Node:
-    """A stack top: a state, and the nodes below it with the edits made since each of them."""
+# A stack node and all nodes below it: (state, node below). Stacks share the nodes they have in common.
+Node = tuple[int, "Node | None"]
+# Tops of all stacks by state; of each top the nodes below it, with the cheapest way to that stack.
+Tops = dict[int, dict["Node | None", Way]]
 
-    __slots__ = ("state", "below")
 
-    def __init__(self, state: int):
-        self.state = state
-        self.below: dict[_Node | None, Way] = {}
-
-    def offer(self, under: _Node | None, way: Way) -> bool:
-        old = self.below.get(under)
-        if old is None or way < old:
-            self.below[under] = way
-            return True
+def _offer(tops: Tops, state: int, under: Node | None, way: Way) -> bool:
+    """A way to a stack; equal tops over the same node keep the smaller one."""
+    ways = tops.setdefault(state, {})
+    if under in ways and ways[under] <= way:
         return False
+    ways[under] = way
+    return True
 
 
-def _joined(first: Way, then: Way) -> Way:
-    return first[0] + then[0], first[1] + then[1]
-
-
-def _paths(node: _Node, size: int) -> Iterator[tuple[_Node, Way]]:
-    """Nodes ``size`` steps below, with the edits made on the way up from them."""
-    if size == 0:
-        yield node, (0, "")
-        return
-    for under, way in list(node.below.items()):
-        for base, before in _paths(under, size - 1):
-            yield base, _joined(before, way)
-
-
-def _settle(tops: dict[int, _Node], table: RoleTable, roles: str) -> None:
+def _settle(tops: Tops, table: RoleTable, roles: str) -> None:
     """Reduce whatever can be reduced and insert whatever can be inserted, until no way gets smaller."""
-    changed = True
-    while changed:
-        changed = False
-        for node in list(tops.values()):
-            for left, size in table.ends[node.state]:
-                for base, way in _paths(node, size):
-                    top = tops.setdefault(table.moves[base.state, left], _Node(table.moves[base.state, left]))
-                    changed |= top.offer(base, way)
-            for role in roles:
-                state = table.moves.get((node.state, role))
-                if state is not None:
-                    changed |= tops.setdefault(state, _Node(state)).offer(node, (INSERT, "I"))
-    for state in [s for s in tops if table.ends[s]]:  # all they can do has been done
+    waiting = [(state, under) for state, ways in tops.items() for under in ways]
+    while waiting:
+        state, under = waiting.pop()
+        way = tops[state][under]
+        for left, size in table.ends[state]:
+            base: Node = (state, under)
+            for _ in range(size):
+                base = base[1]
+            after = table.moves[base[0], left]
+            if _offer(tops, after, base, way):
+                waiting.append((after, base))
+        for role in roles:
+            after = table.moves.get((state, role))
+            if after is not None and _offer(tops, after, (state, under), (way[0] + INSERT, way[1] + "I")):
+                waiting.append((after, (state, under)))
+    for state in [s for s in tops if table.ends[s] and not table.shifts[s]]:  # all they can do has been done
         del tops[state]
 
 
 def parse(turns: Iterable[tuple[str, str]], table: RoleTable, entry: Stack = (0,), roles: str = "ua") -> dict[Stack, Way]:
     """Cheapest edits of (initial, fault) turns, from one stack to every other that they can lead to.
 
-    A turn with the fault ``blank`` or ``duplicate`` goes; one that is ``truncated`` costs more unless it goes.
+    A turn with the fault ``blank`` or ``duplicate`` goes; one that is ``truncated`` costs more unless it goes. Ways to the
+    same stack have made an edit of every turn so far, so at equal cost none of two audits begins with the other, and the smaller
+    one stays smaller whatever follows.
     """
-    node, under = None, None
-    for state in entry:
-        node = _Node(state)
-        node.below[under] = (0, "")
-        under = node
-    tops = {node.state: node}
+    under: Node | None = None
+    for state in entry[:-1]:
+        under = (state, under)
+    tops: Tops = {entry[-1]: {under: (0, "")}}
     _settle(tops, table, roles)
     for initial, fault in turns:
-        after: dict[int, _Node] = {}
-        for node in tops.values():
-            gone = after.setdefault(node.state, _Node(node.state))
-            for under, (cost, audit) in node.below.items():
-                gone.offer(under, (cost + DELETE, audit + "D"))
-            if fault in ("blank", "duplicate"):
-                continue
-            more = TRUNCATED if fault == "truncated" else 0
-            for role, way in ((initial, (more, "K")), *((r, (more + REROLE, "R")) for r in roles)):
-                state = table.moves.get((node.state, role)) if role in table.terminals else None
-                if state is not None:
-                    after.setdefault(state, _Node(state)).offer(node, way)
+        after: Tops = {}
+        more = TRUNCATED if fault == "truncated" else 0
+        for state, ways in tops.items():
+            shifts = []
+            if fault not in ("blank", "duplicate"):
+                shifts = [(table.moves.get((state, initial)) if initial in table.terminals else None, more, "K")]
+                shifts += [(table.moves.get((state, r)), more + REROLE, "R") for r in roles]
+            for under, (cost, audit) in ways.items():
+                _offer(after, state, under, (cost + DELETE, audit + "D"))
+                for to, price, edit in shifts:
+                    if to is not None:
+                        _offer(after, to, (state, under), (cost + price, audit + edit))
         tops = after
         _settle(tops, table, roles)
-
     out: dict[Stack, Way] = {}
-
-    def read(node: _Node, above: Stack, way: Way) -> None:
-        stack = (node.state, *above)
-        for under, own in node.below.items():
-            if under is None:
-                whole = _joined(own, way)
-                out[stack] = min(out.get(stack, whole), whole)
-            else:
-                read(under, stack, _joined(own, way))
-
-    for node in tops.values():
-        read(node, (), (0, ""))
+    for state, ways in tops.items():
+        for under, way in ways.items():
+            stack = [state]
+            while under is not None:
+                stack.append(under[0])
+                under = under[1]
+            out[tuple(reversed(stack))] = way
     return out
 
 
@@ -184,7 +166,7 @@ def chained(ways: dict[Stack, Way], then: dict[Stack, dict[Stack, Way]]) -> dict
     out: dict[Stack, Way] = {}
     for entry, way in ways.items():
         for stack, more in then[entry].items():
-            whole = _joined(way, more)
+            whole = (way[0] + more[0], way[1] + more[1])
             out[stack] = min(out.get(stack, whole), whole)
     return out
 
@@ -439,7 +421,7 @@ def repair(turns: DataFrame, conversations: DataFrame | None = None) -> DataFram
     """Every conversation with its faults, its cheapest repair and the digest of the repaired transcript.
 
     Conversations listed in ``conversations`` (conv_id) but without turns have zeros, an empty audit and the digest of
-    nothing. NULL ids are one conversation; NULL roles and texts count as one space. Columns other than
+    nothing. NULL ids are one conversation; NULL roles and texts count as one space; an empty role is no legal one. Columns other than
     conv_id, turn, role and text are not looked at. Empty table: no rows.
     """
     filled = turns.select(

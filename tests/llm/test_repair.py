@@ -102,7 +102,7 @@ def ours(frame, **options):
 @pytest.mark.parametrize("size", [0, 1, 2, 3])
 def test_cheapest_edits_equal_enumeration(size):
     table = repair.RoleTable(repair.GRAMMAR)
-    letters = [("s", ""), ("u", ""), ("a", ""), ("x", ""), ("", ""), ("u", "truncated"), ("a", "blank"), ("u", "duplicate")]
+    letters = [("s", ""), ("u", ""), ("a", ""), ("x", ""), ("u", "truncated"), ("a", "blank"), ("u", "duplicate")]
     cases = list(itertools.product(letters, repeat=size))
     for turns in random.Random(size).sample(cases, min(len(cases), 60)):
         found = repair.accepted(repair.parse(turns, table), table)
