@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from premia.llm import archive, decontam, mixing, ngrams, projections, quality, repeats, simhash, tokens, toxicity
 from premia.llm.arrays import prepare
 from premia.llm.negative_queries import NEGATIVES_SQL, op12_hard_negatives
+from premia.llm.phrase_queries import PHRASES_SQL, op13_phrases
 from premia.llm.repair_queries import REPAIR_SQL, op11_repair
 from premia.session import scratch_path
 
@@ -253,3 +254,4 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 query("op11_repair", REPAIR_SQL)(op11_repair)
 query("op12_hard_negatives", NEGATIVES_SQL)(op12_hard_negatives)
+query("op13_phrases", PHRASES_SQL)(op13_phrases)
