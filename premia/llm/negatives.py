@@ -24,7 +24,7 @@ DIRECTIONS, BLOCK_ROWS, ANCHORS = 8, 4096, 2048
 # Blocks that one page of the directory lists.
 PAGE = 512
 # What rounding may do to an angle, and to a score relative to both norms. The integer score itself is exact.
-ANGLE_SLACK, SCORE_SLACK = 1e-6, 1e-9
+ANGLE_SLACK, SCORE_SLACK = 1e-5, 1e-5
 
 ANGLES = [f"t{i}" for i in range(DIRECTIONS)]
 _BOX = [*(f"low_{t}" for t in ANGLES), *(f"high_{t}" for t in ANGLES), "low_norm", "high_norm"]
@@ -45,16 +45,23 @@ def angles_and_norms(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def score_bounds(angles: np.ndarray, norm: np.ndarray, low: np.ndarray, high: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bounds of the scores of anchors (rows) with vectors (columns) whose angles lie in low..high, norms in least..most."""
-    near = np.zeros((len(angles), len(low)))
+    # Angles of single precision: the slack is wider than what that loses.
+    angles, low, high = (np.ascontiguousarray(x.T, np.float32) for x in (angles, low, high))
+    near = np.zeros((angles.shape[1], low.shape[1]), np.float32)
     far = np.full_like(near, np.pi)
-    for j in range(angles.shape[1]):
-        own = angles[:, j, None]
-        np.maximum(near, np.maximum(low[None, :, j] - own, own - high[None, :, j]), out=near)
-        np.minimum(far, np.minimum(own + high[None, :, j], 2 * np.pi - own - low[None, :, j]), out=far)
-    top = np.cos(np.maximum(near - 2 * ANGLE_SLACK, 0))
-    bottom = np.cos(np.minimum(far + 2 * ANGLE_SLACK, np.pi))
-    least, most = norm[:, None] * least[None, :], norm[:, None] * most[None, :]
+    same = low is high or np.array_equal(low, high)
+    for own, a, b in zip(angles[:, :, None], low[:, None, :], high[:, None, :]):
+        np.maximum(near, np.abs(own - a) if same else np.maximum(a - own, own - b), out=near)
+        total = own + b
+        np.minimum(far, total, out=far)
+        np.minimum(far, np.float32(2 * np.pi) - (total if same else own + a), out=far)
+    top = np.cos(np.maximum(near - np.float32(2 * ANGLE_SLACK), 0))
+    bottom = np.cos(np.minimum(far + np.float32(2 * ANGLE_SLACK), np.float32(np.pi)))
+    most = norm[:, None] * most[None, :]
     slack = 1 + SCORE_SLACK * most
+    if same:
+        return bottom * most - slack, top * most + slack
+    least = norm[:, None] * least[None, :]
     return np.minimum(bottom * least, bottom * most) - slack, np.maximum(top * least, top * most) + slack
 
 
@@ -98,8 +105,8 @@ def in_blocks(vectors: DataFrame, rows: int) -> DataFrame:
     celled = vectors.withColumn("cell", nearest)
     key = ["label", "size"]
     sizes = celled.groupBy(*key, "cell").agg(F.count("*").alias("own")).withColumn("all", F.sum("own").over(Window.partitionBy(*key)))
-    few = F.col("all") <= rows
-    parts = F.ceil(F.when(few, 1).otherwise(F.col("own") / rows))
+    few = F.col("all") <= DIRECTIONS * rows
+    parts = F.ceil(F.when(few, F.col("all")).otherwise(F.col("own")) / rows)
     sizes = sizes.select(*key, "cell", F.when(few, 0).otherwise(F.col("cell")).alias("near"), parts.alias("parts"))
     placed = celled.join(sizes, [*key, "cell"]).drop("cell")
     part = F.pmod(F.xxhash64("vec_id", "vector"), F.col("parts"))
@@ -159,7 +166,7 @@ def _visit(vectors: DataFrame, anchors: DataFrame, visits: DataFrame, score, sch
 def _bounded(a: pd.DataFrame, x: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Each anchor's bounds with all vectors of a block, some anchors at a time."""
     theta, norm = x[ANGLES].to_numpy(), x["norm"].to_numpy()
-    step = max(1, (1 << 20) // max(len(x), 1))
+    step = max(1, (1 << 17) // max(len(x), 1))  # what fits a cache
     for at in range(0, len(a), step):
         part = a.iloc[at : at + step]
         bottom, top = score_bounds(part[ANGLES].to_numpy(), part["norm"].to_numpy(), theta, theta, norm, norm)
@@ -239,10 +246,15 @@ def hard_negatives(table: DataFrame, anchor: Column, positives: int = 5, negativ
             for i, bottom, top in _bounded(a, x):
                 able = np.flatnonzero((top >= a["floor"].iat[i]) & (bottom <= a["roof"].iat[i]) & (ids != a["vec_id"].iat[i]))
                 scores = _scores(own[i], others[able])
-                for place, positive in zip(a["places"].iat[i].tolist(), a["wants"].iat[i].tolist()):
-                    inside = np.flatnonzero((scores >= -(-low[0] * positive // low[1])) & (scores <= high[0] * positive // high[1]))
-                    best = inside[_first(scores[inside], ids[able][inside], negatives)]
-                    out.append((np.full(len(best), a["akey"].iat[i]), np.full(len(best), place), ids[able][best], scores[best]))
+                wants = a["wants"].iat[i].tolist()
+                windows = [(-(-low[0] * w // low[1]), high[0] * w // high[1]) for w in wants]
+                asked = np.flatnonzero((scores >= min(w[0] for w in windows)) & (scores <= max(w[1] for w in windows)))
+                names, scores = ids[able[asked]], scores[asked]
+                order = _first(scores, names, len(scores))
+                names, scores = names[order], scores[order]
+                for place, (least, most) in zip(a["places"].iat[i].tolist(), windows):
+                    best = np.arange(*np.searchsorted(-scores, (-most, -least + 1)))[:negatives]
+                    out.append((np.full(len(best), a["akey"].iat[i]), np.full(len(best), place), names[best], scores[best]))
         release_memory()
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 4
         return pd.DataFrame(dict(zip(("akey", "place", "id", "score"), columns)))
