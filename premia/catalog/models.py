@@ -6,17 +6,17 @@ from pyspark.sql import functions as F
 
 from premia.catalog import feeds
 from premia.catalog import tables as T
-from premia.catalog.features import item_features, item_priced
+from premia.catalog.features import item_priced
 from premia.catalog.landing import SNAPSHOT_DATE, _landing
 from premia.catalog.registry import query, round_sql, rounded
 from premia.operators.board import capped_history, median_trend, ranked_board
 from premia.operators.models import (
     fit_linear,
+    fit_linear_by,
     prediction_table,
     scoring_report,
     split_records,
 )
-from premia.operators.neural import NetworkSpec
 from premia.operators.prep import (
     fit_preprocessing,
     preprocessing_stats,
@@ -26,7 +26,6 @@ from premia.operators.prep import (
 from premia.operators.registry import best_runs, promotion_decisions
 from premia.plans.scoring import score_snapshot, snapshot_features
 from premia.plans.jobs import append_history, next_versions
-from premia.plans.training import train_network
 from premia.sources.writers import Store
 from premia.session import materialize, scratch_path
 from premia.spec import PREDICTION_KEYS, TARGET, FeatureSpec
@@ -56,10 +55,9 @@ scored AS (
 
 
 def _linear(priced):
-    """The model of the rows before the split; what it needs of them is stored once for all its passes."""
+    """The model of the rows before the split."""
     train, _ = temporal_split(priced, "sale_date", SPLIT_YEAR)
-    train = materialize(train.select(*_TWO_FEATURES, TARGET), "training")
-    return fit_linear(train, fit_preprocessing(train, _TWO_FEATURES), TARGET)
+    return fit_linear(train, _TWO_FEATURES, TARGET)
 
 
 @query("temporal_split", T.ITEM_PRICED_SQL + f"""
@@ -136,6 +134,19 @@ def linear_fit_query(spark, folder):
     return rounded(spark.createDataFrame(terms, "term STRING, weight DOUBLE"), "weight")
 
 
+@query("linear_fit_by", T.ITEM_PRICED_SQL + """,
+gapped AS (SELECT shoe_id % 50 AS line, size_us, price_premium, CASE WHEN shoe_id % 3 = 0 AND size_us > 5 THEN NULL ELSE size_us END AS size_gap FROM priced),
+filled AS (SELECT *, coalesce(size_gap, avg(size_gap) OVER (PARTITION BY line)) AS size FROM gapped),
+fits AS (SELECT line, count(*) AS n, regr_slope(price_premium, size) AS slope, regr_intercept(price_premium, size) AS start FROM filled GROUP BY line)
+SELECT line, n, 'size_gap' AS term, round(slope, 6) AS weight FROM fits UNION ALL SELECT line, n, 'intercept', round(start, 6) FROM fits""")
+def linear_fit_by_query(spark, folder):
+    """A model per product line, premium by size, some sizes missing."""
+    priced = item_priced(spark, folder).selectExpr(
+        "shoe_id % 50 AS line", "price_premium", "CASE WHEN shoe_id % 3 = 0 AND size_us > 5 THEN NULL ELSE size_us END AS size_gap"
+    )
+    return rounded(fit_linear_by(priced, ["size_gap"], TARGET, ["line"]), "weight")
+
+
 @query("score_batch", T.ITEM_PRICED_SQL + _FIT_SQL + """
 SELECT sale_id, shoe_id, brand, sale_date, round(predicted, 4) AS predicted_premium,
        price_premium AS actual_premium FROM scored""")
@@ -186,7 +197,7 @@ def _record_model(spark, folder):
     train = T.table(spark, folder, "lineitem").selectExpr(
         "l_extendedprice AS retail_price", "l_quantity AS target"
     )
-    return fit_linear(train, fit_preprocessing(train, ["retail_price"]), "target")
+    return fit_linear(train, ["retail_price"], "target")
 
 
 @query("score_records", _RECORD_MODEL_SQL + """
@@ -229,29 +240,6 @@ def stream_refused_query(spark, folder):
     return spark.read.parquet(output).select("order_key", "line", "part_key", "price")
 
 
-# --- Network ------------------------------------------------------------------------------------
-
-
-def _network_run(spark, folder, epochs):
-    features = materialize(item_features(spark, folder), "features")
-    run = train_network(features, SPLIT_YEAR, NetworkSpec(num_epochs=epochs))
-    return features, run
-
-
-@query("mlp_fit")
-def mlp_fit_query(spark, folder):
-    _, run = _network_run(spark, folder, NetworkSpec().num_epochs)
-    return spark.createDataFrame(
-        run.history, "epoch INT, train_loss DOUBLE, val_loss DOUBLE, val_rmse DOUBLE"
-    )
-
-
-@query("mlp_score")
-def mlp_score_query(spark, folder):
-    features, run = _network_run(spark, folder, 3)
-    return prediction_table(run.model.score(features), PREDICTION_KEYS, TARGET)
-
-
 # --- Registry -----------------------------------------------------------------------------------
 
 # Orders are training runs, the price is the metric, the priority the model, the year the run date.

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass
 from functools import reduce
 from operator import add
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premia.functions.prices import nan_to_null, round_exact
+from premia.operators.moments import Moments, moments, moments_by
 from premia.operators.prep import Preprocessing
 
 
@@ -38,18 +38,41 @@ class LinearModel:
         return asdict(self)
 
 
-def fit_linear(train: DataFrame, preprocessing: Preprocessing, target: str) -> LinearModel:
-    """Least squares on the standardised features, solved from one distributed pass."""
-    features = preprocessing.features
-    assembler = VectorAssembler(inputCols=features, outputCol="_features")
-    ready = assembler.transform(
-        preprocessing.apply(train.select(*features, target)).where(F.col(target).isNotNull())
-    )
-    solver = LinearRegression(
-        featuresCol="_features", labelCol=target, solver="normal", standardization=False
-    )
-    fitted = solver.fit(ready.select("_features", F.col(target).cast("double").alias(target)))
-    return LinearModel(preprocessing, [float(w) for w in fitted.coefficients], float(fitted.intercept))
+def linear_of(state: Moments, features: Sequence[str]) -> LinearModel:
+    """The least-squares model of the rows that a state has seen."""
+    preprocessing = state.preprocessing(features)
+    weights, intercept = state.least_squares(preprocessing)
+    return LinearModel(preprocessing, weights.tolist(), intercept)
+
+
+def fit_linear(train: DataFrame, features: Sequence[str], target: str) -> LinearModel:
+    """Least squares on the filled and standardised features, from one pass over the rows.
+
+    Gaps take the mean over all rows; rows without a target count for that only.
+    """
+    return linear_of(moments(train, features, target), features)
+
+
+def fit_linear_by(train: DataFrame, features: Sequence[str], target: str, keys: Sequence[str]) -> DataFrame:
+    """A model per group: (keys, n, term, weight), weights per unit of the feature, and the intercept. Groups without a target have no rows."""
+    size = len(features) + 1
+    fields = [train.schema[k] for k in keys]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "n long, term string, weight double"])
+
+    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for *key, flat in frame.itertuples(index=False, name=None):
+                state = Moments.unflat(flat, size)
+                if not state.pairs[-1, -1]:
+                    continue
+                model = linear_of(state, features)
+                slopes = [w / s for w, s in zip(model.coefficients, model.preprocessing.std)]
+                start = model.intercept - sum(w * m for w, m in zip(slopes, model.preprocessing.mean))
+                rows += [(*key, int(state.pairs[-1, -1]), term, weight) for term, weight in [*zip(features, slopes), ("intercept", start)]]
+            yield pd.DataFrame(rows, columns=[*keys, "n", "term", "weight"])
+
+    return moments_by(train, features, target, keys).mapInPandas(solve, schema)
 
 
 def rmse(predicted: Column, actual: Column) -> Column:

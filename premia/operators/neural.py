@@ -1,23 +1,24 @@
 """The premium network: two hidden blocks (linear, batch norm, ReLU, dropout) and a linear output.
 
-Training is data-parallel. In every epoch each partition runs mini-batch Adam over its rows, starting
-from the shared state, and the partition states are averaged on Spark, weighted by their rows. With one
-partition this is plain mini-batch training. Rows never leave the executors; the driver holds one state
-of fixed size (a few thousand numbers, set by the network's shape).
+Training is synchronous and data-parallel. A step takes a number of mini-batches, each normalised by its own moments; tasks
+add up their gradients and batch moments, Spark hands the sums to the driver, which makes one Adam step with their mean over all rows. Which
+rows form a batch is a function of the rows alone, so a step is the same however they are spread over tasks. Rows never
+leave the executors; the driver holds one state of fixed size (a few thousand numbers, set by the network's shape).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premia.operators.prep import Preprocessing
-from premia.session import materialize
+from premia.session import materialize, release, scratch_path
 from premia.spec import TRAINING_SEED
 
 # --- Fixed values: batch norm and Adam defaults -------------------------------------------------
@@ -27,8 +28,8 @@ ADAM_BETAS = (0.9, 0.999)
 ADAM_EPS = 1e-8
 
 
-# Training rows of one partition, unless the caller sets the number of partitions.
-PARTITION_ROWS = 50_000
+# Steps of an epoch at most, unless the caller sets the mini-batches of a step: more rows make more batches a step.
+MOST_STEPS = 50
 
 
 @dataclass(frozen=True)
@@ -92,30 +93,28 @@ def predict(params: Params, x: np.ndarray) -> np.ndarray:
     return (h @ params["w3"] + params["b3"])[:, 0]
 
 
-def training_step(
-    params: Params, x: np.ndarray, y: np.ndarray, dropout: float, rng: np.random.Generator
-) -> tuple[float, Params]:
-    """Loss and gradients of one mini-batch; updates the running moments in place."""
-    n = len(x)
-    h, tape = x, []
-    for block in ("1", "2"):
+def training_step(params: Params, x: np.ndarray, y: np.ndarray, keep: tuple[np.ndarray, np.ndarray]) -> tuple[float, Params]:
+    """Loss and gradients of one mini-batch, with its moments as the gradients of ``rm`` and ``rv``.
+
+    ``keep`` has the dropout factors of both hidden layers.
+    """
+    n, h, tape, grads = len(x), x, [], {}
+    for block, mask in zip("12", keep):
         z = h @ params["w" + block] + params["b" + block]
         mean, var = z.mean(axis=0), z.var(axis=0)
-        unbiased = var * n / (n - 1)
-        for moment, seen in (("rm", mean), ("rv", unbiased)):
-            params[moment + block] = (1 - BN_MOMENTUM) * params[moment + block] + BN_MOMENTUM * seen
+        grads["rm" + block], grads["rv" + block] = mean, var * n / max(n - 1, 1)
         scale = 1.0 / np.sqrt(var + BN_EPS)
         normed = (z - mean) * scale
         pre = normed * params["g" + block] + params["s" + block]
-        keep = (pre > 0) * (rng.random(pre.shape) >= dropout) / (1.0 - dropout)
-        tape.append((block, h, normed, scale, keep))
-        h = pre * keep
+        open_ = (pre > 0) * mask
+        tape.append((block, h, normed, scale, open_))
+        h = pre * open_
     error = (h @ params["w3"] + params["b3"])[:, 0] - y
     d_out = (2.0 / n) * error[:, None]
-    grads = {"w3": h.T @ d_out, "b3": d_out.sum(axis=0)}
+    grads["w3"], grads["b3"] = h.T @ d_out, d_out.sum(axis=0)
     d_h = d_out @ params["w3"].T
-    for block, h_in, normed, scale, keep in reversed(tape):
-        d_pre = d_h * keep
+    for block, h_in, normed, scale, open_ in reversed(tape):
+        d_pre = d_h * open_
         grads["g" + block] = (d_pre * normed).sum(axis=0)
         grads["s" + block] = d_pre.sum(axis=0)
         d_norm = d_pre * params["g" + block]
@@ -126,10 +125,26 @@ def training_step(
     return float((error**2).mean()), grads
 
 
+def dropout_factors(keys: np.ndarray, width: int, rate: float, salt: int) -> np.ndarray:
+    """0 for units to leave out, else 1 / (1 - rate); a function of the row's key, the unit and ``salt`` alone."""
+    if not rate:
+        return np.ones((len(keys), width))
+    units = (np.arange(width, dtype=np.uint64) + np.uint64(1 + salt * width)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = keys[:, None] ^ units
+    for _ in range(2):
+        mixed ^= mixed >> np.uint64(31)
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+    uniform = ((mixed ^ (mixed >> np.uint64(32))) >> np.uint64(11)) / 2.0**53
+    return (uniform >= rate) / (1.0 - rate)
+
+
 def adam_step(params: Params, grads: Params, m: Params, v: Params, step: int, rate: float) -> None:
-    """One Adam update, in place."""
+    """One Adam update, in place; running moments move towards the batch's."""
     b1, b2 = ADAM_BETAS
     for name, g in grads.items():
+        if name[0] == "r":
+            params[name] = (1 - BN_MOMENTUM) * params[name] + BN_MOMENTUM * g
+            continue
         m[name] = b1 * m[name] + (1 - b1) * g
         v[name] = b2 * v[name] + (1 - b2) * g * g
         m_hat, v_hat = m[name] / (1 - b1**step), v[name] / (1 - b2**step)
@@ -179,29 +194,24 @@ def fit_network(
     preprocessing: Preprocessing,
     target: str,
     spec: NetworkSpec = NetworkSpec(),
-    partitions: int | None = None,
+    workers: int | None = None,
     seed: int = TRAINING_SEED,
 ) -> tuple[NeuralModel, list[dict]]:
     """Train the network. Returns it with (epoch, train_loss, val_loss, val_rmse) per epoch.
 
-    The prepared training rows are stored once, spread evenly over ``partitions`` files (by default one per
-    ``PARTITION_ROWS`` rows, so the work of a task does not grow with the data), and read in every epoch. Every
-    epoch checks that it has seen all rows. ``validation`` is scored in every epoch, so it should be a stored table.
+    ``workers`` is the number of mini-batches of a step, by default as many as keep an epoch at ``MOST_STEPS`` steps; with one it
+    is plain mini-batch training. The result depends on it, but not on the number of tasks. The prepared rows are stored once; an epoch
+    deals them out anew and checks that it has seen all of them. ``validation`` is scored in every epoch, so it should be a stored table.
     """
     inputs, hidden = len(preprocessing.features), spec.hidden_dim
-    start = flatten(initial_parameters(inputs, hidden, seed))
-    state = TrainingState(start, np.zeros_like(start), np.zeros_like(start), 0)
-
-    ready = train.where(F.col(target).isNotNull()).select(
-        preprocessing.vector().alias("x"), F.col(target).cast("double").alias("y")
-    )
-    if partitions is None:
-        partitions = max(1, -(-ready.count() // PARTITION_ROWS))
-    ready = materialize(ready.repartition(partitions), "training-rows")
-    rows = ready.count()
+    state = initial_state(flatten(initial_parameters(inputs, hidden, seed)))
+    ready, rows = training_rows(train, preprocessing, target)
+    workers = workers or -(-rows // (spec.batch_size * MOST_STEPS))
+    steps = max(1, rows // (spec.batch_size * workers))
     history = []
     for epoch in range(spec.num_epochs):
-        state, train_loss = _epoch(ready, rows, state, epoch, inputs, spec, seed)
+        chosen = F.pmod(F.xxhash64("key", F.lit(epoch), F.lit(seed)), F.lit(steps * workers))
+        state, train_loss = run_epoch(ready, rows, chosen, steps, workers, state, epoch, inputs, spec)
         model = NeuralModel(preprocessing, spec, state.params.tolist())
         val_loss = mean_squared_error(model.score(validation), target)
         history.append(
@@ -215,73 +225,74 @@ def fit_network(
     return model, history
 
 
-def mean_squared_error(scored: DataFrame, target: str) -> float | None:
-    return scored.agg(F.avg(F.pow(F.col("predicted_premium") - F.col(target), F.lit(2.0)))).first()[0]
+def initial_state(params: np.ndarray) -> TrainingState:
+    return TrainingState(params, np.zeros_like(params), np.zeros_like(params), 0)
 
 
-def _epoch(
-    ready: DataFrame, rows: int, state: TrainingState, epoch: int, inputs: int, spec: NetworkSpec, seed: int
-) -> tuple[TrainingState, float]:
-    """One pass over the training rows."""
-    shared = ready.sparkSession.sparkContext.broadcast(state)
-    hidden = spec.hidden_dim
-
-    def run_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        start = shared.value
-        params = unflatten(start.params, inputs, hidden)
-        m, v = unflatten(start.m, inputs, hidden), unflatten(start.v, inputs, hidden)
-        rng = np.random.default_rng([seed, epoch, TaskContext.get().partitionId()])
-        steps, seen, loss_sum = start.steps, 0, 0.0
-        for x, y in mini_batches(batches, spec.batch_size, rng):
-            steps += 1
-            rows_of_batch = len(x)
-            if rows_of_batch == 1:  # batch statistics need two rows
-                x, y = np.repeat(x, 2, axis=0), np.repeat(y, 2)
-            loss, grads = training_step(params, x, y, spec.dropout_rate, rng)
-            adam_step(params, grads, m, v, steps, spec.learning_rate)
-            seen += rows_of_batch
-            loss_sum += loss * rows_of_batch
-        if seen:
-            values = np.concatenate([flatten(params), flatten(m), flatten(v), [steps, loss_sum / seen]])
-            yield pd.DataFrame({"rows": [seen], "values": [values]})
-
-    parts = ready.mapInPandas(run_partition, "rows LONG, values ARRAY<DOUBLE>")
-    weighted = parts.select("rows", F.posexplode("values").alias("at", "value"))
-    averaged = weighted.groupBy("at").agg(
-        (F.sum(F.col("value") * F.col("rows")) / F.sum("rows")).alias("value"), F.sum("rows").alias("seen")
-    )
-    collected = averaged.toPandas().sort_values("at")
-    flat = collected["value"].to_numpy()
-    shared.unpersist()
-    if not len(flat):
+def training_rows(train: DataFrame, preprocessing: Preprocessing, target: str, key: Column | None = None) -> tuple[DataFrame, int]:
+    """The rows with a target as (x, y, key), stored, and their number. The key stands for a row, by default for its values."""
+    ready = train.where(F.col(target).isNotNull())
+    columns = [preprocessing.vector().alias("x"), F.col(target).cast("double").alias("y")]
+    ready = ready.select(*columns, *([] if key is None else [key.alias("key")]))
+    ready = materialize(ready if key is not None else ready.withColumn("key", F.xxhash64("x", "y")), "training-rows")
+    rows = ready.count()
+    if not rows:
         raise ValueError("there are no rows to train on")
-    if (collected["seen"] != rows).any():
-        raise RuntimeError(f"an epoch has seen {collected['seen'].iloc[0]} of {rows} training rows")
-    size = len(state.params)
-    params, m, v = (flat[i * size : (i + 1) * size] for i in range(3))
-    return TrainingState(params, m, v, int(round(flat[-2]))), float(flat[-1])
+    return ready, rows
+
 
+def mean_squared_error(scored: DataFrame, target: str) -> float | None:
+    return scored.agg(F.avg(F.pow(F.col("predicted_premium") - F.col(target), F.lit(2.0)))).first()[0]
 
-def mini_batches(
-    frames: Iterator[pd.DataFrame], size: int, rng: np.random.Generator
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Shuffled mini-batches from a stream of frames; a last batch of one row joins the one before.
 
-    A stream of a single row gives that row.
+def run_epoch(
+    ready: DataFrame, rows: int, chosen: Column, steps: int, workers: int, state: TrainingState, epoch: int, inputs: int, spec: NetworkSpec
+) -> tuple[TrainingState, float]:
+    """One pass over the training rows: the new state and the mean loss.
+
+    ``chosen`` is the number of a row's mini-batch, below ``steps * workers``; each step takes the next ``workers`` of them. A batch
+    becomes one row of a table stored by step, its rows ordered by key, so a step reads its own batches only.
     """
-    held_x, held_y = None, None
-    for frame in frames:
-        if not len(frame):
+    spark = ready.sparkSession
+    dealt = ready.select(chosen.alias("batch"), "key", "x", "y").groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("key", "y", "x"))).alias("rows"))
+    path = scratch_path(spark, "batches")
+    dealt.withColumn("step", F.floor(F.col("batch") / workers)).write.partitionBy("step").parquet(path)
+    schema = "batch long, rows array<struct<key:bigint, y:double, x:array<double>>>"
+    hidden, seen, loss_sum = spec.hidden_dim, 0.0, 0.0
+    params = unflatten(state.params, inputs, hidden)
+    m, v, made = unflatten(state.m, inputs, hidden), unflatten(state.v, inputs, hidden), state.steps
+    written = {int(r["step"]) for r in spark.read.parquet(path).select("step").distinct().collect()}
+    for step in range(steps):
+        if step not in written:
             continue
-        order = rng.permutation(len(frame))
-        x, y = np.stack(frame["x"].to_numpy())[order], frame["y"].to_numpy()[order]
-        if held_x is not None:
-            x, y = np.concatenate([held_x, x]), np.concatenate([held_y, y])
-        full = max((len(x) - 2) // size, 0)  # hold back at least two rows for the last batch
-        for i in range(full):
-            yield x[i * size : (i + 1) * size], y[i * size : (i + 1) * size]
-        held_x, held_y = x[full * size :], y[full * size :]
-    if held_x is not None:
-        yield held_x, held_y
+        batches = spark.read.schema(schema).parquet(f"{path}/step={step}")
+        total = batches.mapInArrow(_gradients(flatten(params), inputs, spec, epoch), "sums array<double>")
+        sums = np.sum([r["sums"] for r in total.collect()], axis=0)
+        n = sums[0]
+        made += 1
+        adam_step(params, unflatten(sums[2:] / n, inputs, hidden), m, v, made, spec.learning_rate)
+        seen, loss_sum = seen + n, loss_sum + sums[1]
+    release(spark, path)
+    if seen != rows:
+        raise RuntimeError(f"an epoch has seen {seen:.0f} of {rows} training rows")
+    return TrainingState(flatten(params), flatten(m), flatten(v), made), float(loss_sum / rows)
+
+
+def _gradients(flat: np.ndarray, inputs: int, spec: NetworkSpec, epoch: int):
+    """Sums of a task's batches: rows, loss, and gradients, weighted by rows."""
+
+    def add(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        params, sums = unflatten(flat, inputs, spec.hidden_dim), np.zeros(len(flat) + 2)
+        for record in records:
+            lists = record.column(1)
+            key, y, x = lists.flatten().flatten()
+            ends = np.asarray(lists.offsets).astype(np.int64) - lists.offsets[0].as_py()
+            x = np.asarray(x.flatten(), float).reshape(-1, inputs)
+            y, key = y.to_numpy(zero_copy_only=False), key.to_numpy(zero_copy_only=False).view(np.uint64)
+            for a, b in zip(ends[:-1], ends[1:]):
+                keep = tuple(dropout_factors(key[a:b], spec.hidden_dim, spec.dropout_rate, 2 * epoch + layer) for layer in (0, 1))
+                loss, grads = training_step(params, x[a:b], y[a:b], keep)
+                sums += (b - a) * np.concatenate([[1.0, loss], flatten({name: grads[name] for name in params})])
+        yield pa.RecordBatch.from_arrays([pa.array([sums], pa.list_(pa.float64()))], names=["sums"])
+
+    return add

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from premia.operators.models import LinearModel, fit_linear, rmse
+from premia.operators.models import LinearModel, linear_of, rmse
+from premia.operators.moments import moments
 from premia.operators.neural import NetworkSpec, NeuralModel, fit_network
 from premia.operators.prep import (
     Preprocessing,
@@ -37,24 +38,28 @@ def prepare(features: DataFrame, split_year: int) -> tuple[DataFrame, DataFrame,
 
 
 def train_linear(features: DataFrame, split_year: int = DEFAULT_SPLIT_YEAR) -> TrainingRun:
-    """Linear baseline."""
-    sizes = require_both_sides(features, "sale_date", split_year)
-    train, validation, preprocessing = prepare(features, split_year)
-    model = fit_linear(train, preprocessing, TARGET)
-    error = model.score(validation).agg(rmse(F.col("predicted_premium"), F.col(TARGET))).first()[0]
-    return TrainingRun(model, float(error), *sizes, history=[])
+    """Linear baseline: one pass over the training rows, one over the validation rows."""
+    train, validation = temporal_split(features, "sale_date", split_year)
+    state = moments(train, MODEL_FEATURES, TARGET)
+    n_validation = None
+    if state.rows:
+        model = linear_of(state, MODEL_FEATURES)
+        error, n_validation = model.score(validation).agg(rmse(F.col("predicted_premium"), F.col(TARGET)), F.count("*")).first()
+    if not n_validation:
+        require_both_sides(features, "sale_date", split_year)
+    return TrainingRun(model, float(error), int(state.rows), n_validation, history=[])
 
 
 def train_network(
     features: DataFrame,
     split_year: int = DEFAULT_SPLIT_YEAR,
     spec: NetworkSpec = NetworkSpec(),
-    partitions: int | None = None,
+    workers: int | None = None,
 ) -> TrainingRun:
     """The network. ``features`` is read in every epoch, so it should be a stored table."""
     sizes = require_both_sides(features, "sale_date", split_year)
     train, validation, preprocessing = prepare(features, split_year)
-    model, history = fit_network(train, validation, preprocessing, TARGET, spec, partitions)
+    model, history = fit_network(train, validation, preprocessing, TARGET, spec, workers)
     return TrainingRun(model, float(history[-1]["val_rmse"]), *sizes, history=history)
 
 

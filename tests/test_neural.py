@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from premia.operators.neural import (
     NetworkSpec,
     adam_step,
+    dropout_factors,
     fit_network,
     flatten,
     initial_parameters,
-    mini_batches,
     predict,
     training_step,
     unflatten,
@@ -29,14 +29,17 @@ def test_gradients_equal_finite_differences():
     rng = np.random.default_rng(3)
     params = {k: v + rng.normal(0, 0.1, v.shape) for k, v in initial_parameters(3, 5).items()}
     params.update({k: np.abs(v) + 0.5 for k, v in params.items() if k.startswith("rv")})
-    x, y = rng.normal(size=(40, 3)), rng.normal(size=40)
+    x, y, keys = rng.normal(size=(40, 3)), rng.normal(size=40), rng.integers(0, 2**63, 40).astype(np.uint64)
+    keep = tuple(dropout_factors(keys, 5, 0.3, layer) for layer in (0, 1))
 
     def loss_of(candidate):
-        copy = {k: v.copy() for k, v in candidate.items()}
-        return training_step(copy, x, y, 0.3, np.random.default_rng(9))[0]
+        return training_step(candidate, x, y, keep)[0]
 
-    _, grads = training_step({k: v.copy() for k, v in params.items()}, x, y, 0.3, np.random.default_rng(9))
+    _, grads = training_step(params, x, y, keep)
+    assert set(grads) == set(params)
     for name, grad in grads.items():
+        if name.startswith("r"):
+            continue
         at = tuple(0 for _ in grad.shape)
         up, down = ({k: v.copy() for k, v in params.items()} for _ in range(2))
         up[name][at] += 1e-6
@@ -44,18 +47,12 @@ def test_gradients_equal_finite_differences():
         assert grad[at] == pytest.approx((loss_of(up) - loss_of(down)) / 2e-6, abs=1e-5), name
 
 
-def test_batches_cover_all_rows_once():
-    import pandas as pd
-
-    for sizes in ([1], [2], [5, 1, 7], [10, 1], [4, 4]):
-        start, frames = 0, []
-        for n in sizes:
-            frames.append(pd.DataFrame({"x": [[float(i)] for i in range(start, start + n)], "y": np.arange(start, start + n, dtype=float)}))
-            start += n
-        batches = list(mini_batches(iter(frames), 4, np.random.default_rng(0)))
-        seen = sorted(v for _, y in batches for v in y)
-        assert seen == list(range(start))
-        assert all(min(2, start) <= len(y) <= 5 for _, y in batches)
+def test_dropout_keeps_the_expected_share():
+    keys = np.random.default_rng(0).integers(0, 2**63, 4000).astype(np.uint64)
+    factors = dropout_factors(keys, 20, 0.25, 3)
+    assert set(np.unique(factors)) == {0.0, 1 / 0.75} and abs(factors.mean() - 1) < 0.02
+    assert (dropout_factors(keys[::-1], 20, 0.25, 3) == factors[::-1]).all()
+    assert (dropout_factors(keys, 20, 0.25, 4) != factors).any()
 
 
 def labelled(spark, n=3000):
@@ -71,8 +68,8 @@ def test_training_learns_and_scores_alike(spark, tmp_path):
     rows = labelled(spark).withColumn(
         "rolling_7d_avg_premium", F.when(F.col("sale_id") % 7 > 0, F.col("rolling_7d_avg_premium"))
     )
-    spec = NetworkSpec(hidden_dim=16, dropout_rate=0.0, learning_rate=0.01, batch_size=64, num_epochs=6)
-    run = train_network(rows, 2023, spec, partitions=2)
+    spec = NetworkSpec(hidden_dim=16, dropout_rate=0.0, learning_rate=0.03, batch_size=160, num_epochs=6)
+    run = train_network(rows, 2023, spec, workers=1)
     assert len(run.history) == 6
     assert run.history[-1]["train_loss"] < run.history[0]["train_loss"] / 3
     assert run.val_rmse < 0.3
@@ -88,21 +85,38 @@ def test_training_learns_and_scores_alike(spark, tmp_path):
     np.testing.assert_allclose([r["predicted_premium"] for r in sample], expected, rtol=1e-9)
 
 
-def test_one_partition_is_plain_mini_batch_training(spark):
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_full_batches_equal_plain_training(spark, partitions):
     rows = labelled(spark, 300)
     train, validation = temporal_split(rows, "sale_date", 2023)
     transform = fit_preprocessing(train, MODEL_FEATURES)
     spec = NetworkSpec(hidden_dim=4, dropout_rate=0.0, batch_size=10_000, num_epochs=2)
-    model, history = fit_network(train, validation, transform, "price_premium", spec, partitions=1)
+    model, history = fit_network(train.repartition(partitions), validation, transform, "price_premium", spec)
 
-    # One batch holds all rows, so their order does not matter.
     data = train.select(transform.vector().alias("x"), "price_premium").collect()
     x, y = np.array([r["x"] for r in data]), np.array([r["price_premium"] for r in data])
     params = initial_parameters(len(MODEL_FEATURES), 4)
     m = {k: np.zeros_like(v) for k, v in params.items()}
     v = {k: np.zeros_like(w) for k, w in params.items()}
+    ones = (np.ones((len(x), 4)),) * 2
     for step in (1, 2):
-        loss, grads = training_step(params, x, y, 0.0, np.random.default_rng(0))
+        loss, grads = training_step(params, x, y, ones)
         adam_step(params, grads, m, v, step, spec.learning_rate)
         assert history[step - 1]["train_loss"] == pytest.approx(loss, rel=1e-9)
     np.testing.assert_allclose(model.weights, flatten(params), rtol=1e-6, atol=1e-9)
+
+
+def test_results_do_not_depend_on_the_tasks(spark):
+    rows = labelled(spark, 500)
+    train, validation = temporal_split(rows, "sale_date", 2023)
+    transform = fit_preprocessing(train, MODEL_FEATURES)
+    spec = NetworkSpec(hidden_dim=6, dropout_rate=0.2, batch_size=100, num_epochs=2)
+    runs = [fit_network(train.repartition(n), validation, transform, "price_premium", spec, workers=2) for n in (1, 7)]
+    np.testing.assert_allclose(runs[0][0].weights, runs[1][0].weights, rtol=1e-9, atol=1e-9)
+    assert [h["train_loss"] for h in runs[0][1]] == pytest.approx([h["train_loss"] for h in runs[1][1]], rel=1e-9)
+
+
+def test_no_rows_to_train_on(spark):
+    rows = labelled(spark, 10).withColumn("price_premium", F.lit(None).cast("double"))
+    with pytest.raises(ValueError, match="no rows"):
+        fit_network(rows, rows, fit_preprocessing(rows, MODEL_FEATURES), "price_premium", NetworkSpec(num_epochs=1))

@@ -18,7 +18,7 @@ from premia.operators.contract import (
     table_types,
 )
 from premia.operators.models import fit_linear, scoring_report, split_records
-from premia.operators.prep import Preprocessing, fit_preprocessing
+from premia.operators.prep import fit_preprocessing
 from premia.plans.features import feature_table
 from premia.plans.landing import land_snapshot, land_tables
 from premia.plans.monitoring import run_drift_check
@@ -469,8 +469,7 @@ def test_snapshot_is_scored_and_narrowed(spark, tmp_path):
     assert {(r["brand"], round(r["brand_avg_premium"], 9), r["release_type_encoded"], r["size_premium"]) for r in features} == {
         ("Nike", 0.1, 0, 0.0), ("Jordan", 1.0, 2, 0.0)}
     assert all(r["rolling_7d_avg_premium"] is None for r in features)
-    transform = Preprocessing(["retail_price"], [0.0], [0.0], [100.0])
-    model = fit_linear(spark.createDataFrame([(100.0, 1.0), (200.0, 2.0)], "retail_price DOUBLE, y DOUBLE"), transform, "y")
+    model = fit_linear(spark.createDataFrame([(100.0, 1.0), (200.0, 2.0)], "retail_price DOUBLE, y DOUBLE"), ["retail_price"], "y")
     reference = read_reference(spark, str(tmp_path / "t"))
     everything, missing = score_current(landing.tables, model, SPEC.release_type_ranks, reference)
     assert everything.count() == 2 and missing is None

@@ -8,22 +8,20 @@ from check_queries import compare, duck
 from __spark_entry__ import entry
 from premia.catalog import ORACLES, QUERIES
 
-SLOW = {"mlp_fit", "mlp_score"}
-
 
 @pytest.fixture(scope="module")
 def connection(small):
     return duck(small)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, connection, small, name):
     outcome, _, _ = compare(spark, connection, small, name)
     assert outcome == "ok"
 
 
-def test_only_training_lacks_an_oracle():
-    assert set(QUERIES) - set(ORACLES) == SLOW
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_has_the_feature_columns(spark):
