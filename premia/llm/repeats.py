@@ -298,23 +298,8 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def with_repeats(docs: DataFrame, length: int = 200, keep: str = "first", text: str = "text", doc_id: str = "doc_id",
-                 gram: int = GRAM, most: int = MOST_ANCHORS) -> DataFrame:
-    """The rows of ``docs`` with ``n_bytes``, ``spans`` (bytes to remove) and ``kept`` (the bytes left, binary).
-
-    A byte is removed if a string of ``length`` bytes that covers it also starts elsewhere in the table, in
-    the same or another text. With ``keep="first"`` the first of equal strings stays, by doc_id and place; with
-    ``keep="none"`` all go. Strings never cross texts and are compared on the input. Overlaps count.
-
-    Equal texts are one class: its row with the smallest id is compared with other classes; the others are
-    repeats as a whole, if they have ``length`` bytes. NULL and empty texts have no bytes and stay empty. Rows with NULL id
-    come before all others; rows that repeat id and text are copies of each other, and with ``keep="first"`` they all
-    count as the first. Columns named like the results are replaced, columns named
-    c1, c2, least and members are left out, others are kept. Empty table: no rows.
-    """
-    if keep not in ("first", "none"):
-        raise ValueError("keep is 'first' or 'none'")
-    first_only = keep == "first"
+def _with_spans(docs: DataFrame, length: int, first_only: bool, text: str, doc_id: str, gram: int = GRAM, most: int = MOST_ANCHORS) -> tuple[DataFrame, Column, Column]:
+    """The rows of ``docs`` with ``__spans`` (to remove, overlapping), and columns for the text and its bytes."""
     filled = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in _TAKEN], *_class(filled))
     number = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
@@ -334,6 +319,26 @@ def with_repeats(docs: DataFrame, length: int = 200, keep: str = "first", text:
     joined = joined.withColumn("__spans", F.when(whole & (size >= length), F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("stop")))).otherwise(
         F.coalesce("__spans", F.array().cast(SPANS))
     ))
+    return joined, filled, size
+
+
+def with_repeats(docs: DataFrame, length: int = 200, keep: str = "first", text: str = "text", doc_id: str = "doc_id",
+                 gram: int = GRAM, most: int = MOST_ANCHORS) -> DataFrame:
+    """The rows of ``docs`` with ``n_bytes``, ``spans`` (bytes to remove) and ``kept`` (the bytes left, binary).
+
+    A byte is removed if a string of ``length`` bytes that covers it also starts elsewhere in the table, in
+    the same or another text. With ``keep="first"`` the first of equal strings stays, by doc_id and place; with
+    ``keep="none"`` all go. Strings never cross texts and are compared on the input. Overlaps count.
+
+    Equal texts are one class: its row with the smallest id is compared with other classes; the others are
+    repeats as a whole, if they have ``length`` bytes. NULL and empty texts have no bytes and stay empty. Rows with NULL id
+    come before all others; rows that repeat id and text are copies of each other, and with ``keep="first"`` they all
+    count as the first. Columns named like the results are replaced, columns named
+    c1, c2, least and members are left out, others are kept. Empty table: no rows.
+    """
+    if keep not in ("first", "none"):
+        raise ValueError("keep is 'first' or 'none'")
+    joined, filled, size = _with_spans(docs, length, keep == "first", text, doc_id, gram, most)
 
     @F.arrow_udf(f"struct<spans:{SPANS}, kept:binary>")
     def remove(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -377,30 +382,32 @@ def without_repeats(docs: DataFrame, length: int = 200, text: str = "text", doc_
     """
     # Columns named like the results step aside meanwhile.
     aside = {c: f"__own_{c}" for c in docs.columns if c in _TAKEN}
-    marked = with_repeats(docs.withColumnsRenamed(aside), length, "first", text, doc_id)
+    joined, _, _ = _with_spans(docs.withColumnsRenamed(aside), length, True, text, doc_id)
 
-    @F.arrow_udf("string")
+    @F.arrow_udf("struct<cut:boolean, after:string>")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, lists in batches:
+            data, offsets = flat_texts(texts)
             out = []
-            for raw, spans in zip(texts.cast(pa.binary()).to_pylist(), lists.to_pylist()):
-                if raw is None or not spans:
-                    out.append(raw)
-                    continue
+            for row, own in enumerate(lists.to_pylist()):
                 inner = []
-                for s in spans:
-                    a, b = s["start"], s["stop"]
-                    while a < b and raw[a] & 0xC0 == 0x80:
+                for a, b in _union([(s["start"], s["stop"]) for s in own]):
+                    start, end = offsets[row], offsets[row + 1]
+                    while a < b and data[start + a] & 0xC0 == 0x80:
                         a += 1
-                    while b > a and b < len(raw) and raw[b] & 0xC0 == 0x80:
+                    while b > a and start + b < end and data[start + b] & 0xC0 == 0x80:
                         b -= 1
                     inner.append((a, b))
-                out.append(without(raw, inner))
-            yield pa.array(out, pa.binary()).cast(pa.string())
+                # Texts without repeats stay where they are.
+                out.append(without(data[offsets[row] : offsets[row + 1]].tobytes(), inner) if inner else None)
+            yield pa.StructArray.from_arrays([pa.array([x is not None for x in out]), pa.array(out, pa.binary()).cast(pa.string())], names=["cut", "after"])
+            del data, offsets, out
+            release_memory()
 
-    rows = marked.drop("kept").withColumn("__after", cut(F.col(text), F.col("spans")))
-    rows = rows.where((F.size("spans") == 0) | (F.length("__after") > 0))
-    new = {text: F.col("__after")}
+    rows = joined.withColumn("__cut", cut(F.coalesce(F.col(text), F.lit("")), F.col("__spans")))
+    changed = F.col("__cut.cut")
+    rows = rows.where(~changed | (F.length("__cut.after") > 0))
+    new = {text: F.when(changed, F.col("__cut.after")).otherwise(F.col(text))}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.size("spans") > 0, F.length("__after").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        new["n_chars"] = F.when(changed, F.length("__cut.after").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return rows.select(*[new.get(c, F.col(f"`{aside.get(c, c)}`")).alias(c) for c in docs.columns])
