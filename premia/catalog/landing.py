@@ -34,8 +34,8 @@ from premia.sources.warehouse import (
 )
 from premia.sources.writers import (
     Store,
-    landing_profile,
-    require_rows,
+    land,
+    of_runs,
     write_partitioned,
     write_report,
 )
@@ -155,24 +155,26 @@ counts AS (
 @query("landing_profile", _TABLE_COUNTS + """
 SELECT "table", CAST(column_count AS BIGINT) AS column_count, n AS rows FROM counts""")
 def landing_profile_query(spark, folder):
-    profile = landing_profile(_canonical_tables(spark, folder))
+    """The canonical tables landed as a run; the profile comes from what was counted while they were written."""
+    profile = land(Store(scratch_path(spark, "store")), _canonical_tables(spark, folder), "raw", "2020-01-01")
     return profile.select("table", F.col("column_count").cast("long").alias("column_count"), "rows")
 
 
 @query("non_empty_guard", _TABLE_COUNTS + """
 SELECT "table", n > 0 AS may_land, false AS may_land_emptied FROM counts""")
 def non_empty_guard_query(spark, folder):
-    """The guard's outcome for every table, as it is and without its rows."""
+    """The guard's outcome for every table, as it is and without its rows: a refused table leaves no run behind."""
+    store, run_date = Store(scratch_path(spark, "store")), "2020-01-01"
 
     def may_land(name, rows):
         try:
-            require_rows({name: rows})
+            land(store, {name: rows}, "raw", run_date)
         except ValueError:
             return False
         return True
 
     outcomes = [
-        (name, may_land(name, rows), may_land(name, rows.where("false")))
+        (name, may_land(name, rows), may_land(f"{name}_emptied", rows.where("false")))
         for name, rows in _canonical_tables(spark, folder).items()
     ]
     return spark.createDataFrame(outcomes, "table STRING, may_land BOOLEAN, may_land_emptied BOOLEAN")
@@ -200,18 +202,46 @@ def write_report_query(spark, folder):
     return spark.read.schema("n_orders LONG, mean_price DOUBLE").json(path)
 
 
+_ORDER_RUNS = "SELECT *, date_trunc('year', o_orderdate)::DATE AS run_date FROM orders"
+
+
 @query("run_partition", """
 SELECT o_orderkey, o_orderstatus FROM orders WHERE year(o_orderdate) = 1998""")
 def run_partition_query(spark, folder):
     """Every year of orders landed as one run; one run read back."""
     store = Store(scratch_path(spark, "store"))
-    orders = T.table(spark, folder, "orders").withColumn(
-        "run_date", F.trunc(F.to_date("o_orderdate"), "year")
-    )
-    write_partitioned(orders, store.path("raw", "orders"), ["run_date"])
+    store.update(_order_runs(spark, folder), "raw", "orders", ["run_date"])
     return store.read(spark, "raw", "orders", "1998-01-01").select("o_orderkey", "o_orderstatus")
 
 
+def _order_runs(spark, folder):
+    return T.table(spark, folder, "orders").withColumn("run_date", F.trunc(F.to_date("o_orderdate"), "year"))
+
+
+@query("run_partition_update", f"""
+WITH runs AS ({_ORDER_RUNS}),
+updated AS (
+  SELECT run_date, o_orderpriority, o_orderkey,
+         CASE WHEN year(o_orderdate) = 1996 AND o_orderpriority IN ('1-URGENT', '5-LOW') THEN 2 * o_totalprice ELSE o_totalprice END AS price
+  FROM runs WHERE NOT (year(o_orderdate) = 1996 AND o_orderpriority = '5-LOW' AND o_orderkey % 2 = 0))
+SELECT CAST(run_date AS VARCHAR) AS run_date, o_orderpriority, count(*) AS n, round(sum(price), 2) AS total FROM updated
+WHERE o_orderpriority IN ('1-URGENT', '5-LOW', '2-HIGH') AND year(run_date) >= 1995 GROUP BY ALL""")
+def run_partition_update_query(spark, folder):
+    """Runs by year and priority; a rerun replaces two partitions of one run; several runs and priorities are read by partition."""
+    store, keys = Store(scratch_path(spark, "store")), ["run_date", "o_orderpriority"]
+    runs = _order_runs(spark, folder)
+    store.update(runs, "raw", "orders", keys)
+    again = runs.where("year(o_orderdate) = 1996 AND o_orderpriority IN ('1-URGENT', '5-LOW') AND NOT (o_orderpriority = '5-LOW' AND o_orderkey % 2 = 0)")
+    store.update(again.withColumn("o_totalprice", F.col("o_totalprice") * 2), "raw", "orders", keys)
+    table = store.table(spark, "raw", "orders")
+    # The priorities come from a table, so which of them to read is known at run time only.
+    priorities = T.table(spark, folder, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("orders"))
+    asked = materialize(priorities, "priorities").where("substring(o_orderpriority, 1, 1) IN ('1', '2', '5')")
+    return of_runs(table, "1995-01-01", asked, "o_orderpriority").groupBy(F.col("run_date").cast("string").alias("run_date"), "o_orderpriority").agg(
+        F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
+    )
+
+
 # --- Codes and text -----------------------------------------------------------------------------
 
 _ITEM_SKU = "concat(' ', l_returnflag, '_x ', l_partkey, '.-', l_linestatus, '/', l_suppkey, '/')"

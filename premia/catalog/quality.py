@@ -14,6 +14,7 @@ from premia.operators.contract import (
     coerce,
     failure_counts,
     feature_checks,
+    feature_failures,
     in_range,
     is_in,
     null_iff_short_history,
@@ -27,8 +28,9 @@ from premia.operators.contract import (
     with_first,
 )
 from premia.plans.features import priced_sales
-from premia.plans.validation import validated
-from premia.session import materialize
+from premia.plans.validation import run_validation
+from premia.session import materialize, scratch_path
+from premia.sources.writers import Store
 from premia.spec import FeatureSpec
 
 _SPEC = FeatureSpec()
@@ -79,7 +81,8 @@ def _checked_items(spark, folder):
 
 @query("failure_summary", T.ITEM_FEATURES_SQL + _FLAGGED_SQL + _FAILURES_SQL)
 def failure_summary_query(spark, folder):
-    return failure_counts(_checked_items(spark, folder), feature_checks(_SPEC))
+    features = materialize(coerce(item_features(spark, folder), FEATURE_TYPES), "features")
+    return feature_failures(features, _SPEC)
 
 
 @query("violations", T.ITEM_FEATURES_SQL + _FLAGGED_SQL + f"""
@@ -96,7 +99,11 @@ SELECT sale_id, shoe_id, brand, price_premium, CAST(days_since_release AS BIGINT
        round(rolling_7d_avg_premium, 6) AS rolling_7d_avg_premium
 FROM features""")
 def validated_output_query(spark, folder):
-    passed = validated(materialize(event_features(spark, folder), "features"))
+    """The feature plan run once: written, checked on the way, published, and read back."""
+    store = Store(scratch_path(spark, "store"))
+    store.write(T.event_sales(spark, folder), "raw", "sales", "2020-01-01")
+    run_validation(store, spark, "2020-01-01", features=event_features(spark, folder))
+    passed = store.read(spark, "validated", "features", "2020-01-01")
     columns = ["sale_id", "shoe_id", "brand", "price_premium", "days_since_release",
                "rolling_7d_avg_premium"]
     return rounded(passed.select(*columns), "rolling_7d_avg_premium")

@@ -173,6 +173,42 @@ def failure_counts(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return counted.select(F.inline(listed)).where("n > 0")
 
 
+def repeated_values(rows: DataFrame, column: str) -> DataFrame:
+    """One row: how many rows hold a value that occurs more than once. Only the column is shuffled."""
+    repeated = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n")).where("n > 1")
+    return repeated.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
+def history_breaks(rows: DataFrame, key: str, instant: str, value: str, days: int) -> DataFrame:
+    """One row: how many rows are NULL with enough history, or not NULL with less. Rows are counted by key and day first."""
+    counted = rows.groupBy(key, F.to_date(instant).alias("_day"), missing(value).alias("_gap")).agg(F.count("*").alias("_n"))
+    dated = attach_group_min(counted, [key], "_day", "_first")
+    short = F.datediff("_day", "_first") < days
+    return dated.agg(F.coalesce(F.sum(F.when(F.col("_gap") != short, F.col("_n"))), F.lit(0)).alias("n"))
+
+
+def cross_row_failures(features: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """(column, check, n) of the broken checks across rows, from the few columns that each of them reads."""
+    history = null_iff_short_history("rolling_7d_avg_premium", "sale_date", spec.rolling_days)
+    measured = [
+        (unique("sale_id"), repeated_values(features, "sale_id")),
+        (history, history_breaks(features, "shoe_id", "sale_date", "rolling_7d_avg_premium", spec.rolling_days)),
+    ]
+    named = [n.select(F.lit(c.column).cast("string").alias("column"), F.lit(c.name).alias("check"), "n") for c, n in measured]
+    return named[0].unionByName(named[1]).where("n > 0")
+
+
+def row_checks(spec: FeatureSpec) -> list[Check]:
+    """The checks of the contract that look at one row."""
+    across = {unique("sale_id").label, null_iff_short_history("rolling_7d_avg_premium", "sale_date", spec.rolling_days).label}
+    return [c for c in feature_checks(spec) if c.label not in across]
+
+
+def feature_failures(features: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """(column, check, n) of every broken check of the feature contract; rows are not joined to what a check needs."""
+    return failure_counts(features, row_checks(spec)).unionByName(cross_row_failures(features, spec))
+
+
 def violating_rows(rows: DataFrame, checks: Sequence[Check], columns: Sequence[str]) -> DataFrame:
     """The rows that break a check, with the labels of all checks they break."""
     labels = F.array_compact(F.array(*(F.when(c.broken, F.lit(c.label)) for c in checks)))

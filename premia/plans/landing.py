@@ -21,7 +21,7 @@ from premia.operators.contract import coerce, table_types
 from premia.operators.matching import first_candidate_match
 from premia.operators.ordering import keep_first, keep_last, sequential_id
 from premia.session import materialize
-from premia.sources.writers import Store, landing_profile, require_rows
+from premia.sources.writers import Store, land
 from premia.spec import CANONICAL_SCHEMAS, SnapshotSpec
 
 # Why a product is left out, in the order the reasons are tried.
@@ -220,10 +220,5 @@ def candidate_rows(found: DataFrame) -> DataFrame:
 
 
 def land_tables(store: Store, tables: Mapping[str, DataFrame], run_date: str) -> DataFrame:
-    """Write canonical tables to the raw zone and return their profile; empty tables are refused."""
-    ordered = {name: tables[name] for name in CANONICAL_SCHEMAS}
-    require_rows(ordered)
-    for name, rows in ordered.items():
-        store.write(rows, "raw", name, run_date)
-    spark = next(iter(ordered.values())).sparkSession
-    return landing_profile({name: store.read(spark, "raw", name, run_date) for name in ordered})
+    """Write canonical tables to the raw zone and return their profile; if one is empty, none is landed."""
+    return land(store, {name: tables[name] for name in CANONICAL_SCHEMAS}, "raw", run_date)

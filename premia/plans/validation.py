@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from premia.functions.prices import round_exact
@@ -12,15 +12,17 @@ from premia.operators.contract import (
     FEATURE_TYPES,
     ContractViolation,
     coerce,
-    failure_counts,
+    cross_row_failures,
     feature_checks,
+    feature_failures,
     prepare_feature_checks,
     raise_on_failures,
     retention,
+    row_checks,
     schema_issues,
     violating_rows,
 )
-from premia.sources.writers import Store
+from premia.sources.writers import Store, publish_all
 from premia.spec import MIN_RETENTION_PCT, FeatureSpec
 
 
@@ -39,7 +41,7 @@ def validate_features(features: DataFrame, spec: FeatureSpec = FeatureSpec()) ->
     prepared, checks = prepare_feature_checks(typed), feature_checks(spec)
     return Validation(
         typed,
-        failure_counts(prepared, checks),
+        feature_failures(typed, spec),
         violating_rows(prepared, checks, ["sale_id", "shoe_id", "sale_date"]),
     )
 
@@ -71,22 +73,56 @@ def validation_report(sales: DataFrame, features: DataFrame) -> DataFrame:
 def require_retention(sales: DataFrame, features: DataFrame) -> float:
     """The kept share in percent; below the floor the feature job lost data and the run fails."""
     row = retention(sales, features).first()
-    if row["retention_pct"] < MIN_RETENTION_PCT:
-        raise ContractViolation(
-            f"kept {row['output_rows']} of {row['input_rows']} rows ({row['retention_pct']:.1f}%), "
-            f"below {MIN_RETENTION_PCT:.0f}%"
+    return retained_pct(row["input_rows"], row["output_rows"])
+
+
+def retained_pct(n_in: int, n_out: int) -> float:
+    kept = 100.0 * n_out / n_in if n_in else 0.0
+    if kept < MIN_RETENTION_PCT:
+        raise ContractViolation(f"kept {n_out} of {n_in} rows ({kept:.1f}%), below {MIN_RETENTION_PCT:.0f}%")
+    return kept
+
+
+def run_validation(store: Store, spark, run_date: str, spec: FeatureSpec = FeatureSpec(), features: DataFrame | None = None) -> str:
+    """Check one run's features and publish them with a report; nothing of a refused run is visible in the validated zone.
+
+    ``features`` may be a plan (by default the stored features are read): it is run once, written beside the run and checked on
+    the way. Checks across rows then read their columns from what was written. Failing rows of a refused run, with the checks they
+    break, go to the failures zone.
+    """
+    if features is None:
+        features = store.read(spark, "features", "features", run_date)
+    shape = sorted(set(FEATURE_TYPES) ^ set(features.columns))
+    if shape:
+        issues = schema_issues(features.limit(0), FEATURE_TYPES).collect()
+        raise ContractViolation("contract broken:\n" + "\n".join(f"[{r['column']}] {r['issue']}" for r in issues))
+    lossy = Observation()
+    watched = features.observe(lossy, *(
+        F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(c) for c, t in FEATURE_TYPES.items()
+    ))
+    checks = row_checks(spec)
+    metrics = {f"check_{i}": F.count_if(c.broken) for i, c in enumerate(checks)}
+    metrics["rolling_null_rows"] = F.count_if(F.col("rolling_7d_avg_premium").isNull())
+    staged = store.stage(coerce(watched, FEATURE_TYPES), "validated", "features", run_date, metrics)
+    report = {}
+
+    def check() -> None:
+        lines = [f"[{c}] not coercible: {n} row(s)" for c, n in lossy.get.items() if n]
+        lines += [f"[{c.column or '<row>'}] {c.name}: {staged.metrics[f'check_{i}']} row(s)" for i, c in enumerate(checks) if staged.metrics[f"check_{i}"]]
+        written = spark.read.parquet(staged.path)
+        lines += [f"[{r['column'] or '<row>'}] {r['check']}: {r['n']} row(s)" for r in cross_row_failures(written, spec).collect()]
+        if lines:
+            broken = violating_rows(prepare_feature_checks(written), feature_checks(spec), ["sale_id", "shoe_id", "sale_date"])
+            store.write(broken, "failures", "feature_violations", run_date)
+            store.write_report(spark, {"run_date": run_date, "failures": lines}, "failures", "failure_report", run_date)
+            raise ContractViolation("contract broken:\n" + "\n".join(lines))
+        n_in, n_out = store.read(spark, "raw", "sales", run_date).count(), staged.metrics["rows"]
+        kept = retained_pct(n_in, n_out)
+        report.update(
+            input_row_count=n_in, output_row_count=n_out, row_retention_pct=round(kept, 2), min_row_retention_pct=MIN_RETENTION_PCT,
+            status="passed", rolling_null_rows=staged.metrics["rolling_null_rows"],
         )
-    return row["retention_pct"]
-
-
-def run_validation(store: Store, spark, run_date: str, spec: FeatureSpec = FeatureSpec()) -> str:
-    """Read one run's features, check them, publish them with a report. Nothing is written on failure."""
-    features = store.read(spark, "features", "features", run_date)
-    sales = store.read(spark, "raw", "sales", run_date)
-    checked = validated(features, spec)
-    require_retention(sales, checked)
-    path = store.write(checked, "validated", "features", run_date)
-    store.write_report(
-        spark, validation_report(sales, checked), "validated", "validation_report", run_date
-    )
-    return path
+
+    publish_all([staged], check)
+    store.write_report(spark, report, "validated", "validation_report", run_date)
+    return staged.target

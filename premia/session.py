@@ -50,18 +50,19 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    at, files = _file_system(spark, path)
+    at, files = file_system(spark, path)
     files.deleteOnExit(at)
     return path
 
 
 def release(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table that no later step reads."""
-    at, files = _file_system(spark, path)
+    at, files = file_system(spark, path)
     files.delete(at, True)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """A path as the file system's own object, and that file system."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from premia.operators.ordering import numbered
 from premia.sources.readers import scan_json
 
 # --- Fixed values: the fields kept from each feed, with their types ------------------------------
@@ -30,9 +31,8 @@ def _feed(spark: SparkSession, path: str, record: str) -> DataFrame:
     The files are listed without reading them, and numbered by a distributed sort.
     """
     listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("_file"))
-    numbered = listed.orderBy("_file").rdd.zipWithIndex().map(lambda x: (x[0][0], x[1]))
-    ranked = spark.createDataFrame(numbered, "_file STRING, _rank LONG")
-    ordinal = F.col("_rank") * F.lit(2**32) + F.col("position")
+    ranked = numbered(listed, [F.col("_file")], "_rank")
+    ordinal = (F.col("_rank") - 1) * F.lit(2**32) + F.col("position")
     rows = scan_json(spark, path, record)
     return rows.join(ranked, "_file").withColumn("ordinal", ordinal).drop("_file", "_rank", "position")
 
