@@ -29,7 +29,7 @@ from premia.plans.jobs import append_history, next_versions
 from premia.sources.writers import Store
 from premia.session import materialize, scratch_path
 from premia.spec import PREDICTION_KEYS, TARGET, FeatureSpec
-from premia.streaming.scoring import stream_refusals, stream_scores
+from premia.streaming.scoring import refused_records, scored_records, stream_outcomes
 
 SPLIT_YEAR = 1999
 _TWO_FEATURES = ["days_since_release", "retail_price"]
@@ -225,19 +225,22 @@ def _record_stream(spark, folder):
 @query("stream_score", _RECORD_MODEL_SQL + """
 SELECT order_key, line, part_key, price, round(predicted, 4) AS predicted_premium FROM scored""")
 def stream_score_query(spark, folder):
-    output, checkpoint = scratch_path(spark, "scores"), scratch_path(spark, "scores-checkpoint")
-    stream = _record_stream(spark, folder)
-    stream_scores(stream, _record_model(spark, folder), output, checkpoint).awaitTermination()
     columns = ["order_key", "line", "part_key", "price", "predicted_premium"]
-    return rounded(spark.read.parquet(output).select(*columns), "predicted_premium", places=4)
+    return rounded(scored_records(spark, *_streamed(spark, folder)).select(*columns), "predicted_premium", places=4)
+
+
+def _streamed(spark, folder):
+    """All records through one stream: where its outcomes are, and the schema of a record."""
+    output, checkpoint = scratch_path(spark, "outcomes"), scratch_path(spark, "outcomes-checkpoint")
+    stream = _record_stream(spark, folder)
+    stream_outcomes(stream, _record_model(spark, folder), output, checkpoint).awaitTermination()
+    return output, stream.schema
 
 
 @query("stream_refused", f"""WITH records AS ({_RECORDS_SQL})
 SELECT order_key, line, part_key, price FROM records WHERE NOT coalesce({_VALID_SQL}, false)""")
 def stream_refused_query(spark, folder):
-    output, checkpoint = scratch_path(spark, "refused"), scratch_path(spark, "refused-checkpoint")
-    stream_refusals(_record_stream(spark, folder), output, checkpoint).awaitTermination()
-    return spark.read.parquet(output).select("order_key", "line", "part_key", "price")
+    return refused_records(spark, *_streamed(spark, folder)).select("order_key", "line", "part_key", "price")
 
 
 # --- Registry -----------------------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import pathlib
 import random
 import zlib
 
@@ -17,6 +18,7 @@ from premia.operators.contract import (
     schema_issues,
     table_types,
 )
+from premia.operators.drift import drift_report
 from premia.operators.models import fit_linear, scoring_report, split_records
 from premia.operators.prep import fit_preprocessing
 from premia.plans.features import feature_table
@@ -42,8 +44,8 @@ from premia.sources.readers import scan_parquet, trim_fields
 from premia.sources.warehouse import canonical_drop, canonical_tables
 from premia.sources.writers import Store, landing_profile, require_rows, write_partitioned
 from premia.spec import CANONICAL_SCHEMAS, FEATURE_TABLE_COLUMNS, MODEL_FEATURES, FeatureSpec
-from premia.streaming.drift import store_baseline, stream_drift_counts, stream_drift_report
-from premia.streaming.scoring import stream_refusals, stream_scores
+from premia.streaming.drift import store_baseline, stored_batches, stream_drift_counts, stream_drift_report
+from premia.streaming.scoring import refused_records, scored_records, stream_outcomes
 
 D = dt.datetime
 SPEC = FeatureSpec()
@@ -408,12 +410,27 @@ def test_records_are_scored_or_refused_in_batch_and_stream(spark, tmp_path):
     source = str(tmp_path / "in")
     records(spark).repartition(2).write.parquet(source)
     stream = spark.readStream.schema(records(spark).schema).parquet(source)
-    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+
+    def outcomes():
+        schema = records(spark).schema
+        refused = {r["id"] for r in refused_records(spark, out, schema).collect()}
+        return {r["id"]: r["predicted_premium"] for r in scored_records(spark, out, schema).collect()}, refused
+
     for _ in range(2):  # the second run finds nothing new
-        stream_scores(stream, model, out, str(tmp_path / "c1")).awaitTermination()
-        stream_refusals(stream, bad, str(tmp_path / "c2")).awaitTermination()
-    assert {r["id"]: r["predicted_premium"] for r in spark.read.parquet(out).collect()} == batch
-    assert spark.read.parquet(bad).count() == 3
+        stream_outcomes(stream, model, out, checkpoint).awaitTermination()
+    assert outcomes() == (batch, {2, 3, 4})
+    files = sorted(p.name for p in pathlib.Path(out).rglob("part-*"))
+    # A batch that is repeated, since its commit was lost, replaces what it has written.
+    for name in ("0", ".0.crc"):
+        (pathlib.Path(checkpoint) / "commits" / name).unlink()
+    stream_outcomes(stream, model, out, checkpoint).awaitTermination()
+    assert outcomes() == (batch, {2, 3, 4}) and sorted(p.name for p in pathlib.Path(out).rglob("part-*")) != files
+    # All good records: no refused folder, an empty table.
+    good = str(tmp_path / "good")
+    records(spark).where("id < 2").write.parquet(str(tmp_path / "in2"))
+    stream_outcomes(spark.readStream.schema(records(spark).schema).parquet(str(tmp_path / "in2")), model, good, str(tmp_path / "c2")).awaitTermination()
+    assert refused_records(spark, good, records(spark).schema).count() == 0
 
 
 def test_stream_drift_adds_up_over_batches(spark, tmp_path):
@@ -421,8 +438,6 @@ def test_stream_drift_adds_up_over_batches(spark, tmp_path):
     reference.write.parquet(str(tmp_path / "ref"))
     reference = spark.read.parquet(str(tmp_path / "ref"))
     source = str(tmp_path / "in")
-    from premia.operators.drift import drift_report
-
     baseline = str(tmp_path / "baseline")
     edges = store_baseline(reference, ["a", "b"], baseline)
     counts, checkpoint = str(tmp_path / "counts"), str(tmp_path / "c")
@@ -436,6 +451,27 @@ def test_stream_drift_adds_up_over_batches(spark, tmp_path):
     assert got == {f: (pytest.approx(p), d) for f, (p, d) in whole.items()}
 
 
+def test_stream_drift_reads_as_much_after_many_batches(spark, tmp_path):
+    reference = spark.range(300).selectExpr("CAST(id % 50 AS DOUBLE) AS a")
+    source, counts, baseline = (str(tmp_path / n) for n in ("in", "counts", "baseline"))
+    edges = store_baseline(reference, ["a"], baseline)
+    spark.range(1000).selectExpr("CAST(id % 70 AS DOUBLE) AS a").repartition(50).write.parquet(source)
+    stream = spark.readStream.schema("a DOUBLE").option("maxFilesPerTrigger", 1).parquet(source)
+    stream_drift_counts(stream, edges, counts, str(tmp_path / "c")).awaitTermination()
+    assert stored_batches(spark, counts) == [48, 49]
+    assert len(list(pathlib.Path(counts).rglob("part-*"))) == 2
+
+    def psi():
+        return stream_drift_report(spark, ["a"], counts, baseline).first()["psi"]
+
+    whole = drift_report(reference, spark.read.parquet(source), ["a"]).first()["psi"]
+    assert psi() == pytest.approx(whole)
+    for name in ("49", ".49.crc"):
+        (tmp_path / "c" / "commits" / name).unlink()
+    stream_drift_counts(stream, edges, counts, str(tmp_path / "c")).awaitTermination()  # the last batch once more
+    assert psi() == pytest.approx(whole)
+
+
 def test_a_run_goes_through_every_zone(spark, tmp_path):
     store = Store(str(tmp_path))
     spec = FeatureSpec()
