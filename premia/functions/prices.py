@@ -57,14 +57,10 @@ def round_exact(value: Column, places: int) -> Column:
     """
     factor = F.lit(float(10**places))
     scaled = value * factor
+    near = F.rint(scaled)  # ties to even
     high = value * F.lit(134217729.0) - (value * F.lit(134217729.0) - value)
     error = (high * factor - scaled) + (value - high) * factor
-    below = F.floor(scaled).cast("double")
-    rest = scaled - below
-    up = (
-        (rest > 0.5)
-        | ((rest == 0.5) & (error > 0))
-        | ((rest == 0.5) & (error == 0) & (F.pmod(below, F.lit(2.0)) == 1))
-    )
-    rounded = F.when(up, below + 1).otherwise(below) / factor
-    return F.when(F.isnan(value) | (F.abs(value) >= F.lit(2.0**53 / 10**places)), value).otherwise(rounded)
+    # What looks like a tie goes by the sign of the error, and to the even side if there is none.
+    side = F.signum(F.signum(error) * 2 + (near - scaled))
+    rounded = F.when(F.abs(near - scaled) == 0.5, scaled + side * 0.5).otherwise(near) / factor
+    return F.when(F.abs(value) < F.lit(2.0**53 / 10**places), rounded).otherwise(value)

@@ -16,16 +16,20 @@ from premia.spec import HISTORY_CAP
 
 def ranked_board(scored: DataFrame, tiebreak: str = "shoe_id") -> DataFrame:
     """Scored products by predicted premium, highest first; money to 2 places, premium to 4."""
-    board = scored.select(
+    raw = scored.select(
+        "brand", "model", "colorway", "retail_price", "sale_price", "implied_resale", F.col(tiebreak),
+        round_exact(F.col("predicted_premium"), 4).alias("premium"),
+    )
+    # The sort evaluates its input twice, so only its key is computed ahead of it.
+    return raw.orderBy(F.desc("premium"), F.asc(tiebreak)).select(
         F.trim(F.concat_ws(" ", "brand", "model")).alias("name"),
         strip(F.col("colorway")).alias("note"),
         round_exact(F.col("retail_price"), 2).alias("retail"),
         round_exact(F.col("sale_price"), 2).alias("market"),
-        round_exact(F.col("predicted_premium"), 4).alias("premium"),
+        "premium",
         round_exact(F.col("implied_resale"), 2).alias("implied_resale"),
-        F.col(tiebreak),
+        tiebreak,
     )
-    return board.orderBy(F.desc("premium"), F.asc(tiebreak))
 
 
 def median_trend(board: DataFrame) -> DataFrame:
