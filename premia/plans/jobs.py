@@ -21,9 +21,6 @@ from premia.plans.training import TrainingRun, save_model
 from premia.sources.writers import Store, require_rows
 from premia.spec import CANONICAL_SCHEMAS, HISTORY_CAP, PSI_THRESHOLD, FeatureSpec, SnapshotSpec
 
-# A report lists codes up to so many; the table of the run has all of them.
-LISTED_CODES = 1000
-
 _RUN = "model STRING, run_id STRING, run_date STRING, val_rmse DOUBLE, n_train LONG, n_validation LONG"
 _VERSION = "model STRING, run_id STRING, val_rmse DOUBLE, beat_metric DOUBLE, version LONG, promoted BOOLEAN"
 
@@ -119,7 +116,7 @@ def run_board(store: Store, spark: SparkSession, run_date: str, scored: DataFram
               cap: int = HISTORY_CAP) -> DataFrame:
     """Write the ranked board of a scored snapshot with its report, and append its trend point to the stored history.
 
-    All uncomputable codes are a table of the run. The report has their exact count, and lists them only if it can list all.
+    All uncomputable codes are a table of the run; the report has their exact count.
 
     Returns the history, the newest ``cap`` points up to this run date.
     """
@@ -131,8 +128,7 @@ def run_board(store: Store, spark: SparkSession, run_date: str, scored: DataFram
     store.write(codes, "predictions", "uncomputable", run_date)
     codes = store.read(spark, "predictions", "uncomputable", run_date)
     n_codes = codes.count()
-    listed = [r[0] for r in codes.orderBy("sku").collect()] if n_codes <= LISTED_CODES else None
-    report = {"run_date": run_date, "n_scored": written.count(), "n_uncomputable": n_codes, "uncomputable": listed}
+    report = {"run_date": run_date, "n_scored": written.count(), "n_uncomputable": n_codes}
     store.write_report(spark, report, "predictions", "board_report", run_date)
     return append_history(store, spark, run_date, median_trend(written), cap)
 
