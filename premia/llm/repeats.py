@@ -189,11 +189,11 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, leng
     (its place in order) too, and ``places`` the same without the text. A string counts as repeated if it starts anywhere else too, or with
     ``first_only`` if it starts anywhere earlier.
 
-    Windows are anchored by winnowing, so anchors that occur once are done with. Where all occurrences of an anchor have
-    equal contexts, all their windows are repeats. Of the others the contexts are dealt to buckets by the anchor's hash;
-    a bucket puts its suffixes in order and reads repeats off the longest-previous-factor condition. An anchor that occurs more than
-    ``most`` times is left out of the buckets: its windows are grouped by 128-bit hash instead, with partial aggregation,
-    which any number of tasks can share.
+    Windows are anchored by winnowing, so anchors that occur once are done with. Occurrences of an anchor with equal
+    contexts are repeats of each other as a whole; only the first of them is compared with other contexts of the anchor. These are dealt to
+    buckets by the anchor's hash; a bucket puts its suffixes in order and reads repeats off the longest-previous-factor condition. An anchor
+    that occurs more than ``most`` times is left out of the buckets: its windows are grouped by 128-bit hash instead, with
+    partial aggregation, which any number of tasks can share.
     """
     anchors = anchor_rows(texts, length, gram)
     spot = F.xxhash64("c1", "c2", "place")
@@ -203,9 +203,19 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, leng
         ).where("a != b").select("anchor", F.when(F.col("alike"), 0).otherwise(F.col("n")).alias("n")),
         "repeated",
     )
-    total, hot = repeated.agg(F.sum("n"), F.max("n")).first()
-    wanted = anchors.join(repeated, "anchor").groupBy("c1", "c2").agg(
-        F.collect_set(F.struct("place", "anchor", "n")).alias("wanted")
+    # Occurrences with equal contexts are one row of the buckets: the first of them. The lower bits of a place tell where the anchor stands.
+    members = materialize(anchors.join(repeated.hint("merge"), "anchor").withColumn("inner", F.col("place").bitwiseAND((1 << 20) - 1)), "members")
+    if first_only:
+        members = members.join(places, ["c1", "c2"])
+    else:
+        members = members.withColumn("doc", F.lit(0).cast("long"))
+    where = F.struct("doc", "c1", "c2", "place")
+    same = ["anchor", "context", "inner"]
+    firsts = materialize(members.groupBy(*same).agg(F.min(where).alias("stays"), F.count("*").alias("copies"), F.first("n").alias("n")), "firsts")
+    differing = firsts.where("n > 0")
+    total, hot = differing.agg(F.count("*"), F.max("n")).first()
+    wanted = differing.groupBy(F.col("stays.c1").alias("c1"), F.col("stays.c2").alias("c2")).agg(
+        F.collect_set(F.struct(F.col("stays.place").alias("place"), "anchor", "n")).alias("wanted")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +226,6 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, leng
             fields = [lists.values.field(i).to_numpy(zero_copy_only=False) for i in range(3)]
             for row in range(len(lists)):
                 place, anchor, n = (f[bounds[row] : bounds[row + 1]] for f in fields)
-                place, anchor, n = place[n > 0], anchor[n > 0], n[n > 0]  # 0: contexts are alike, no bytes are needed
                 first, more, _ = unpacked(place)
                 begin, end = offsets[row] + first, offsets[row] + first + more + length
                 for k in range(0, len(place), 20_000):
@@ -240,15 +249,11 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, leng
     spans = contexts.where(F.col("n") <= most).groupBy(bucket.alias("bucket")).applyInPandas(
         lambda frame: _repeats_of_bucket(frame, length, first_only), "c1 long, c2 int, start long, stop long"
     )
-    alike = wanted.select("c1", "c2", F.explode("wanted").alias("w")).select("c1", "c2", "w.place", "w.anchor", "w.n").where("n = 0")
-    if first_only:
-        # All windows of such an anchor stay where it stands first, and go everywhere else.
-        where = F.struct("doc", "c1", "c2", "place")
-        alike = alike.join(places, ["c1", "c2"])
-        firsts = materialize(alike.groupBy("anchor").agg(F.min(where).alias("stays")), "firsts")
-        alike = alike.join(firsts, "anchor").where(where != F.col("stays"))
+    # Occurrences behind the first of equal contexts go as a whole, and so does the first if none is to stay.
+    whole = members.join(firsts.select(*same, "stays", "copies").hint("merge"), same)
+    whole = whole.where(where != F.col("stays")) if first_only else whole.where("copies > 1")
     first = F.shiftright("place", 20)
-    spans = spans.union(alike.select(
+    spans = spans.union(whole.select(
         "c1", "c2", first.alias("start"), (first + F.shiftright("place", 10).bitwiseAND(1023) + length).alias("stop")
     ))
     if (hot or 0) > most:
