@@ -10,15 +10,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premia.functions.prices import nan_to_null
-from premia.operators.quantiles import evenly_spaced, exact_quantiles
+from premia.operators.quantiles import approximate_quantiles, evenly_spaced, exact_quantiles
 from premia.spec import DEFAULT_EXCLUSION_REASON, PSI_BINS, PSI_FLOOR, PSI_THRESHOLD
 
 
 def quantile_edges(
-    reference: DataFrame, features: Sequence[str], bins: int = PSI_BINS
+    reference: DataFrame, features: Sequence[str], bins: int = PSI_BINS, accuracy: int | None = None
 ) -> dict[str, list[float]]:
-    """Distinct, ascending reference quantiles per feature. Fewer than ``bins`` + 1 if values repeat."""
-    quantiles = exact_quantiles(reference, features, evenly_spaced(bins))
+    """Distinct, ascending reference quantiles per feature. Fewer than ``bins`` + 1 if values repeat.
+
+    With ``accuracy`` they come from a sketch of one pass, whose ranks are off by at most one in ``accuracy``; else they are exact.
+    """
+    if accuracy is None:
+        quantiles = exact_quantiles(reference, features, evenly_spaced(bins))
+    else:
+        quantiles = approximate_quantiles(reference, features, evenly_spaced(bins), accuracy)
     return {feature: sorted(set(edges)) for feature, edges in quantiles.items()}
 
 

@@ -276,3 +276,22 @@ def test_promotion_needs_a_strictly_better_run(spark):
         require_best_run(runs.limit(0), "val_rmse")
     with pytest.raises(LookupError, match="has no val_rmse"):
         require_best_run(runs.where("run_id = 'd'"), "val_rmse")
+
+
+def test_quantile_search_takes_few_passes(spark, monkeypatch):
+    from premia.operators import quantiles
+
+    rounds, narrowed = [], quantiles._narrowed
+    monkeypatch.setattr(quantiles, "_narrowed", lambda *a: rounds.append(1) or narrowed(*a))
+    rows = spark.range(300_000).selectExpr("rand(3) AS a", "CAST(id % 7 AS DOUBLE) AS b", "exp(20 * rand(4)) AS c", "randn(5) AS d").cache()
+    levels = evenly_spaced(10)
+    got = exact_quantiles(rows, ["a", "b", "c", "d"], levels)
+    assert len(rounds) <= 3  # with the pass for the extremes, four
+    data = rows.toPandas()
+    for name in "abcd":
+        assert got[name] == [float(v) for v in np.quantile(data[name], levels)]
+    near = quantiles.approximate_quantiles(rows, ["a", "d"], levels)
+    for name in "ad":
+        ranks = np.searchsorted(np.sort(data[name]), near[name]) / len(data)
+        assert np.abs(ranks - levels).max() <= 2e-4
+    assert quantile_edges(rows, ["a"], accuracy=10_000)["a"] == near["a"]
