@@ -15,7 +15,7 @@ from premia.session import materialize
 
 # Bytes of the k-grams whose minimum anchors a window.
 GRAM = 32
-# Anchors of one bucket on average, and the most that one task orders; more of one anchor are counted by hash.
+# Anchors of one bucket on average, and the most contexts of one anchor that one task orders; more of them are counted by hash.
 BUCKET_ANCHORS, MOST_ANCHORS = 4000, 20_000
 # Windows of a very long text that are anchored at a time: anchor keys have 20 bits for the place.
 _CHUNK = (1 << 20) - (1 << 12)
@@ -192,15 +192,15 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, leng
     Windows are anchored by winnowing, so anchors that occur once are done with. Occurrences of an anchor with equal
     contexts are repeats of each other as a whole; only the first of them is compared with other contexts of the anchor. These are dealt to
     buckets by the anchor's hash; a bucket puts its suffixes in order and reads repeats off the longest-previous-factor condition. An anchor
-    that occurs more than ``most`` times is left out of the buckets: its windows are grouped by 128-bit hash instead, with
+    with more than ``most`` different contexts is left out of the buckets: its windows are grouped by 128-bit hash instead, with
     partial aggregation, which any number of tasks can share.
     """
     anchors = anchor_rows(texts, length, gram)
     spot = F.xxhash64("c1", "c2", "place")
     repeated = materialize(
         anchors.groupBy("anchor").agg(
-            F.min(spot).alias("a"), F.max(spot).alias("b"), F.count("*").alias("n"), (F.min("context") == F.max("context")).alias("alike")
-        ).where("a != b").select("anchor", F.when(F.col("alike"), 0).otherwise(F.col("n")).alias("n")),
+            F.min(spot).alias("a"), F.max(spot).alias("b"), (F.min("context") == F.max("context")).alias("alike")
+        ).where("a != b").select("anchor", "alike"),
         "repeated",
     )
     # Occurrences with equal contexts are one row of the buckets: the first of them. The lower bits of a place tell where the anchor stands.
@@ -211,11 +211,15 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, leng
         members = members.withColumn("doc", F.lit(0).cast("long"))
     where = F.struct("doc", "c1", "c2", "place")
     same = ["anchor", "context", "inner"]
-    firsts = materialize(members.groupBy(*same).agg(F.min(where).alias("stays"), F.count("*").alias("copies"), F.first("n").alias("n")), "firsts")
-    differing = firsts.where("n > 0")
-    total, hot = differing.agg(F.count("*"), F.max("n")).first()
+    firsts = materialize(members.groupBy(*same).agg(F.min(where).alias("stays"), F.count("*").alias("copies"), F.first("alike").alias("alike")), "firsts")
+    differing = firsts.where("NOT alike")
+    total = differing.count()
+    frequent = materialize(
+        differing.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > most).select("anchor", F.lit(True).alias("frequent")), "frequent"
+    )
+    differing = differing.join(frequent, "anchor", "left").withColumn("frequent", F.coalesce("frequent", F.lit(False)))
     wanted = differing.groupBy(F.col("stays.c1").alias("c1"), F.col("stays.c2").alias("c2")).agg(
-        F.collect_set(F.struct(F.col("stays.place").alias("place"), "anchor", "n")).alias("wanted")
+        F.collect_set(F.struct(F.col("stays.place").alias("place"), "anchor", "frequent")).alias("wanted")
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +229,7 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, leng
             bounds = np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1].astype(np.int64)
             fields = [lists.values.field(i).to_numpy(zero_copy_only=False) for i in range(3)]
             for row in range(len(lists)):
-                place, anchor, n = (f[bounds[row] : bounds[row + 1]] for f in fields)
+                place, anchor, often = (f[bounds[row] : bounds[row + 1]] for f in fields)
                 first, more, _ = unpacked(place)
                 begin, end = offsets[row] + first, offsets[row] + first + more + length
                 for k in range(0, len(place), 20_000):
@@ -235,18 +239,22 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, leng
                     size = len(context)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(size, same[0])), pa.array(np.full(size, same[1], np.int32)), pa.array(np.full(size, same[2])),
-                         pa.array(place[part]), pa.array(anchor[part]), pa.array(n[part]), pa.array(context, pa.binary())],
-                        names=["c1", "c2", "doc", "place", "anchor", "n", "context"],
+                         pa.array(place[part]), pa.array(anchor[part]), pa.array(often[part]), pa.array(context, pa.binary())],
+                        names=["c1", "c2", "doc", "place", "anchor", "frequent", "context"],
                     )
             del data, offsets, fields
             release_memory()
 
     contexts = classes.join(wanted, ["c1", "c2"]).select("c1", "c2", "doc", "text", "wanted").mapInArrow(
-        cut, "c1 long, c2 int, doc long, place long, anchor long, n long, context binary"
+        cut, "c1 long, c2 int, doc long, place long, anchor long, frequent boolean, context binary"
     )
-    buckets = max(1, int(total or 0) // BUCKET_ANCHORS)
+    counted = not frequent.isEmpty()
+    if counted:
+        # Read several times below; without frequent anchors once, and then by the join that deals out the texts for the result too.
+        contexts = materialize(contexts, "contexts")
+    buckets = max(1, total // BUCKET_ANCHORS)
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(buckets))
-    spans = contexts.where(F.col("n") <= most).groupBy(bucket.alias("bucket")).applyInPandas(
+    spans = contexts.where("NOT frequent").groupBy(bucket.alias("bucket")).applyInPandas(
         lambda frame: _repeats_of_bucket(frame, length, first_only), "c1 long, c2 int, start long, stop long"
     )
     # Occurrences behind the first of equal contexts go as a whole, and so does the first if none is to stay.
@@ -256,8 +264,8 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, leng
     spans = spans.union(whole.select(
         "c1", "c2", first.alias("start"), (first + F.shiftright("place", 10).bitwiseAND(1023) + length).alias("stop")
     ))
-    if (hot or 0) > most:
-        spans = spans.union(_counted_spans(contexts.where(F.col("n") > most), length, first_only))
+    if counted:
+        spans = spans.union(_counted_spans(contexts.where("frequent"), length, first_only))
     return spans
 
 
@@ -286,7 +294,7 @@ def _counted_spans(contexts: DataFrame, length: int, first_only: bool) -> DataFr
     )
     where = F.struct(F.col("doc"), F.col("c1"), F.col("c2"), F.col("start"))
     # Stored, so that a window found in very many texts can be split over tasks in the join.
-    groups = materialize(rows.groupBy("w1", "w2").agg(F.min(where).alias("low"), F.max(where).alias("high")).where("low != high"), "frequent")
+    groups = materialize(rows.groupBy("w1", "w2").agg(F.min(where).alias("low"), F.max(where).alias("high")).where("low != high"), "windows")
     hits = rows.join(groups, ["w1", "w2"])
     if first_only:
         hits = hits.where(where != F.col("low"))
@@ -315,10 +323,11 @@ def _with_spans(docs: DataFrame, length: int, first_only: bool, text: str, doc_i
     texts = base.select(filled.alias("text"), "c1", "c2")
     # As an inequality the test stays out of the join's keys; so the texts are dealt out by class once, for this
     # join and for the last one.
-    classes = base.join(groups, ["c1", "c2"]).where(number <= F.col("least")).select("c1", "c2", F.col("least").alias("doc"), filled.alias("text"))
+    # As merge joins, whatever the size: a broadcast would put the filter ahead of the shuffle, and there would be two of them.
+    classes = base.join(groups.hint("merge"), ["c1", "c2"]).where(number <= F.col("least")).select("c1", "c2", F.col("least").alias("doc"), filled.alias("text"))
     places = groups.select("c1", "c2", F.col("least").alias("doc"))
     listed = repeated_spans(texts, classes, places, length, first_only, gram, most).groupBy("c1", "c2").agg(F.collect_list(F.struct("start", "stop")).alias("__spans"))
-    joined = base.join(groups, ["c1", "c2"]).join(listed, ["c1", "c2"], "left")
+    joined = base.join(groups.hint("merge"), ["c1", "c2"]).join(listed, ["c1", "c2"], "left")
     whole = (F.col("members") > 1) if not first_only else number > F.col("least")
     size = F.octet_length(filled).cast("long")
     joined = joined.withColumn("__spans", F.when(whole & (size >= length), F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("stop")))).otherwise(
