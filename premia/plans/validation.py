@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -83,12 +83,15 @@ def retained_pct(n_in: int, n_out: int) -> float:
     return kept
 
 
-def run_validation(store: Store, spark, run_date: str, spec: FeatureSpec = FeatureSpec(), features: DataFrame | None = None) -> str:
+def run_validation(
+    store: Store, spark, run_date: str, spec: FeatureSpec = FeatureSpec(), features: DataFrame | None = None, keep_refused: bool = False
+) -> str:
     """Check one run's features and publish them with a report; nothing of a refused run is visible in the validated zone.
 
     ``features`` may be a plan (by default the stored features are read): it is run once, written beside the run and checked on
     the way. Checks across rows then read their columns from what was written. Failing rows of a refused run, with the checks they
-    break, go to the failures zone.
+    break, go to the failures zone. With ``keep_refused`` all rows of a refused run go there too, as table
+    ``features``, instead of being removed.
     """
     if features is None:
         features = store.read(spark, "features", "features", run_date)
@@ -123,6 +126,14 @@ def run_validation(store: Store, spark, run_date: str, spec: FeatureSpec = Featu
             status="passed", rolling_null_rows=staged.metrics["rolling_null_rows"],
         )
 
-    publish_all([staged], check)
+    def check_or_keep() -> None:
+        try:
+            check()
+        except ContractViolation:
+            if keep_refused:
+                replace(staged, target=store.run_path("failures", "features", run_date)).publish()
+            raise
+
+    publish_all([staged], check_or_keep)
     store.write_report(spark, report, "validated", "validation_report", run_date)
     return staged.target

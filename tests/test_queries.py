@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import pytest
-from check_queries import compare, duck
+from check_queries import TABLES, compare, duck
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry
 from premia.catalog import ORACLES, QUERIES
@@ -28,6 +29,19 @@ def test_entry_has_the_feature_columns(spark):
     assert entry(spark).columns[:3] == ["sale_id", "shoe_id", "brand"]
 
 
+def test_validated_output_has_all_rows_of_a_refused_run(spark, small, tmp_path):
+    for table in set(TABLES) - {"events"}:
+        (tmp_path / f"{table}.parquet").symlink_to(f"{small}/{table}.parquet")
+    events = spark.read.parquet(f"{small}/events.parquet")
+    free = events.withColumn("value", F.when(F.col("event_id") % 3 == 0, 0.0).otherwise(F.col("value")))
+    free.coalesce(1).write.parquet(f"{tmp_path}/events")
+    written = next((tmp_path / "events").glob("part-*"))
+    (tmp_path / "events.parquet").symlink_to(written)
+    with pytest.warns(UserWarning, match="sale_price"):
+        outcome, _, _ = compare(spark, duck(str(tmp_path)), str(tmp_path), "validated_output")
+    assert outcome == "ok"
+
+
 def test_not_null_counts_every_required_column(spark, small):
     counts = {r["check"]: r["n"] for r in QUERIES["check_not_null"](spark, small).collect()}
     assert len(counts) == 14 and min(counts.values()) > 0

@@ -57,6 +57,16 @@ def test_a_refused_run_shows_nothing_but_its_failures(spark, tmp_path, broken, m
     assert rows.count() == 5 and message.split("_")[0] in str(rows.first()["violations"])
 
 
+def test_a_refused_run_may_be_kept_whole_outside_the_validated_zone(spark, tmp_path):
+    store, run_date = Store(str(tmp_path)), "2025-01-01"
+    store.write(spark.range(5), "raw", "sales", run_date)
+    broken = clean(spark).withColumn("sale_price", F.when(F.col("sale_id") > 1, F.col("sale_price")).otherwise(0.0))
+    with pytest.raises(ContractViolation, match="sale_price"):
+        run_validation(store, spark, run_date, SPEC, broken, keep_refused=True)
+    assert {p.split("/")[0] for p in visible(tmp_path)} == {"raw", "failures"}
+    assert store.read(spark, "failures", "features", run_date).count() == 5
+
+
 def test_too_few_rows_are_refused(spark, tmp_path):
     store = Store(str(tmp_path))
     store.write(spark.range(50), "raw", "sales", "2025-01-01")
