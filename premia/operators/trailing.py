@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from premia.functions.dates import whole_second
@@ -59,9 +59,7 @@ def _over_days(
     carry: Sequence[str],
 ) -> DataFrame:
     """All instants are midnights: a frame of at most ``days`` + 1 rows over the product's days."""
-    day = F.to_date("at")
-    off_grid = F.raise_error(F.concat(F.lit("not a midnight: "), F.col("at").cast("string")))
-    checked = F.when(F.col("at") == day, F.unix_date(day)).otherwise(off_grid.cast("int"))
+    checked = _midnight(F.col("at"))
     frame = Window.partitionBy(*keys).orderBy("_day").rangeBetween(-days, 0)
     timeline = instants.select(*keys, "at", "total", "n", checked.alias("_day"))
     if probes is not None:
@@ -79,6 +77,28 @@ def _over_days(
     return summed.select(*keys, "at", "total", "n", *carry)
 
 
+def _midnight(at: Column) -> Column:
+    """The instant as a day number; one that is no midnight fails the job."""
+    day = F.to_date(at)
+    off_grid = F.raise_error(F.concat(F.lit("not a midnight: "), at.cast("string")))
+    return F.when(at == day, F.unix_date(day)).otherwise(off_grid.cast("int"))
+
+
+def trailing_frame(keys: Sequence[str], at: Column, days: int, grain: str = "second") -> WindowSpec:
+    """``[at - days, at]``, both ends included, as a frame over the rows themselves, ``at`` in whole seconds.
+
+    Only for keys with few rows: all of them meet in one task, and each frame is summed anew. A row without an instant is in no
+    frame but that of its like. ``grain`` as in ``trailing_totals``.
+    """
+    if grain not in GRAINS:
+        raise ValueError(f"grain must be one of {GRAINS}, not {grain!r}")
+    if grain == "day":
+        place, width = F.when(at.isNotNull(), _midnight(at)), days
+    else:
+        place, width = F.unix_seconds(at.cast("timestamp")), days * 86_400
+    return Window.partitionBy(*keys).orderBy(place).rangeBetween(-width, 0)
+
+
 def _over_instants(
     instants: DataFrame,
     keys: list[str],

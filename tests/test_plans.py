@@ -90,6 +90,30 @@ def mean(values):
     return sum(values) / len(values) if values else None
 
 
+@pytest.mark.parametrize("most, grain", [(0, "second"), (60, "second"), (10**6, "second"), (0, "day"), (60, "day"), (10**6, "day")])
+def test_feature_table_does_not_depend_on_which_products_are_frequent(spark, most, grain):
+    tables = raw_tables(spark)
+    odd = F.when(F.col("sale_id") % 11 == 0, None).otherwise(F.col("sale_date"))
+    day = F.date_trunc("day", odd).cast("timestamp_ntz") if grain == "day" else odd
+    price = F.when(F.col("sale_id") % 7 == 0, None).otherwise(F.col("sale_price"))
+    tables["sales"] = tables["sales"].withColumns({"sale_date": day, "sale_price": price})
+    tables["shoes"] = tables["shoes"].unionByName(tables["shoes"].where("shoe_id < 3"))
+    spec = FeatureSpec(sale_grain=grain, signal_grain=grain)
+
+    def rows(most):
+        features = feature_table(tables["sales"], tables["shoes"], tables["drops"], tables["search_interest"], spec, most)
+        return sorted([tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in features.collect()], key=repr)
+
+    assert rows(most) == rows(10**6 if most < 10**6 else 0)
+
+
+def test_sales_of_rare_products_are_not_shuffled_by_size(spark):
+    tables = raw_tables(spark)
+    plan = features_of(tables)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert dealt and not any("size_us#" in line for line in dealt)
+
+
 def test_feature_table_equals_row_by_row_computation(spark):
     tables = raw_tables(spark)
     features = features_of(tables)
