@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -215,6 +216,24 @@ def violating_rows(rows: DataFrame, checks: Sequence[Check], columns: Sequence[s
     return rows.select(*columns, labels.alias("violations")).where(F.size("violations") > 0)
 
 
+def row_breaks(features: DataFrame, spec: FeatureSpec, columns: Sequence[str]) -> DataFrame:
+    """``columns``, the row checks that each row breaks as bits of ``_broken``, and what the checks across rows read.
+
+    Of the rolling mean only whether it is there is kept, so the rows that checks across rows shuffle are narrow.
+    """
+    bits = [F.when(c.broken, F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(row_checks(spec))]
+    rolling = "rolling_7d_avg_premium"
+    keys = dict.fromkeys([*columns, "sale_id", "shoe_id", "sale_date"])
+    return features.select(*keys, F.when(~missing(rolling), True).alias(rolling), reduce(Column.bitwiseOR, bits).alias("_broken"))
+
+
+def feature_violations(breaks: DataFrame, spec: FeatureSpec, columns: Sequence[str]) -> DataFrame:
+    """The rows of ``row_breaks`` that break a check of the feature contract, with the labels of all checks they break."""
+    bits = {c.label: F.col("_broken").bitwiseAND(1 << i) != 0 for i, c in enumerate(row_checks(spec))}
+    checks = [Check(c.column, c.name, bits.get(c.label, c.broken)) for c in feature_checks(spec)]
+    return violating_rows(prepare_feature_checks(breaks), checks, columns)
+
+
 def raise_on_failures(failures: DataFrame) -> None:
     """Fail with all broken checks. The frame has at most one row per check."""
     broken = failures.collect()

@@ -13,14 +13,13 @@ from premia.operators.contract import (
     ContractViolation,
     coerce,
     cross_row_failures,
-    feature_checks,
     feature_failures,
-    prepare_feature_checks,
+    feature_violations,
     raise_on_failures,
     retention,
+    row_breaks,
     row_checks,
     schema_issues,
-    violating_rows,
 )
 from premia.sources.writers import Store, publish_all
 from premia.spec import MIN_RETENTION_PCT, FeatureSpec
@@ -38,11 +37,11 @@ class Validation:
 def validate_features(features: DataFrame, spec: FeatureSpec = FeatureSpec()) -> Validation:
     """All checks of the feature contract, lazily."""
     typed = coerce(features, FEATURE_TYPES)
-    prepared, checks = prepare_feature_checks(typed), feature_checks(spec)
+    columns = ["sale_id", "shoe_id", "sale_date"]
     return Validation(
         typed,
         feature_failures(typed, spec),
-        violating_rows(prepared, checks, ["sale_id", "shoe_id", "sale_date"]),
+        feature_violations(row_breaks(typed, spec, columns), spec, columns),
     )
 
 
@@ -115,7 +114,8 @@ def run_validation(
         written = spark.read.parquet(staged.path)
         lines += [f"[{r['column'] or '<row>'}] {r['check']}: {r['n']} row(s)" for r in cross_row_failures(written, spec).collect()]
         if lines:
-            broken = violating_rows(prepare_feature_checks(written), feature_checks(spec), ["sale_id", "shoe_id", "sale_date"])
+            columns = ["sale_id", "shoe_id", "sale_date"]
+            broken = feature_violations(row_breaks(written, spec, columns), spec, columns)
             store.write(broken, "failures", "feature_violations", run_date)
             store.write_report(spark, {"run_date": run_date, "failures": lines}, "failures", "failure_report", run_date)
             raise ContractViolation("contract broken:\n" + "\n".join(lines))

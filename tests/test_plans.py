@@ -15,8 +15,13 @@ from premia.operators.contract import (
     FEATURE_TYPES,
     ContractViolation,
     coerce,
+    feature_checks,
+    feature_violations,
+    prepare_feature_checks,
+    row_breaks,
     schema_issues,
     table_types,
+    violating_rows,
 )
 from premia.operators.drift import drift_report
 from premia.operators.models import fit_linear, scoring_report, split_records
@@ -217,6 +222,21 @@ def test_all_failures_are_listed_and_rows_named(spark):
     assert rows == {1: ["size_us:> 0", "price_premium:in [-1, 50]"], 2: ["price_premium:in [-1, 50]"]}
 
 
+def test_checks_across_rows_get_narrow_rows_and_all_labels(spark):
+    third = F.col("sale_id") % 3
+    broken = clean(spark).withColumns(
+        {"sale_id": F.when(third == 0, 0).otherwise(F.col("sale_id")).cast("long"), "sale_price": F.when(third == 1, -1.0),
+         "size_us": F.lit(float("nan")), "release_type": F.lit("raffle"), "rolling_7d_avg_premium": F.lit(0.5)}
+    )
+    typed, columns = coerce(broken, FEATURE_TYPES), ["sale_id", "shoe_id", "sale_date"]
+    breaks = row_breaks(typed, SPEC, columns)
+    assert breaks.columns == [*columns, "rolling_7d_avg_premium", "_broken"]
+    assert dict(breaks.dtypes)["rolling_7d_avg_premium"] == "boolean"
+    wide = violating_rows(prepare_feature_checks(typed), feature_checks(SPEC), columns)
+    rows = [sorted(map(repr, r.collect())) for r in (feature_violations(breaks, SPEC, columns), wide)]
+    assert rows[0] == rows[1] and len(rows[0]) == 5 and "unique" in str(rows[0]) and "history" in str(rows[0])
+
+
 def test_same_shoe_size_and_day_may_repeat(spark):
     again = clean(spark).where("sale_id = 1").withColumn("sale_id", F.lit(999).cast("long"))
     assert validated(clean(spark).union(again)).count() == 6
