@@ -225,7 +225,7 @@ def test_all_failures_are_listed_and_rows_named(spark):
 def test_checks_across_rows_get_narrow_rows_and_all_labels(spark):
     third = F.col("sale_id") % 3
     broken = clean(spark).withColumns(
-        {"sale_id": F.when(third == 0, 0).otherwise(F.col("sale_id")).cast("long"), "sale_price": F.when(third == 1, -1.0),
+        {"sale_id": F.when(third == 1, 0).otherwise(F.col("sale_id")).cast("long"), "sale_price": F.when(third == 0, -1.0),
          "size_us": F.lit(float("nan")), "release_type": F.lit("raffle"), "rolling_7d_avg_premium": F.lit(0.5)}
     )
     typed, columns = coerce(broken, FEATURE_TYPES), ["sale_id", "shoe_id", "sale_date"]
