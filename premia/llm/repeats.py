@@ -257,9 +257,11 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, leng
     spans = contexts.where("NOT frequent").groupBy(bucket.alias("bucket")).applyInPandas(
         lambda frame: _repeats_of_bucket(frame, length, first_only), "c1 long, c2 int, start long, stop long"
     )
-    # Occurrences behind the first of equal contexts go as a whole, and so does the first if none is to stay.
-    whole = members.join(firsts.select(*same, "stays", "copies").hint("merge"), same)
-    whole = whole.where(where != F.col("stays")) if first_only else whole.where("copies > 1")
+    # Occurrences behind the first of equal contexts go as a whole, and so does the first if none is to stay. Those that do not go
+    # are told by their place. Copies of a text have the same places: one row for all of them, or every copy would get the spans of all.
+    place = ["c1", "c2", "place"]
+    staying = firsts if first_only else firsts.where("copies = 1")
+    whole = members.select(*place).distinct().join(staying.select("stays.c1", "stays.c2", "stays.place").hint("merge"), place, "left_anti")
     first = F.shiftright("place", 20)
     spans = spans.union(whole.select(
         "c1", "c2", first.alias("start"), (first + F.shiftright("place", 10).bitwiseAND(1023) + length).alias("stop")

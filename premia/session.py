@@ -67,9 +67,21 @@ def file_system(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+# Spark removes the shuffle files of a query when it ends, not when the driver happens to collect garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(frame, purpose: str):
-    """Write a frame to shared scratch space and read it back: cuts lineage, survives lost executors."""
+    """Write a frame to shared scratch space and read it back: cuts lineage, survives lost executors.
+
+    The shuffle files of the write are removed as soon as it is done; other queries keep the session's own setting.
+    """
     spark = frame.sparkSession
     path = scratch_path(spark, purpose)
-    frame.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from premia.llm.queries import op7_repeats
-from premia.llm.repeats import longest_previous, suffix_order, with_repeats, without, without_repeats
+from premia.llm.repeats import longest_previous, repeated_spans, suffix_order, with_repeats, without, without_repeats
 
 
 def brute(docs, length, first_only):
@@ -106,3 +106,21 @@ def test_longest_previous_factors():
 
 def test_without():
     assert without(b"0123456789", [(0, 2), (5, 6)]) == b"2346789"
+
+
+@pytest.mark.parametrize("first_only", [False, True])
+def test_copies_of_a_text_add_no_spans(llm_spark, first_only):
+    """Every copy is joined to the spans of its text, so these must not grow with the copies."""
+    random.seed(3)
+    part = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    shared = part(150)
+    own = [(1, 0, part(40) + shared + part(40)), (2, 0, part(30) + shared + part(60))]
+
+    def spans(copies):
+        texts = llm_spark.createDataFrame(own + own[1:] * (copies - 1), "c1 long, c2 int, text string")
+        classes = llm_spark.createDataFrame([(a, b, i, t) for i, (a, b, t) in enumerate(own)], "c1 long, c2 int, doc long, text string")
+        return sorted(map(tuple, repeated_spans(texts, classes, classes.drop("text"), 60, first_only).collect()))
+
+    few = spans(1)
+    assert few and {s[0] for s in few} == ({2} if first_only else {1, 2})
+    assert len(spans(30)) == len(spans(2)) <= 2 * len(few)
