@@ -24,6 +24,7 @@ from premia.operators.trailing import (
     trailing_mean,
 )
 from premia.plans.features import feature_table, priced_sales, project_contract
+from premia.session import materialize
 from premia.spec import FEATURE_TABLE_COLUMNS, FeatureSpec
 
 # Ship and order dates are midnights.
@@ -42,10 +43,12 @@ def event_priced(spark, folder):
 
 
 def item_features(spark, folder):
+    # Stored once: release dates and the demand before drops both read them, and line items meet orders in a shuffle.
+    drops = materialize(T.drops(spark, folder).select("shoe_id", "drop_date"), "drops")
     return feature_table(
         T.item_sales(spark, folder),
-        T.shoes(spark, folder),
-        T.drops(spark, folder),
+        T.shoes(spark, folder, drops),
+        drops,
         T.item_signals(spark, folder),
         ITEM_SPEC,
     )

@@ -42,8 +42,9 @@ def drops(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def shoes(spark: SparkSession, folder: str) -> DataFrame:
-    first = drops(spark, folder).groupBy("shoe_id").agg(F.min("drop_date").alias("release_date"))
+def shoes(spark: SparkSession, folder: str, dropped: DataFrame | None = None) -> DataFrame:
+    """The products; ``dropped`` are their drops where the caller has them already."""
+    first = (drops(spark, folder) if dropped is None else dropped).groupBy("shoe_id").agg(F.min("drop_date").alias("release_date"))
     parts = table(spark, folder, "part").select(
         F.col("p_partkey").alias("shoe_id"),
         F.col("p_brand").alias("brand"),

@@ -569,3 +569,11 @@ def test_profile_names_types(spark):
     valid, refused = split_records(records(spark))
     assert valid.count() + refused.count() == 5
     assert fit_preprocessing(rows, ["id"]).std == [1.0]
+
+
+def test_line_items_meet_orders_once(spark, small):
+    """Release dates and demand read the stored drops: the feature table's own plan has no orders left."""
+    from premia.catalog.features import item_features
+
+    files = item_features(spark, small).inputFiles()
+    assert any("lineitem" in f for f in files) and not any("orders.parquet" in f for f in files)
