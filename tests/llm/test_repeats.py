@@ -124,3 +124,15 @@ def test_copies_of_a_text_add_no_spans(llm_spark, first_only):
     few = spans(1)
     assert few and {s[0] for s in few} == ({2} if first_only else {1, 2})
     assert len(spans(30)) == len(spans(2)) <= 2 * len(few)
+
+
+def test_spans_of_near_copies_grow_with_their_number(llm_spark):
+    random.seed(5)
+    part = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    shared = part(400)
+
+    def spans(copies):
+        rows = llm_spark.createDataFrame([(i, 0, i, part(30) + shared + part(30)) for i in range(copies)], "c1 long, c2 int, doc long, text string")
+        return repeated_spans(rows.drop("doc"), rows, rows.drop("text"), 60, True).count()
+
+    assert 0 < spans(40) <= 2.2 * spans(20)
