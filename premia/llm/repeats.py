@@ -183,7 +183,12 @@ def _repeats_of_bucket(frame: pd.DataFrame, length: int, first_only: bool) -> pd
 
 
 def repeated_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, length: int, first_only: bool, gram: int = GRAM, most: int = MOST_ANCHORS) -> DataFrame:
-    """Byte spans covered by repeated strings of ``length`` bytes: (c1, c2, start, stop), overlapping.
+    """``listed_spans`` with a row per span: (c1, c2, start, stop)."""
+    return listed_spans(texts, classes, places, length, first_only, gram, most).select("c1", "c2", F.inline("spans"))
+
+
+def listed_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, length: int, first_only: bool, gram: int = GRAM, most: int = MOST_ANCHORS) -> DataFrame:
+    """Byte spans covered by repeated strings of ``length`` bytes, overlapping: (c1, c2, spans), a row per text that has any.
 
     ``texts`` has a row per text: c1, c2 (its identity) and text; ``classes`` a row per distinct text, with doc
     (its place in order) too, and ``places`` the same without the text. A string counts as repeated if it starts anywhere else too, or with
@@ -257,18 +262,26 @@ def repeated_spans(texts: DataFrame, classes: DataFrame, places: DataFrame, leng
     spans = contexts.where("NOT frequent").groupBy(bucket.alias("bucket")).applyInPandas(
         lambda frame: _repeats_of_bucket(frame, length, first_only), "c1 long, c2 int, start long, stop long"
     )
-    # Occurrences behind the first of equal contexts go as a whole, and so does the first if none is to stay. Those that do not go
-    # are told by their place. Copies of a text have the same places: one row for all of them, or every copy would get the spans of all.
-    place = ["c1", "c2", "place"]
-    staying = firsts if first_only else firsts.where("copies = 1")
-    whole = members.select(*place).distinct().join(staying.select("stays.c1", "stays.c2", "stays.place").hint("merge"), place, "left_anti")
-    first = F.shiftright("place", 20)
-    spans = spans.union(whole.select(
-        "c1", "c2", first.alias("start"), (first + F.shiftright("place", 10).bitwiseAND(1023) + length).alias("stop")
-    ))
     if counted:
         spans = spans.union(_counted_spans(contexts.where("frequent"), length, first_only))
-    return spans
+    # Occurrences behind the first of equal contexts go as a whole, and so does the first if none is to stay. Those that do not go
+    # are told by their place. Copies of a text have the same places and are one row here, with the sets of all its places and of
+    # those that stay, so no join makes a row for each occurrence.
+    staying = firsts if first_only else firsts.where("copies = 1")
+    listed = (
+        members.select("c1", "c2", "place")
+        .unionByName(staying.select("stays.c1", "stays.c2", F.col("stays.place").alias("stays")), allowMissingColumns=True)
+        .unionByName(spans.select("c1", "c2", F.struct("start", "stop").alias("span")), allowMissingColumns=True)
+        .groupBy("c1", "c2")
+        .agg(F.collect_set("place").alias("places"), F.collect_set("stays").alias("stays"), F.collect_list("span").alias("inside"))
+    )
+
+    def whole(place: Column) -> Column:
+        first = F.shiftright(place, 20)
+        return F.struct(first.alias("start"), (first + F.shiftright(place, 10).bitwiseAND(1023) + length).alias("stop"))
+
+    gone = F.transform(F.array_except("places", "stays"), whole)
+    return listed.select("c1", "c2", F.concat(gone, "inside").alias("spans")).where(F.size("spans") > 0)
 
 
 def _counted_spans(contexts: DataFrame, length: int, first_only: bool) -> DataFrame:
@@ -328,7 +341,7 @@ def _with_spans(docs: DataFrame, length: int, first_only: bool, text: str, doc_i
     # As merge joins, whatever the size: a broadcast would put the filter ahead of the shuffle, and there would be two of them.
     classes = base.join(groups.hint("merge"), ["c1", "c2"]).where(number <= F.col("least")).select("c1", "c2", F.col("least").alias("doc"), filled.alias("text"))
     places = groups.select("c1", "c2", F.col("least").alias("doc"))
-    listed = repeated_spans(texts, classes, places, length, first_only, gram, most).groupBy("c1", "c2").agg(F.collect_list(F.struct("start", "stop")).alias("__spans"))
+    listed = listed_spans(texts, classes, places, length, first_only, gram, most).withColumnRenamed("spans", "__spans")
     joined = base.join(groups.hint("merge"), ["c1", "c2"]).join(listed, ["c1", "c2"], "left")
     whole = (F.col("members") > 1) if not first_only else number > F.col("least")
     size = F.octet_length(filled).cast("long")

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from premia.llm.queries import op7_repeats
-from premia.llm.repeats import longest_previous, repeated_spans, suffix_order, with_repeats, without, without_repeats
+from premia.llm.repeats import listed_spans, longest_previous, repeated_spans, suffix_order, with_repeats, without, without_repeats
 
 
 def brute(docs, length, first_only):
@@ -136,3 +136,14 @@ def test_spans_of_near_copies_grow_with_their_number(llm_spark):
         return repeated_spans(rows.drop("doc"), rows, rows.drop("text"), 60, True).count()
 
     assert 0 < spans(40) <= 2.2 * spans(20)
+
+
+@pytest.mark.parametrize("first_only", [True, False])
+def test_spans_are_listed_once_per_text_without_rows_per_occurrence(llm_spark, first_only):
+    random.seed(24)
+    part = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    shared = part(3000)
+    rows = llm_spark.createDataFrame([(i, 0, i, part(30) + shared + part(30)) for i in range(20)] + [(99, 0, 99, part(500))], "c1 long, c2 int, doc long, text string")
+    listed = listed_spans(rows.drop("doc"), rows, rows.drop("text"), 60, first_only)
+    assert sorted(r.c1 for r in listed.collect()) == list(range(int(first_only), 20))
+    assert "LeftAnti" not in listed._jdf.queryExecution().toString()
