@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premia.llm.arrays import LOWER, SPACED, gram_hashes, pieces, span_hashes, word_spans
+from premia.session import materialize
 
 # Longest n-grams; n-grams of two words and more that occur less often than this count as unseen; the factor per step back.
 ORDER, LEAST_COUNT, BACKOFF = 3, 2, 0.4
@@ -35,8 +36,8 @@ def unpacked_keys(raw: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate([first, gaps.view(np.uint64).ravel()]))
 
 
-def _grams(texts: pa.Array, order: int) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
-    """Per run of texts: the first text, the word heads of each, and for each size the hash of the gram ending at each word.
+def _grams(texts: pa.Array, lengths: Sequence[int]) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
+    """Per run of texts: the first text, the word heads of each, and for each length the hash of the gram ending at each word.
 
     A word with fewer words before it than the gram needs has hash 0.
     """
@@ -44,8 +45,11 @@ def _grams(texts: pa.Array, order: int) -> Iterator[tuple[int, np.ndarray, list[
         starts, ends, heads = word_spans(data, offsets, SPACED)
         words = span_hashes(LOWER[data], starts, ends)
         place = np.arange(len(words)) - np.repeat(heads[:-1], np.diff(heads))
-        sizes = [words]
-        for size in range(2, order + 1):
+        sizes = []
+        for size in lengths:
+            if size == 1:
+                sizes.append(words)
+                continue
             own = np.zeros(len(words), np.uint64)
             own[size - 1 :] = gram_hashes(words, size)
             own[place < size - 1] = 0
@@ -57,10 +61,10 @@ def _texts(table: pa.Table, column: int = 0) -> pa.Array:
     return table.column(column).combine_chunks() if table.num_rows else pa.array([], pa.string())
 
 
-def _batch_grams(texts: pa.Array, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Distinct n-grams of a batch and how often they occur, for each size."""
-    parts: list[list] = [[] for _ in range(order)]
-    for _, _, sizes in _grams(texts, order):
+def _batch_grams(texts: pa.Array, lengths: Sequence[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct n-grams of a batch and how often they occur, for each length."""
+    parts: list[list] = [[] for _ in lengths]
+    for _, _, sizes in _grams(texts, lengths):
         for n, hashes in enumerate(sizes):
             parts[n].append(hashes[hashes > 0])
     return [np.unique(np.concatenate(p) if p else np.empty(0, np.uint64), return_counts=True) for p in parts]
@@ -86,7 +90,10 @@ def score_documents(docs: DataFrame, order: int = ORDER, least: int = LEAST_COUN
     Documents are dealt to batches. A batch reduces its n-grams to distinct hashes with counts, which are shuffled by range of the
     hash as sorted, gap-coded arrays, so a very frequent n-gram is one entry per batch. A bucket adds up the counts of
     all batches (the n-gram count table, partitioned by hash) and answers each batch in the order it asked. The batch then
-    joins the counts to its n-grams and sums per document. Texts are shuffled once.
+    joins the counts to its n-grams and sums per document.
+
+    Single words and pairs are counted in one round, each greater length in a round of its own. The answers of a round are stored, which
+    removes its requests, so the disk holds the requests of one round at a time. Texts are shuffled once per round and once for the scores.
 
     NULL and empty texts have no tokens, log_score 0 and no mean. Rows are scored as they come, so NULL and repeated ids do not
     matter. Other columns are not read. An empty table gives no rows.
@@ -107,14 +114,17 @@ def score_documents(docs: DataFrame, order: int = ORDER, least: int = LEAST_COUN
     buckets = max(16, -(-tokens // bucket_grams))
     batched = base.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(number)))
 
-    def ask(key: tuple, table: pa.Table) -> pa.Table:
-        rows: dict[str, list] = {name: [] for name in _REQUEST.names}
-        for n, (keys, counts) in enumerate(_batch_grams(_texts(table, 1), order)):
-            names, cuts = _cuts(keys, buckets)
-            for bucket, a, b in zip(names.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
-                for column, value in zip(_REQUEST.names, (n + 1, bucket, key[0].as_py(), packed_keys(keys[a:b]), counts[a:b].astype(np.uint32).tobytes())):
-                    rows[column].append(value)
-        return pa.Table.from_pydict(rows, schema=_REQUEST)
+    def asking(lengths: Sequence[int]):
+        def ask(key: tuple, table: pa.Table) -> pa.Table:
+            rows: dict[str, list] = {name: [] for name in _REQUEST.names}
+            for n, (keys, counts) in zip(lengths, _batch_grams(_texts(table, 1), lengths)):
+                names, cuts = _cuts(keys, buckets)
+                for bucket, a, b in zip(names.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+                    for column, value in zip(_REQUEST.names, (n, bucket, key[0].as_py(), packed_keys(keys[a:b]), counts[a:b].astype(np.uint32).tobytes())):
+                        rows[column].append(value)
+            return pa.Table.from_pydict(rows, schema=_REQUEST)
+
+        return ask
 
     def add(table: pa.Table) -> pa.Table:
         keys = [unpacked_keys(k) for k in table.column("keys").to_pylist()]
@@ -129,7 +139,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, least: int = LEAST_COUN
 
     def score(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
         column = _texts(texts, 1)
-        known = _batch_grams(column, order)
+        known = _batch_grams(column, range(1, order + 1))
         totals = []
         by_place = {(s, b): t for s, b, t in zip(*(answers.column(c).to_pylist() for c in ("size", "bucket", "totals")))}
         for n, (keys, _) in enumerate(known):
@@ -140,7 +150,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, least: int = LEAST_COUN
                 parts.append(np.frombuffer(raw, np.uint32 if len(raw) == 4 * (b - a) else np.uint64).astype(np.int64))
             totals.append(np.concatenate(parts) if parts else np.empty(0, np.int64))
         logs, counts = np.zeros(len(column)), np.zeros(len(column), np.int64)
-        for first, heads, sizes in _grams(column, order):
+        for first, heads, sizes in _grams(column, range(1, order + 1)):
             rows = slice(first, first + len(heads) - 1)
             counts[rows] = np.diff(heads)
             if not len(sizes[0]):
@@ -158,7 +168,10 @@ def score_documents(docs: DataFrame, order: int = ORDER, least: int = LEAST_COUN
             logs[rows] = [float(np.sum(value[a:b])) for a, b in zip(heads[:-1].tolist(), heads[1:].tolist())] if len(heads) < 200_000 else np.diff(sums[heads])
         return pa.table({"doc_id": texts.column(0), "n_tokens": pa.array(counts), "log_score": pa.array(logs)})
 
-    requests = batched.groupBy("batch").applyInArrow(ask, "size int, bucket long, batch long, keys binary, counts binary")
-    answers = requests.groupBy("size", "bucket").applyInArrow(add, "batch long, size int, bucket long, totals binary")
+    answers = None
+    for lengths in [range(1, min(order, 2) + 1)] + [[n] for n in range(3, order + 1)]:
+        requests = batched.groupBy("batch").applyInArrow(asking(lengths), "size int, bucket long, batch long, keys binary, counts binary")
+        own = materialize(requests.groupBy("size", "bucket").applyInArrow(add, "batch long, size int, bucket long, totals binary"), "answers")
+        answers = own if answers is None else answers.union(own)
     scored = batched.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(score, "doc_id long, n_tokens long, log_score double")
     return scored.withColumn("mean_log_score", F.when(F.col("n_tokens") > 0, F.col("log_score") / F.col("n_tokens")))

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from premia.llm import ngrams
 from premia.llm.ngrams import packed_keys, score_documents, unpacked_keys
 
 
@@ -67,3 +68,21 @@ def test_registered_query_scores_with_trigrams(llm_spark, tmp_path):
     theirs = duckdb.connect()
     theirs.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert sorted(r[:3] for r in theirs.execute(ORACLES["op5_language_model"]).fetchall()) == expected
+
+
+def test_requests_of_one_round_are_on_disk_at_a_time(llm_spark, monkeypatch):
+    """Stored answers remove their requests; with all lengths in one round the disk held the requests of all."""
+    stored = []
+
+    def kept(frame, purpose):
+        out = ngrams_materialize(frame, purpose)
+        stored.append(sorted(r.size for r in out.select("size").distinct().collect()))
+        return out
+
+    ngrams_materialize = ngrams.materialize
+    monkeypatch.setattr(ngrams, "materialize", kept)
+    texts = ["a b c d", "a b c", "b c d a", "c"]
+    docs = llm_spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.n_tokens, round(r.log_score, 6)) for r in score_documents(docs, 4, batch_bytes=10).collect())
+    assert got == sorted((n, round(s, 6)) for n, s in brute(texts, 4))
+    assert stored == [[1, 2], [3], [4]]
